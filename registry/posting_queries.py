@@ -495,7 +495,7 @@ def topk_sql(expression: str, k: int) -> str:
 
 
 def topk_by_sql(expression: str, k: int) -> str:
-    return f"""SELECT title_role_bucket, value, n, rank FROM (
+    return f"""SELECT title_role_bucket, value, n, CAST(rank AS INTEGER) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY title_role_bucket ORDER BY n DESC, value) AS rank FROM (
         SELECT title_role_bucket, value, count(*) AS n FROM (
           SELECT title_role_bucket, unnest({expression}) AS value FROM classified) GROUP BY ALL))

@@ -665,7 +665,7 @@ def topk_tokens(spark, sf):
 
 @query(
     "topk_tokens_by_group",
-    f"""SELECT lang, value, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, value) AS rank
+    f"""SELECT lang, value, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, value) AS INTEGER) AS rank
     FROM (SELECT lang, value, count(*) AS n FROM {TOKENS} GROUP BY ALL) QUALIFY rank <= 10""",
 )
 def topk_tokens_by_group(spark, sf):
@@ -700,7 +700,7 @@ def facet_values(spark, sf):
 
 @query(
     "volume_rank",
-    """SELECT value, n, row_number() OVER (ORDER BY n DESC, value) AS rank
+    """SELECT value, n, CAST(row_number() OVER (ORDER BY n DESC, value) AS INTEGER) AS rank
     FROM (SELECT p_brand AS value, count(*) AS n FROM part GROUP BY ALL)""",
 )
 def volume_rank(spark, sf):

@@ -69,8 +69,11 @@ def build_mart(
 def mart_from_staging(
     staged: DataFrame, enrichment: DataFrame, on: Sequence[str] = ("job_id",), null_keys: str = "collapse"
 ) -> DataFrame:
-    labels = latest_labels(enrichment)
-    joined = best_source(staged, null_keys).join(labels, list(on), "left")
+    """Labels join before the cross-provider choice: staging left its rows partitioned by
+    ``job_id``, the key the labels join on, so the wide side is not shuffled again. The
+    choice reads no label, so the order of the two steps does not change the result."""
+    labelled = staged.join(latest_labels(enrichment), list(on), "left")
+    joined = best_source(labelled, null_keys)
     derived = joined.select(
         "*",
         rules.early_career_tier("source", "listed_seniority").alias("early_career_tier"),

@@ -33,6 +33,8 @@ def local_session(app: str = "vacancia-local", cpus: int | None = None) -> Spark
         spark__driver__memory="8g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        # Call sites on every Column call cost more than small queries do.
+        spark__python__sql__dataFrameDebugging__enabled="false",
     )
 
 

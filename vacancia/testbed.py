@@ -6,8 +6,9 @@ in plain SQL for comparison. Rows grow with the tables they come from.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schemas
 from .operators.usage import run_status
@@ -32,161 +33,120 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(values: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def pick(values: list[str], index: str) -> str:
+    """SQL text: the element of a fixed list at a computed index, NULL past its end."""
+    return "get(array(" + ", ".join(f"'{v}'" for v in values) + f"), int({index}))"
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per landing of a posting, before it becomes a provider payload."""
-    d = F.col("d")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("d"), "text")
-    landings = F.when(d % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    low = (60000 + (d % 50) * 1000).cast("double")
-    unpaid = (d % 3 == 1) & (d % 2 == 0)
-    scale = F.when((d % 3 == 2) & (d % 13 == 0), 1000.0).otherwise(1.0)
-    tag = F.when(d % 29 != 0, pick(TAGS, d % 4))
-    company = F.concat(F.lit("Company "), (d % 37).cast("string"), F.lit("-"), F.floor(d / 900).cast("string"))
-    return docs.select(
-        "*",
-        F.explode(landings).alias("landing"),
-        pick(schemas.PROVIDERS, d % 3).alias("provider"),
-        d.cast("string").alias("id"),
-        pick(TITLES, (F.floor(d / 3) * 7) % 12).alias("title"),
-        F.when(d % 41 != 0, company).alias("company"),
-        F.date_add(F.lit("2026-05-01").cast("date"), (d % 90).cast("int")).alias("posted"),
-        F.when(~unpaid, low / scale).alias("low"),
-        F.when(~unpaid, (low + 20000) / scale).alias("high"),
-        pick(LISTED, d % 4).alias("seniority"),
-        tag.alias("tag"),
-    ).select(
-        "*",
-        F.when(F.col("landing") == 1, F.lit("Data Engineer")).otherwise(F.col("tag")).alias("label"),
-        (
-            F.lit("2026-08-01").cast("timestamp")
-            + F.make_dt_interval(days=(d % 28).cast("int") + F.col("landing") * 3)
-        ).alias("ingested_at"),
-        (d * 2 + F.col("landing")).alias("ordinal"),
+    docs = table(spark, sf_dir, "documents")
+    low = "double(60000 + (d % 50) * 1000)"
+    scale = "if(d % 3 = 2 AND d % 13 = 0, 1000D, 1D)"
+    return (
+        docs.selectExpr("doc_id AS d", "text")
+        .selectExpr("*", "explode(if(d % 5 = 0, array(0, 1), array(0))) AS landing")
+        .selectExpr(
+            "*",
+            f"{pick(schemas.PROVIDERS, 'd % 3')} AS provider",
+            "string(d) AS id",
+            f"{pick(TITLES, '(d div 3 * 7) % 12')} AS title",
+            "if(d % 41 != 0, concat('Company ', string(d % 37), '-', string(d div 900)), NULL) AS company",
+            "date_add(DATE '2026-05-01', int(d % 90)) AS posted",
+            f"if(d % 3 = 1 AND d % 2 = 0, NULL, {low} / {scale}) AS low",
+            f"if(d % 3 = 1 AND d % 2 = 0, NULL, ({low} + 20000) / {scale}) AS high",
+            f"{pick(LISTED, 'd % 4')} AS seniority",
+            f"CASE WHEN landing = 1 THEN 'Data Engineer' WHEN d % 29 != 0 THEN {pick(TAGS, 'd % 4')} END AS label",
+            "TIMESTAMP '2026-08-01 00:00:00' + make_dt_interval(int(d % 28) + landing * 3) AS ingested_at",
+            "d * 2 + landing AS ordinal",
+        )
     )
 
 
-def _payloads() -> dict[str, Column]:
-    d = F.col("d")
-    latitude = F.when(d % 6 != 0, 40.0 + (d % 10) * 0.125)
-    longitude = F.when(d % 6 != 0, -74.0 + (d % 8) * 0.125)
-    flat_one = F.struct(
-        F.col("id").alias("job_id"),
-        F.col("title").alias("job_title"),
-        F.col("company").alias("employer_name"),
-        F.concat(F.lit("https://jobs.example/"), "id").alias("job_apply_link"),
-        F.concat(F.col("posted").cast("string"), F.lit("T00:00:00.000Z")).alias("job_posted_at_datetime_utc"),
-        F.col("text").alias("job_description"),
-        F.lit("New York").alias("job_city"),
-        F.lit("NY").alias("job_state"),
-        F.lit("US").alias("job_country"),
-        latitude.alias("job_latitude"),
-        longitude.alias("job_longitude"),
-        (d % 7 == 3).alias("job_is_remote"),
-        pick(["Full-time", "PARTTIME", "Contractor", "Intern"], d % 4).alias("job_employment_type"),
-        F.col("low").alias("job_min_salary"),
-        F.col("high").alias("job_max_salary"),
-        F.when(d % 11 == 0, "HOUR").otherwise("YEAR").alias("job_salary_period"),
-    )
-    flat_two = F.struct(
-        d.alias("id"),
-        F.col("title").alias("job_title"),
-        "company",
-        F.concat(F.lit("https://jobs.example/"), "id").alias("url"),
-        F.col("posted").cast("string").alias("date_posted"),
-        F.col("text").alias("description"),
-        F.lit("New York, NY").alias("short_location"),
-        F.lit("NY").alias("state_code"),
-        F.lit("US").alias("country_code"),
-        latitude.alias("latitude"),
-        longitude.alias("longitude"),
-        (d % 6 == 1).alias("remote"),
-        (d % 5 == 2).alias("hybrid"),
-        F.array(pick(["full_time", "part_time", "contract", "temporary"], d % 4)).alias("employment_statuses"),
-        F.col("low").alias("min_annual_salary_usd"),
-        F.col("high").alias("max_annual_salary_usd"),
-        "seniority",
-        F.concat(F.date_add("posted", 1).cast("string"), F.lit("T06:00:00Z")).alias("discovered_at"),
-    )
-    nested = F.struct(
-        F.struct(F.col("id").alias("value")).alias("identifier"),
-        "title",
-        F.struct(F.col("company").alias("name")).alias("hiringOrganization"),
-        F.concat(F.lit("https://jobs.example/"), "id").alias("source_url"),
-        F.col("posted").cast("string").alias("datePosted"),
-        F.concat(F.lit("<p>"), "text", F.lit("&amp;nbsp;</p>")).alias("description"),
-        F.struct(
-            F.struct(
-                F.lit("New York").alias("addressLocality"),
-                F.lit("NY").alias("addressRegion"),
-                F.lit("US").alias("addressCountry"),
-            ).alias("address"),
-            F.struct(latitude.alias("latitude"), longitude.alias("longitude")).alias("geo"),
-        ).alias("jobLocation"),
-        F.when(d % 8 == 2, "TELECOMMUTE").alias("jobLocationType"),
-        pick(["FULL_TIME", "PART_TIME", "CONTRACTOR"], d % 4).alias("employmentType"),
-        F.struct(
-            F.struct(
-                F.col("low").alias("minValue"), F.col("high").alias("maxValue"), F.lit("YEAR").alias("unitText")
-            ).alias("value")
-        ).alias("baseSalary"),
-        "seniority",
-    )
-    return {"jsearch": flat_one, "theirstack": flat_two, "builtin": nested}
+LATITUDE = "if(d % 6 != 0, double(40 + (d % 10) * 0.125), NULL)"
+LONGITUDE = "if(d % 6 != 0, double(-74 + (d % 8) * 0.125), NULL)"
+PAYLOADS = {
+    "jsearch": f"""named_struct(
+        'job_id', id, 'job_title', title, 'employer_name', company,
+        'job_apply_link', concat('https://jobs.example/', id),
+        'job_posted_at_datetime_utc', concat(string(posted), 'T00:00:00.000Z'), 'job_description', text,
+        'job_city', 'New York', 'job_state', 'NY', 'job_country', 'US',
+        'job_latitude', {LATITUDE}, 'job_longitude', {LONGITUDE}, 'job_is_remote', d % 7 = 3,
+        'job_employment_type', {pick(["Full-time", "PARTTIME", "Contractor", "Intern"], "d % 4")},
+        'job_min_salary', low, 'job_max_salary', high, 'job_salary_period', if(d % 11 = 0, 'HOUR', 'YEAR'))""",
+    "theirstack": f"""named_struct(
+        'id', d, 'job_title', title, 'company', company, 'url', concat('https://jobs.example/', id),
+        'date_posted', string(posted), 'description', text, 'short_location', 'New York, NY',
+        'state_code', 'NY', 'country_code', 'US', 'latitude', {LATITUDE}, 'longitude', {LONGITUDE},
+        'remote', d % 6 = 1, 'hybrid', d % 5 = 2,
+        'employment_statuses', array({pick(["full_time", "part_time", "contract", "temporary"], "d % 4")}),
+        'min_annual_salary_usd', low, 'max_annual_salary_usd', high, 'seniority', seniority,
+        'discovered_at', concat(string(date_add(posted, 1)), 'T06:00:00Z'))""",
+    "builtin": f"""named_struct(
+        'identifier', named_struct('value', id), 'title', title, 'hiringOrganization', named_struct('name', company),
+        'source_url', concat('https://jobs.example/', id), 'datePosted', string(posted),
+        'description', concat('<p>', text, '&amp;nbsp;</p>'),
+        'jobLocation', named_struct(
+            'address', named_struct('addressLocality', 'New York', 'addressRegion', 'NY', 'addressCountry', 'US'),
+            'geo', named_struct('latitude', {LATITUDE}, 'longitude', {LONGITUDE})),
+        'jobLocationType', if(d % 8 = 2, 'TELECOMMUTE', NULL),
+        'employmentType', {pick(["FULL_TIME", "PART_TIME", "CONTRACTOR"], "d % 4")},
+        'baseSalary', named_struct('value', named_struct('minValue', low, 'maxValue', high, 'unitText', 'YEAR')),
+        'seniority', seniority)""",
+}
 
 
 def landing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Landing rows per provider."""
     rows = facts(spark, sf_dir)
-    out = {}
-    for name, payload in _payloads().items():
-        out[name] = rows.where(F.col("provider") == name).select(
-            F.concat_ws(":", "provider", "label").alias("source"),
-            F.to_json(payload).alias("raw_payload"),
-            "ingested_at",
-            "ordinal",
+    return {
+        name: rows.where(f"provider = '{name}'").selectExpr(
+            "concat_ws(':', provider, label) AS source", f"to_json({payload}) AS raw_payload", "ingested_at", "ordinal"
         )
-    return out
+        for name, payload in PAYLOADS.items()
+    }
 
 
-def enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Label rows, some of them labelled twice."""
-    d = F.col("doc_id")
-    older = F.when(d % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = table(spark, sf_dir, "labels").select("*", F.explode(older).alias("older"))
+def run_of(values: list[str], start: str, n: int) -> str:
+    """SQL text: ``n`` neighbours of a fixed list, wrapping around."""
+    return "array(" + ", ".join(pick(values, f"({start} + {i}) % {len(values)}") for i in range(n)) + ")"
 
-    def run_of(values: list[str], start: Column, n: int) -> Column:
-        return F.array(*[pick(values, (start + i) % len(values)) for i in range(n)])
 
+def typed(df: DataFrame, columns: dict[str, str], schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` from SQL texts, cast to its types."""
+    return df.selectExpr(
+        *[f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+    )
+
+
+def enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label rows, some of them labelled twice."""
+    rows = table(spark, sf_dir, "labels").selectExpr(
+        "doc_id AS d", "quality", "toxic", "explode(if(doc_id % 7 = 0, array(0, 1), array(0))) AS older"
+    )
     columns = {
-        "job_id": d.cast("string"),
-        "source": pick(schemas.PROVIDERS, d % 3),
-        "inferred_seniority": pick(schemas.SENIORITIES, (d * 3) % 4),
-        "role_archetype": F.when(F.col("older") == 1, F.lit("hybrid")).otherwise(pick(ARCHETYPES, (d * 7) % 6)),
-        "work_focus": F.concat(F.lit("focus "), (d % 5).cast("string")),
-        "tech_stack_required": run_of(TOOLS, d % 8, 3),
-        "tech_stack_preferred": F.when(d % 12 == 0, F.array().cast("array<string>")).otherwise(
-            run_of(TOOLS, (d + 3) % 8, 2)
-        ),
-        "paradigms_required": run_of(PARADIGMS, d % 5, 2),
-        "paradigms_preferred": run_of(PARADIGMS, (d + 2) % 5, 1),
-        "degree_requirement": F.when(d % 9 != 0, pick(schemas.DEGREES, d % 4)),
-        "years_required_min": F.when(d % 6 != 5, d % 5),
-        "years_required_max": F.when(d % 6 != 5, d % 5 + 2),
-        "salary_min": F.when(d % 4 != 0, 70000 + (d % 20) * 500),
-        "salary_max": F.when(d % 4 != 0, 90000 + (d % 20) * 500),
-        "acknowledges_ai": F.when(d % 23 != 0, F.col("quality") == 1),
-        "domain": F.when(d % 10 != 0, pick(DOMAINS, d % 6)),
-        "explicitly_encourages_applicants": F.col("toxic") == 1,
-        "confidence_score": F.bround(0.5 + (d % 50) / 100.0, 2),
-        "enriched_at": F.lit("2026-08-20").cast("timestamp")
-        + F.make_dt_interval(days=(d % 3).cast("int") - F.col("older") * 10),
-        "model_version": F.lit("v1"),
+        "job_id": "d",
+        "source": pick(schemas.PROVIDERS, "d % 3"),
+        "inferred_seniority": pick(schemas.SENIORITIES, "(d * 3) % 4"),
+        "role_archetype": f"if(older = 1, 'hybrid', {pick(ARCHETYPES, '(d * 7) % 6')})",
+        "work_focus": "concat('focus ', string(d % 5))",
+        "tech_stack_required": run_of(TOOLS, "d % 8", 3),
+        "tech_stack_preferred": f"if(d % 12 = 0, CAST(array() AS array<string>), {run_of(TOOLS, '(d + 3) % 8', 2)})",
+        "paradigms_required": run_of(PARADIGMS, "d % 5", 2),
+        "paradigms_preferred": run_of(PARADIGMS, "(d + 2) % 5", 1),
+        "degree_requirement": f"if(d % 9 != 0, {pick(schemas.DEGREES, 'd % 4')}, NULL)",
+        "years_required_min": "if(d % 6 != 5, d % 5, NULL)",
+        "years_required_max": "if(d % 6 != 5, d % 5 + 2, NULL)",
+        "salary_min": "if(d % 4 != 0, 70000 + (d % 20) * 500, NULL)",
+        "salary_max": "if(d % 4 != 0, 90000 + (d % 20) * 500, NULL)",
+        "acknowledges_ai": "if(d % 23 != 0, quality = 1, NULL)",
+        "domain": f"if(d % 10 != 0, {pick(DOMAINS, 'd % 6')}, NULL)",
+        "explicitly_encourages_applicants": "toxic = 1",
+        "confidence_score": "(50 + d % 50) / 100D",
+        "enriched_at": "TIMESTAMP '2026-08-20 00:00:00' + make_dt_interval(int(d % 3) - older * 10)",
+        "model_version": "'v1'",
     }
-    return rows.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.ENRICHMENT.fields])
+    return typed(rows, columns, schemas.ENRICHMENT)
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,20 +155,17 @@ def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credit log: one row per event, the event type as its source."""
-    e = F.col("event_id")
-    remaining = 200 - (F.floor(e / 5) % 190)
     columns = {
-        "run_id": e.cast("string"),
-        "run_at": F.col("ts"),
-        "source": F.col("event_type"),
-        "credits_remaining": remaining,
-        "credits_limit": F.when(e % 17 != 0, F.lit(200)),
-        "credits_used_cumulative": F.when(e % 13 != 0, 200 - remaining),
-        "credits_used_this_run": F.when(e % 11 != 0, e % 7),
-        "reset_date": F.when(e % 19 != 0, F.lit("2024-02-10T00:00:00")),
+        "run_id": "event_id",
+        "run_at": "ts",
+        "source": "event_type",
+        "credits_remaining": "200 - (event_id div 5) % 190",
+        "credits_limit": "if(event_id % 17 != 0, 200, NULL)",
+        "credits_used_cumulative": "if(event_id % 13 != 0, (event_id div 5) % 190, NULL)",
+        "credits_used_this_run": "if(event_id % 11 != 0, event_id % 7, NULL)",
+        "reset_date": "if(event_id % 19 != 0, '2024-02-10T00:00:00', NULL)",
     }
-    rows = table(spark, sf_dir, "events")
-    return rows.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.USAGE.fields])
+    return typed(table(spark, sf_dir, "events"), columns, schemas.USAGE)
 
 
 def hourly_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,24 +194,24 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model responses for the labelled documents, two attempts each, some of them bad."""
-    d = F.col("doc_id")
-    rows = table(spark, sf_dir, "labels").select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt"))
-    bad = F.col("attempt") == 1
-    low = d % 5
-    answer = F.struct(
-        F.when(bad & (d % 10 == 1), "Senior").otherwise(pick(schemas.SENIORITIES, d % 4)).alias("inferred_seniority"),
-        pick(ARCHETYPES, (d * 7) % 6).alias("role_archetype"),
-        F.when(bad & (d % 10 == 2), "one two three four five six seven eight nine ten eleven")
-        .otherwise(F.lit(" Builds  Reports "))
-        .alias("work_focus"),
-        F.array(F.lit(" SQL"), pick(TOOLS, d % 8)).alias("tech_stack_required"),
-        pick(schemas.DEGREES, d % 4).alias("degree_requirement"),
-        low.alias("years_required_min"),
-        F.when(bad & (d % 10 == 3), low - 1).otherwise(low + 1).alias("years_required_max"),
-        (F.col("quality") == 1).alias("acknowledges_ai"),
-        F.when(d % 2 == 0, "").otherwise("Finance ").alias("domain"),
-        (F.col("toxic") == 1).alias("explicitly_encourages_applicants"),
-        F.when(d % 10 == 4, 1.5).otherwise(0.75).alias("confidence_score"),
+    rows = table(spark, sf_dir, "labels").selectExpr(
+        "doc_id AS d", "quality", "toxic", "explode(array(1, 2)) AS attempt"
+    )
+    answer = f"""named_struct(
+        'inferred_seniority', if(attempt = 1 AND d % 10 = 1, 'Senior', {pick(schemas.SENIORITIES, "d % 4")}),
+        'role_archetype', {pick(ARCHETYPES, "(d * 7) % 6")},
+        'work_focus', if(attempt = 1 AND d % 10 = 2,
+            'one two three four five six seven eight nine ten eleven', ' Builds  Reports '),
+        'tech_stack_required', array(' SQL', {pick(TOOLS, "d % 8")}),
+        'degree_requirement', {pick(schemas.DEGREES, "d % 4")},
+        'years_required_min', d % 5,
+        'years_required_max', if(attempt = 1 AND d % 10 = 3, d % 5 - 1, d % 5 + 1),
+        'acknowledges_ai', quality = 1,
+        'domain', if(d % 2 = 0, '', 'Finance '),
+        'explicitly_encourages_applicants', toxic = 1,
+        'confidence_score', if(d % 10 = 4, 1.5, 0.75))"""
+    return rows.selectExpr(
+        "string(d) AS job_id",
+        "attempt",
+        f"if(attempt = 1 AND d % 10 = 5, '{{not json', to_json({answer})) AS response",
     )
-    text = F.when(bad & (d % 10 == 5), F.lit("{not json")).otherwise(F.to_json(answer))
-    return rows.select(d.cast("string").alias("job_id"), "attempt", text.alias("response"))
