@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import as_column
+from ..session import materialize
 
 
 def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFrame:
@@ -28,11 +29,15 @@ def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFram
     ``text_a, text_b`` (raw texts). Empty and NULL texts pair with nothing.
     """
     raw = as_column(column)
+    # Each text grows into hundreds of segments, so the number of tasks must not shrink
+    # with the small input, as adaptive coalescing would have it.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = (
         df.select(raw.alias("text"))
         .where(F.length("text") > 0)
         .distinct()
-        .select("text", F.lower("text").alias("low"), F.length("text").alias("raw_len"))
+        .repartition(tasks)
+        .select("text", F.lower("text").alias("low"))
         .withColumn("len", F.length("low"))
     )
     # A lower-cased text is never shorter than the raw one, so this bound on the edits
@@ -50,8 +55,6 @@ def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFram
         .withColumn("size", F.expr("base + if(i >= k + 1 - extra, 1, 0)"))
         .select(
             F.col("text").alias("text_b"),
-            F.col("low").alias("low_b"),
-            F.col("raw_len").alias("raw_b"),
             F.col("L").cast("int").alias("L"),
             "i",
             F.expr("substring(low, int(at), int(size))").alias("segment"),
@@ -60,10 +63,12 @@ def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFram
 
     # Shorter side: for every length the longer text may have, the substrings that could
     # be its segments. The window of start positions is the multi-match-aware one.
+    # Only lengths that occur are tried; there are at most as many as the longest text.
+    lengths = texts.agg(F.collect_set("len").alias("lengths")).scalar()
+    reach = F.expr(f"sequence(len, int(floor(len / (1 - {ratio}) + 1e-9)))")
     shorter = (
-        texts.withColumn(
-            "L", F.explode(F.expr(f"sequence(len, int(floor(len / (1 - {ratio}) + 1e-9)))"))
-        )
+        texts.withColumn("lengths", lengths)
+        .withColumn("L", F.explode(F.filter(reach, lambda n: F.array_contains("lengths", n))))
         .withColumn("k", F.expr(edits))
         .where(F.expr("L - len <= k"))
         .withColumn("base", F.expr("L div (k + 1)"))
@@ -77,24 +82,24 @@ def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFram
         .withColumn("p", F.explode(F.expr("sequence(first, last)")))
         .select(
             F.col("text").alias("text_a"),
-            F.col("low").alias("low_a"),
-            F.col("raw_len").alias("raw_a"),
             F.col("len").alias("len_a"),
             "L",
             "i",
             F.expr("substring(low, p, size)").alias("segment"),
         )
     )
-    bound = F.floor(F.lit(ratio) * F.greatest("raw_a", "raw_b") + F.lit(1e-9)).cast("int")
-    distance = F.call_function("levenshtein", F.col("low_a"), F.col("low_b"), bound)
-    close = (distance >= 0) & (distance / F.greatest("raw_a", "raw_b") <= ratio)
-    found = (
+    # A pair can share several segments: group it first, which also spreads the pairs of a
+    # common segment over all tasks, and compute the distance once per pair.
+    size = F.greatest(F.length("text_a"), F.length("text_b"))
+    candidates = (
         shorter.join(longer, ["L", "i", "segment"])
         .where((F.col("len_a") < F.col("L")) | (F.col("text_a") < F.col("text_b")))
-        .where(close)
-        .select("text_a", "text_b")
-        .distinct()
+        .groupBy("text_a", "text_b")
+        .agg(F.max(size).alias("size"))
     )
+    bound = F.floor(F.lit(ratio) * F.col("size") + F.lit(1e-9)).cast("int")
+    distance = F.call_function("levenshtein", F.lower("text_a"), F.lower("text_b"), bound)
+    found = candidates.where((distance >= 0) & (distance / F.col("size") <= ratio))
     both_ways = F.array(
         F.struct(F.col("text_a"), F.col("text_b")),
         F.struct(F.col("text_b").alias("text_a"), F.col("text_a").alias("text_b")),
@@ -129,6 +134,7 @@ def fuzzy_pairs(
         *keep,
         F.floor(number / block).cast("int").alias("block"),
     ).where("id is not null and title is not null and company is not null and day is not null")
+    rows = materialize(rows)  # read by both text joins and both sides of the pair join
     data = ["id", "title", "company", "day", *keep]
 
     titles = similar_texts(rows, "title", title_ratio)

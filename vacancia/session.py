@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "vacancia", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,14 +40,29 @@ def local_session(app: str = "vacancia-local", cpus: int | None = None) -> Spark
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The cluster's shared checkpoint folder; ``fallback`` is used only where none is set."""
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(folder)
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder all executors share, from ``spark.checkpoint.dir``.
+
+    A single-JVM session without one gets a folder of its own; a cluster session without
+    one has none, since a machine-local folder would not survive the machine.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="vacancia-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame that several joins read to the shared folder and read it back.
+
+    A written table survives lost executors and, unlike a checkpointed RDD, keeps column
+    pruning and size statistics. Without a shared folder the frame is recomputed instead.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/vacancia-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
