@@ -13,6 +13,9 @@ LANDING = T.StructType(
     ]
 )
 
+# The landing table as stored: one directory per provider.
+STORED_LANDING = T.StructType([*LANDING.fields, T.StructField("provider", T.StringType())])
+
 ENRICHMENT = T.StructType(
     [
         T.StructField("job_id", T.StringType()),

@@ -64,7 +64,7 @@ def land(rows: DataFrame, path: str) -> DataFrame:
 
 def read_landing(spark: SparkSession, path: str, provider: str | None = None) -> DataFrame:
     """Landing rows; one provider reads only its own directory."""
-    table = spark.read.schema(schemas.LANDING.add("provider", "string")).parquet(path)
+    table = spark.read.schema(schemas.STORED_LANDING).parquet(path)
     return table if provider is None else table.where(F.col("provider") == provider).drop("provider")
 
 

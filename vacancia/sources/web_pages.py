@@ -69,7 +69,7 @@ class _LabelFinder(HTMLParser):
             self.open.append(tag)
         if not self.main and values.get("id") == "main":
             self.main = len(self.open)
-        elif self.main:
+        elif self.main > 0:
             if tag == "div" and "align-items-start" in classes and "gap-sm" in classes:
                 self.seen += 1
                 self.boxes.append(

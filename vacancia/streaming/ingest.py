@@ -28,4 +28,4 @@ def land_new_files(spark: SparkSession, inbox: str, landing: str, state: str) ->
 
 
 def landed(spark: SparkSession, landing: str) -> DataFrame:
-    return spark.read.schema(schemas.LANDING.add("provider", "string")).parquet(landing)
+    return spark.read.schema(schemas.STORED_LANDING).parquet(landing)
