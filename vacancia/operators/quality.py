@@ -157,26 +157,51 @@ def validate(df: DataFrame, response: str) -> DataFrame:
     A missing array is empty while an explicit null is an error; unknown keys are ignored;
     numeric and boolean texts are converted; enumerations are case-sensitive.
     """
-    doc = F.try_parse_json(F.col(response))
-    parsed = df.withColumn("__doc", doc)
-    is_object = F.coalesce(F.schema_of_variant("__doc").startswith("OBJECT"), F.lit(False))
+    scalars = [*STRING_FIELDS, "work_focus", *INT_FIELDS, *BOOL_FIELDS, "domain", "confidence_score"]
+    doc = "__doc"
 
-    def kind(name: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get("__doc", f"$.{name}", "variant"))
+    def node(name: str) -> Column:
+        return F.try_variant_get(doc, f"$.{name}", "variant")
 
-    def text(name: str) -> Column:
-        return F.try_variant_get("__doc", f"$.{name}", "string")
+    def strings(name: str) -> Column:
+        """Elements as normalised texts, NULL for one that is not a text."""
+        items = F.try_variant_get(doc, f"$.{name}", "array<variant>")
+        item = lambda v: F.when(
+            F.schema_of_variant(v) == "STRING", F.lower(strip_whitespace(F.try_variant_get(v, "$", "string")))
+        )
+        return F.transform(items, item)
+
+    # Every field is taken out of the document once, as its kind and its text. The
+    # generator keeps later filters on the result from repeating the extraction.
+    taken = [F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False)).alias("__object")]
+    for name in (*scalars, *schemas.ARRAY_COLUMNS):
+        taken.append(F.schema_of_variant(node(name)).alias(f"__kind_{name}"))
+    for name in scalars:
+        taken.append(F.try_variant_get(doc, f"$.{name}", "string").alias(f"__text_{name}"))
+    for name in schemas.ARRAY_COLUMNS:
+        taken.append(strings(name).alias(f"__strings_{name}"))
+    parsed = df.withColumn(doc, F.try_parse_json(F.col(response)))
+    parsed = parsed.select(*df.columns, F.inline(F.array(F.struct(*taken))))
 
-    errors: list[Column] = [F.when(~is_object, F.lit("response: not a JSON object"))]
+    errors: list[Column] = [F.when(~F.col("__object"), F.lit("response: not a JSON object"))]
     fields: dict[str, Column] = {}
 
+    def kind(name: str) -> Column:
+        return F.col(f"__kind_{name}")
+
+    def text(name: str) -> Column:
+        return F.col(f"__text_{name}")
+
     def check(name: str, bad: Column, reason: str) -> None:
-        failed = is_object & F.coalesce(bad, F.lit(True))
+        failed = F.col("__object") & F.coalesce(bad, F.lit(True))
         errors.append(F.when(failed, F.lit(f"{name}: {reason}")))
 
     def is_text(name: str) -> Column:
         return F.coalesce(kind(name) == "STRING", F.lit(False))
 
+    def is_bool(name: str) -> Column:
+        return F.coalesce(kind(name) == "BOOLEAN", F.lit(False))
+
     def absent(name: str) -> Column:
         return kind(name).isNull() | (kind(name) == "VOID")
 
@@ -191,44 +216,38 @@ def validate(df: DataFrame, response: str) -> DataFrame:
     check("work_focus", is_text("work_focus") & (words > MAX_FOCUS_WORDS), "too many words")
 
     for name in schemas.ARRAY_COLUMNS:
-        items = F.try_variant_get("__doc", f"$.{name}", "array<variant>")
-        strings = F.transform(items, lambda v: F.lower(strip_whitespace(F.try_variant_get(v, "$", "string"))))
-        fields[name] = F.coalesce(strings, empty_strings())
-        ok = F.when(kind(name).isNull(), True).otherwise(
-            kind(name).startswith("ARRAY")
-            & F.forall(items, lambda v: F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False)))
-        )
-        check(name, ~ok, "not a list of texts")
+        items = F.col(f"__strings_{name}")
+        fields[name] = F.coalesce(items, empty_strings())
+        is_list = kind(name).startswith("ARRAY") & F.forall(items, lambda v: v.isNotNull())
+        check(name, ~F.when(kind(name).isNull(), True).otherwise(is_list), "not a list of texts")
+
+    def number(name: str, to: str) -> Column:
+        """Numbers and numeric texts; true and false count as 1 and 0."""
+        flag = F.when(text(name) == "true", 1).otherwise(0).cast(to)
+        return F.when(is_bool(name), flag).otherwise(strip_whitespace(text(name)).try_cast(to))
 
     for name in INT_FIELDS:
-        number = strip_whitespace(text(name)).try_cast("decimal(38,6)")
-        whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-        is_bool = F.coalesce(kind(name) == "BOOLEAN", F.lit(False))
-        value = F.when(is_bool, F.try_variant_get("__doc", f"$.{name}", "boolean").cast("bigint")).otherwise(whole)
+        exact = number(name, "decimal(38,6)")
+        value = F.when(exact == F.floor(exact), exact.try_cast("bigint"))
         fields[name] = F.when(~absent(name), value)
         check(name, ~absent(name) & value.isNull(), "not a whole number")
 
     for name in BOOL_FIELDS:
-        word = F.lower(text(name))
-        number = F.try_variant_get("__doc", f"$.{name}", "double")
-        numeric = ~is_text(name) & (kind(name) != "BOOLEAN")
-        value = (
-            F.when(numeric & (number == 1.0), True)
-            .when(numeric & (number == 0.0), False)
+        word, amount = F.lower(text(name)), text(name).try_cast("double")
+        numeric = ~is_text(name) & ~is_bool(name) & ~absent(name)
+        fields[name] = (
+            F.when(numeric & (amount == 1.0), True)
+            .when(numeric & (amount == 0.0), False)
             .when(~numeric & word.isin(TRUE_TEXTS), True)
             .when(~numeric & word.isin(FALSE_TEXTS), False)
         )
-        fields[name] = value
-        check(name, value.isNull(), "not a boolean")
+        check(name, fields[name].isNull(), "not a boolean")
 
-    domain = text("domain")
-    fields["domain"] = F.when(is_text("domain") & (domain != ""), F.lower(strip_whitespace(domain)))
+    stated = is_text("domain") & (text("domain") != "")
+    fields["domain"] = F.when(stated, F.lower(strip_whitespace(text("domain"))))
     check("domain", ~absent("domain") & ~is_text("domain"), "not a text")
 
-    score = F.when(
-        F.coalesce(kind("confidence_score") == "BOOLEAN", F.lit(False)),
-        F.try_variant_get("__doc", "$.confidence_score", "boolean").cast("double"),
-    ).otherwise(strip_whitespace(text("confidence_score")).try_cast("double"))
+    score = number("confidence_score", "double")
     fields["confidence_score"] = score
     check("confidence_score", score.isNull(), "not a number")
     check("confidence_score", score.isNotNull() & ~score.between(0.0, 1.0), "outside 0.0-1.0")
@@ -236,13 +255,11 @@ def validate(df: DataFrame, response: str) -> DataFrame:
     low, high = fields["years_required_min"], fields["years_required_max"]
     check("years_required", low.isNotNull() & high.isNotNull() & (low > high), "min above max")
 
-    out = [F.col(c) for c in df.columns]
-    checked = parsed.select(
-        *out,
+    return parsed.select(
+        *df.columns,
         *[fields[name].alias(name) for name in fields],
         F.array_compact(F.array(*errors)).alias("errors"),
     )
-    return checked
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
