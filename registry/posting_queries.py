@@ -619,7 +619,49 @@ def finding_salary_with_stack(spark, sf):
     return findings.presence_rate(testbed.mart(spark, sf), "tech_stack_preferred", "final_salary_min")
 
 
-@query("headline_metrics")
+def number(expression: str) -> str:
+    return f"CAST(round_even({expression}, 4)::DOUBLE AS VARCHAR)"
+
+
+DISCLOSED = "count(*) FILTER (final_salary_min IS NOT NULL AND final_salary_max IS NOT NULL)::DOUBLE / count(*)"
+BY_ROLE = "FROM classified GROUP BY title_role_bucket"
+MISMATCH = " UNION ALL ".join(
+    f"""SELECT 'listed_vs_inferred_seniority_pct.' || listed_seniority || '.{s}',
+      {number(f"round_even(count(*) FILTER (inferred_seniority = '{s}')::DOUBLE / count(*), 2)")}
+    FROM classified WHERE listed_seniority IS NOT NULL AND inferred_seniority IS NOT NULL GROUP BY listed_seniority"""
+    for s in schemas.SENIORITIES
+)
+
+
+@query(
+    "headline_metrics",
+    MART
+    + f"""SELECT 'dataset.total_postings' AS path, CAST(count(*) AS VARCHAR) AS value FROM classified
+    UNION ALL SELECT 'dataset.unique_companies', CAST(count(DISTINCT company_name) AS VARCHAR) FROM classified
+    UNION ALL SELECT 'dataset.sources', CAST(count(DISTINCT source) AS VARCHAR) FROM classified
+    UNION ALL SELECT 'dataset.date_min', CAST(min(date_posted) AS VARCHAR) FROM classified
+    UNION ALL SELECT 'dataset.date_max', CAST(max(date_posted) AS VARCHAR) FROM classified
+    UNION ALL SELECT 'dataset.last_ingested', CAST(CAST(max(ingested_at) AS DATE) AS VARCHAR) FROM classified
+    UNION ALL SELECT 'dataset.salary_disclosed_rate', {number(DISCLOSED)} FROM classified
+    UNION ALL SELECT 'postings_by_role.' || title_role_bucket, CAST(count(*) AS VARCHAR) {BY_ROLE}
+    UNION ALL SELECT 'title_self_consistency.overall_rate',
+      {number(f"count(*) FILTER ({AGREE})::DOUBLE / count(*)")} FROM classified WHERE role_archetype IS NOT NULL
+    UNION ALL SELECT 'title_self_consistency.by_role.' || title_role_bucket,
+      {number(f"count(*) FILTER ({AGREE})::DOUBLE / count(*)")} FROM classified WHERE role_archetype IS NOT NULL
+      GROUP BY title_role_bucket
+    UNION ALL SELECT 'median_salary_by_role.' || title_role_bucket, {number("round_even(median(salary_mid), 0)")}
+      FROM paid GROUP BY title_role_bucket
+    UNION ALL SELECT 'ai_acknowledgment.overall_rate',
+      {number("count(*) FILTER (acknowledges_ai)::DOUBLE / count(*)")} FROM classified
+    UNION ALL SELECT 'ai_acknowledgment.by_role.' || title_role_bucket,
+      {number("round_even(count(*) FILTER (acknowledges_ai)::DOUBLE / count(*), 3)")} {BY_ROLE}
+    UNION ALL SELECT 'masters_degree_rate_by_role.' || title_role_bucket,
+      {number("round_even(count(*) FILTER (degree_requirement = 'masters')::DOUBLE / count(*), 3)")}
+      FROM classified WHERE degree_requirement IS NOT NULL GROUP BY title_role_bucket
+    UNION ALL {MISMATCH}
+    UNION ALL SELECT 'encourages_applicants_overall_rate',
+      {number("count(*) FILTER (explicitly_encourages_applicants)::DOUBLE / count(*)")} FROM classified""",
+)
 def headline_metrics(spark, sf):
     return findings.headline_metrics(testbed.mart(spark, sf))
 
@@ -1193,3 +1235,139 @@ def staging_overlay(spark, sf):
 def samples_per_source(spark, sf):
     staged = stage_all(testbed.landing(spark, sf)).select("source", "job_id", "job_title")
     return ranking.sample_per_group(staged, ["source"], 2, ["job_id"])
+
+
+@query(
+    "landing_wrap",
+    """SELECT CASE WHEN doc_id % 29 != 0 THEN 'jsearch:' || lang ELSE 'jsearch' END AS source, doc_id * 2 AS ordinal,
+      CAST(doc_id AS VARCHAR) AS id, n_chars AS size, TIMESTAMP '2026-08-01' AS ingested_at FROM documents""",
+)
+def landing_wrap(spark, sf):
+    records = testbed.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), "n_chars", "lang", (F.col("doc_id") * 2).alias("pos")
+    )
+    label = F.when(F.col("id") % 29 != 0, F.col("lang"))
+    rows = land.wrap_records(records, "jsearch", label, F.lit("2026-08-01").cast("timestamp"), "pos")
+    return land.with_payload(rows).select(
+        "source", "ordinal", land.text_field("$.id").alias("id"), land.field("$.n_chars", "bigint").alias("size"),
+        "ingested_at",
+    )
+
+
+@query(
+    "home_kpis",
+    MART
+    + """SELECT count(*) AS postings, count(DISTINCT source) AS sources, count(DISTINCT company_name) AS companies,
+      max(ingested_at) AS latest_ingested FROM mart""",
+)
+def home_kpis(spark, sf):
+    return dashboard.home_kpis(testbed.mart(spark, sf))
+
+
+@query(
+    "label_preview_tools",
+    "WITH " + ENRICHMENT
+    + """SELECT value, count(*) AS n FROM (SELECT unnest(list_concat(coalesce(tech_stack_required, []),
+      coalesce(tech_stack_preferred, []))) AS value FROM enrichment) GROUP BY ALL ORDER BY n DESC, value LIMIT 15""",
+)
+def label_preview_tools(spark, sf):
+    return findings.label_preview(testbed.enrichment(spark, sf))["tools"]
+
+
+@query(
+    "label_preview_confidence",
+    "WITH " + ENRICHMENT
+    + """SELECT count(confidence_score) AS count, round(avg(confidence_score), 6) AS mean,
+      round(stddev_samp(confidence_score), 6) AS std, min(confidence_score) AS min,
+      round(quantile_cont(confidence_score, 0.25), 6) AS q25, round(median(confidence_score), 6) AS median,
+      round(quantile_cont(confidence_score, 0.75), 6) AS q75, max(confidence_score) AS max FROM enrichment""",
+)
+def label_preview_confidence(spark, sf):
+    row = findings.label_preview(testbed.enrichment(spark, sf))["confidence"]
+    for name in ("mean", "std", "q25", "median", "q75"):
+        row = row.withColumn(name, F.round(name, 6))
+    return row
+
+
+@query(
+    "array_distribution",
+    "WITH " + ENRICHMENT
+    + """, v AS (SELECT unnest(tech_stack_required) AS value FROM enrichment)
+    SELECT value, count(*) AS n, round_even(100.0 * count(*) / (SELECT count(*) FROM v), 1)::DOUBLE AS pct
+    FROM v GROUP BY ALL""",
+)
+def array_distribution(spark, sf):
+    return agg.distribution(testbed.enrichment(spark, sf), "tech_stack_required")
+
+
+@query(
+    "label_profile_gap",
+    "WITH " + ENRICHMENT
+    + """, r AS (SELECT source, avg(CASE WHEN domain IS NULL THEN 1.0 ELSE 0.0 END) AS d,
+        avg(CASE WHEN model_salary_min IS NULL THEN 1.0 ELSE 0.0 END) AS s FROM enrichment GROUP BY source),
+    w AS (SELECT 'domain' AS "column", max(d) FILTER (source = 'jsearch') AS jsearch,
+        max(d) FILTER (source = 'theirstack') AS theirstack, max(d) FILTER (source = 'builtin') AS builtin FROM r
+      UNION ALL SELECT 'salary_min', max(s) FILTER (source = 'jsearch'), max(s) FILTER (source = 'theirstack'),
+        max(s) FILTER (source = 'builtin') FROM r)
+    SELECT "column", round(jsearch, 6) AS jsearch, round(theirstack, 6) AS theirstack, round(builtin, 6) AS builtin,
+      round_even(jsearch - (theirstack + builtin) / 2, 1) AS gap FROM w""",
+)
+def label_profile_gap(spark, sf):
+    labels = testbed.enrichment(spark, sf)
+    profiles = {
+        p: profiling.null_rates(labels.where(F.col("source") == p), ["domain", "salary_min"]) for p in schemas.PROVIDERS
+    }
+    table = joins.compare_profiles(profiles, "column", "null_rate", gap_for="jsearch")
+    return table.select("column", *[F.round(p, 6).alias(p) for p in schemas.PROVIDERS], "gap")
+
+
+@query(
+    "seniority_matrix_agreement",
+    MART
+    + """, named AS (SELECT
+      CASE listed_seniority WHEN 'entry_level' THEN 'Entry' WHEN 'junior' THEN 'Junior' WHEN 'mid_level' THEN 'Mid' END
+        AS listed,
+      CASE inferred_seniority WHEN 'entry' THEN 'Entry' WHEN 'junior' THEN 'Junior' WHEN 'mid' THEN 'Mid'
+        WHEN 'senior' THEN 'Senior' END AS inferred FROM classified)
+    SELECT count(*) FILTER (listed = inferred) AS agree, count(*) AS total,
+      round(count(*) FILTER (listed = inferred)::DOUBLE / count(*), 6) AS rate FROM named
+    WHERE listed IS NOT NULL AND inferred IS NOT NULL""",
+)
+def seniority_matrix_agreement(spark, sf):
+    row = dashboard.seniority_matrix(testbed.mart(spark, sf))["agreement"]
+    return row.withColumn("rate", F.round("rate", 6))
+
+
+@query(
+    "staging_text_audit",
+    WITH_STAGED
+    + """SELECT source, count(*) AS total, count(description) AS present,
+      count(*) FILTER (description IS NULL OR description = '') AS missing, round(avg(length(description)), 4) AS avg_length,
+      CAST(min(length(description)) AS INTEGER) AS min_length, CAST(max(length(description)) AS INTEGER) AS max_length
+    FROM staged GROUP BY ALL""",
+)
+def staging_text_audit(spark, sf):
+    result = profiling.text_audit(stage_all(testbed.landing(spark, sf)), "description", ["source"])
+    return result.withColumn("avg_length", F.round("avg_length", 4))
+
+
+@query(
+    "mart_box_summary",
+    MART
+    + """SELECT role_archetype, count(*) AS count, min(final_salary_min) AS min,
+      quantile_cont(final_salary_min, 0.25) AS q25, median(final_salary_min) AS median,
+      quantile_cont(final_salary_min, 0.75) AS q75, max(final_salary_min) AS max FROM mart
+    WHERE final_salary_min <= 300000 AND role_archetype IS NOT NULL GROUP BY ALL HAVING count(*) >= 10""",
+)
+def mart_box_summary(spark, sf):
+    return agg.box_summary(testbed.mart(spark, sf), "role_archetype", "final_salary_min", 10, 300_000)
+
+
+@query(
+    "weekly_postings",
+    MART + "SELECT CAST(date_trunc('week', date_posted) AS DATE) AS week, count(*) AS n FROM mart GROUP BY ALL",
+)
+def weekly_postings(spark, sf):
+    from vacancia.functions.dates import week_start
+
+    return agg.weekly_trend(testbed.mart(spark, sf), week_start("date_posted"))

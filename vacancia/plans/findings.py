@@ -10,8 +10,14 @@ from ..functions.arrays import array_union_all, classify_by_sets, non_empty
 from ..functions.text import map_values, role_key
 from ..operators import aggregates as agg
 from ..operators import metrics, ranking
+from ..session import materialize
 
 ROLE = "title_role_bucket"
+HEADLINE_COLUMNS = [
+    ROLE, "company_name", "source", "date_posted", "ingested_at", "final_salary_min", "final_salary_max",
+    "early_career_tier", "role_archetype", "acknowledges_ai", "explicitly_encourages_applicants",
+    "degree_requirement", "listed_seniority", "inferred_seniority", "years_required_min",
+]
 
 
 def classified(mart: DataFrame) -> DataFrame:
@@ -153,7 +159,11 @@ def seniority_mismatch(mart: DataFrame) -> dict[str, DataFrame]:
 
 
 def headline_metrics(mart: DataFrame) -> DataFrame:
-    """The headline document in long form (path, value)."""
+    """The headline document in long form (path, value).
+
+    A dozen aggregates read the postings, so their columns are written once and re-read.
+    """
+    mart = materialize(mart.select(*HEADLINE_COLUMNS))
     snapshot = top_level_snapshot(mart).select(
         "total_postings", "unique_companies", "sources", "date_min", "date_max", "last_ingested",
         "salary_disclosed_rate",

@@ -12,7 +12,7 @@ from ..operators.metrics import diff_metrics
 def write_snapshot(doc: DataFrame, run_date: str, path: str) -> None:
     """Store a metric document under its date, replacing an earlier run of that date."""
     dated = doc.withColumn("run_date", F.lit(run_date).cast("date"))
-    writer = dated.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = dated.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("run_date").parquet(path)
 
 
