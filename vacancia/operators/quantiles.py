@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 20_000  # sketch rank error is at most n / ACCURACY
+ACCURACY = 10_000  # sketch rank error is at most n / ACCURACY
 MARGIN = 5 / ACCURACY  # bracket half-width as a share of the group
 SMALL_GROUP = 20_000  # groups up to this size keep all their values
 
@@ -49,6 +49,8 @@ def group_quantiles(
 
     slim = rows.select(*keys, "__v")
     if keys:
+        # No broadcast hint: adaptive execution broadcasts the sketch when it turns out
+        # small (reading the rows without regrouping them) and else splits skewed keys.
         match = F.lit(True)
         for key in keys:
             match = match & F.col(key).eqNullSafe(F.col(f"__k_{key}"))
