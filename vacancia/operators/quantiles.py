@@ -3,8 +3,10 @@
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here a
 sketch finds, per group, a narrow bracket around each wanted rank; rows outside the
 brackets are only counted (one row per group and region), rows inside are counted per
-distinct value, and the wanted ranks are read off the running counts. The sketch decides
-how narrow the bracket is, never the result: a rank outside its bracket raises an error.
+distinct value. Running counts over the regions and over equal steps of each bracket tell
+which step holds a wanted rank; only the values of that step are put in order. The sketch
+decides how narrow the bracket is, never the result: a rank outside its bracket raises an
+error.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 ACCURACY = 10_000  # sketch rank error is at most n / ACCURACY
 MARGIN = 5 / ACCURACY  # bracket half-width as a share of the group
 SMALL_GROUP = 20_000  # groups up to this size keep all their values
+SLOTS = 1024  # equal steps of a bracket, of which only the ones holding a rank are sorted
 
 
 def group_quantiles(
@@ -31,8 +34,8 @@ def group_quantiles(
     ``quantiles`` maps output names to probabilities; ``others`` are ordinary aggregates
     over the groups (they may refer to the value as ``__v``) computed in the same pass.
     """
-    value = (F.col(column) if isinstance(column, str) else column).cast("double")
-    rows = df.withColumn("__v", value)
+    source = F.col(column) if isinstance(column, str) else column
+    rows = df.withColumn("__v", source.cast("double"))
     ranks = sorted(set(quantiles.values()))
     brackets = [(max(p - MARGIN, 0.0), min(p + MARGIN, 1.0)) for p in ranks]
     grid = sorted({edge for bracket in brackets for edge in bracket})
@@ -61,17 +64,45 @@ def group_quantiles(
     def edge(p: float) -> Column:
         return F.col("__s.__edges")[grid.index(p)]
 
-    inside, region = F.col("__s.__n") <= SMALL_GROUP, F.lit(0)
+    value = F.col("__v")
+    inside, region, slot = F.col("__s.__n") <= SMALL_GROUP, F.lit(0), F.lit(-1)
     for low, high in brackets:
-        inside = inside | F.col("__v").between(edge(low), edge(high))
-        region = region + F.when(F.col("__v") > edge(high), 1).otherwise(0)
+        inside = inside | value.between(edge(low), edge(high))
+        region = region + F.when(value > edge(high), 1).otherwise(0)
+    for low, high in reversed(brackets):
+        step = F.floor(F.try_divide(value - edge(low), edge(high) - edge(low)) * SLOTS).cast("int")
+        step = F.least(F.coalesce(step, F.lit(0)), F.lit(SLOTS - 1))
+        here = F.when(value < edge(low), -1).otherwise(step)
+        slot = F.when(value <= edge(high), here).otherwise(slot)
+
     extras = [F.any_value(f"__s.{name}").alias(name) for name in ("__n", *names)]
     cells = placed.groupBy(
-        *keys, region.alias("__region"), F.when(inside, F.col("__v")).alias("__kept")
+        *keys, region.alias("__region"), slot.alias("__slot"), F.when(inside, value).alias("__kept")
     ).agg(F.count("__v").alias("__c"), F.min("__v").alias("__from"), *extras)
 
-    running = Window.partitionBy(*keys).orderBy("__from").rowsBetween(Window.unboundedPreceding, 0)
-    counted = cells.withColumn("__upto", F.sum("__c").over(running))
+    # Which slots hold a wanted rank: at most a few thousand rows per group to order.
+    steps = cells.groupBy(
+        *[F.col(k).alias(f"__k_{k}") for k in keys],
+        F.col("__region").alias("__r"),
+        F.col("__slot").alias("__t"),
+    ).agg(F.sum("__c").alias("__sum"), F.min("__from").alias("__first"), F.any_value("__n").alias("__total"))
+    running = Window.partitionBy(*[f"__k_{k}" for k in keys]).orderBy("__first")
+    running = running.rowsBetween(Window.unboundedPreceding, 0)
+    steps = steps.withColumn("__end", F.sum("__sum").over(running))
+    wanted = F.col("__total") == 0
+    for p in ranks:
+        floor = F.floor((F.col("__total") - 1) * F.lit(p))
+        for position in (floor, F.least(floor + 1, F.col("__total") - 1)):
+            wanted = wanted | ((F.col("__end") > position) & (F.col("__end") - F.col("__sum") <= position))
+    steps = steps.where(wanted).select(
+        *[f"__k_{k}" for k in keys], "__r", "__t", (F.col("__end") - F.col("__sum")).alias("__before")
+    )
+    match = (F.col("__region") == F.col("__r")) & (F.col("__slot") == F.col("__t"))
+    for key in keys:
+        match = match & F.col(key).eqNullSafe(F.col(f"__k_{key}"))
+    within = Window.partitionBy(*keys, "__region", "__slot").orderBy("__from")
+    within = within.rowsBetween(Window.unboundedPreceding, 0)
+    counted = cells.join(steps, match).withColumn("__upto", F.col("__before") + F.sum("__c").over(within))
 
     def at(position: Column) -> Column:
         covers = (F.col("__upto") > position) & (F.col("__upto") - F.col("__c") <= position)
