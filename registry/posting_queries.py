@@ -1193,14 +1193,13 @@ def salary_lost_to_floor(spark, sf):
 @query(
     "payload_field_upsert",
     WITH_FACTS
-    + """SELECT job_id, landing, CASE WHEN d % 3 = 2 AND d % 5 = 0 THEN 'Junior' ELSE seniority END AS seniority,
-      job_title FROM facts WHERE source = 'builtin'""",
+    + """SELECT job_id, landing, CASE WHEN n.n_chars > 500 THEN 'Junior' ELSE seniority END AS seniority,
+      job_title FROM facts JOIN documents n ON n.doc_id = d WHERE facts.source = 'builtin'""",
 )
 def payload_field_upsert(spark, sf):
     rows = testbed.landing(spark, sf)["builtin"]
-    d = F.col("doc_id")
-    patch = testbed.table(spark, sf, "documents").where((d % 3 == 2) & (d % 5 == 0))
-    patch = patch.select(d.cast("string").alias("id"), F.lit("Junior").alias("label"))
+    patch = testbed.table(spark, sf, "documents").where("n_chars > 500")
+    patch = patch.select(F.col("doc_id").cast("string").alias("id"), F.lit("Junior").alias("label"))
     key = F.try_variant_get(F.try_parse_json("raw_payload"), "$.identifier.value", "string")
     patched = upsert_json_field(rows, patch, "raw_payload", key, "seniority", "id", "label")
     return land.with_payload(patched).select(

@@ -51,7 +51,7 @@ def dedupe_priority(spark, sf):
 
 
 FINGERPRINTS = """WITH d AS (
-  SELECT doc_id, source, lower(trim(text[:40])) AS t, lang,
+  SELECT doc_id, source, lower(trim(text)) AS t, lang,
     list_sort(list_distinct(string_split(source || ' ' || lang, ' '))) AS tags FROM documents) """
 
 
@@ -59,7 +59,7 @@ def fingerprint_rows(spark, sf):
     return table(spark, sf, "documents").select(
         "doc_id",
         "source",
-        F.substring("text", 1, 40).alias("t"),
+        F.col("text").alias("t"),
         "lang",
         F.split(F.concat_ws(" ", "source", "lang"), " ").alias("tags"),
     )
@@ -80,12 +80,12 @@ def fingerprint_cap(spark, sf):
 @query(
     "fingerprint_groups",
     FINGERPRINTS
-    + """SELECT t, lower(trim(lang)) AS lang, array_to_string(tags, ',') AS tags, count(*) AS n, min(doc_id) AS first
+    + """SELECT md5(t) AS t, lower(trim(lang)) AS lang, array_to_string(tags, ',') AS tags, count(*) AS n, min(doc_id) AS first
     FROM d GROUP BY ALL HAVING count(*) > 1""",
 )
 def fingerprint_groups(spark, sf):
     groups = dedupe.fingerprint_groups(fingerprint_rows(spark, sf), ["t", "lang"], ["tags"], "doc_id")
-    return groups.withColumn("tags", F.array_join("tags", ","))
+    return groups.withColumn("tags", F.array_join("tags", ",")).withColumn("t", F.md5("t"))
 
 
 @query(
@@ -110,32 +110,34 @@ def cap_large(spark, sf):
     return capped.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
 
 
-TITLES = "regexp_replace(text, '[^a-zA-Z .,]', '', 'g')[:60]"
-FUZZY = f"""WITH d AS (SELECT doc_id, source, {TITLES} AS title, DATE '2024-01-01' + CAST(doc_id % 28 AS INTEGER) AS day
-  FROM documents
-  QUALIFY row_number() OVER (PARTITION BY lower(trim({TITLES})) || ' | ' || lower(trim(source)) ORDER BY doc_id) = 1)
+PAGES = """WITH p AS (SELECT page_id, split_part(url, '/', 3) AS site,
+    regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '[^a-zA-Z ,.]', '', 'g') AS title,
+    DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS day FROM pages),
+  d AS (SELECT * FROM p QUALIFY row_number() OVER (
+    PARTITION BY lower(trim(title)) || ' | ' || lower(trim(site)) ORDER BY page_id) = 1)
 """
 
 
 @query(
     "fuzzy_pairs",
-    FUZZY
-    + """SELECT a.doc_id AS id_a, b.doc_id AS id_b, a.title AS title_a, b.title AS title_b,
-      a.source AS company_a, b.source AS company_b, a.day AS day_a, b.day AS day_b
-    FROM d a JOIN d b ON a.doc_id < b.doc_id AND abs(date_diff('day', a.day, b.day)) <= 3
+    PAGES
+    + """SELECT a.page_id AS id_a, b.page_id AS id_b, a.title AS title_a, b.title AS title_b,
+      a.site AS company_a, b.site AS company_b, a.day AS day_a, b.day AS day_b
+    FROM d a JOIN d b ON a.page_id < b.page_id AND abs(date_diff('day', a.day, b.day)) <= 3
       AND length(a.title) > 0 AND length(b.title) > 0
       AND levenshtein(lower(a.title), lower(b.title)) / greatest(length(a.title), length(b.title)) <= 0.15
-      AND levenshtein(lower(a.source), lower(b.source)) / greatest(length(a.source), length(b.source)) <= 0.35""",
+      AND levenshtein(lower(a.site), lower(b.site)) / greatest(length(a.site), length(b.site)) <= 0.35""",
 )
 def fuzzy_pairs(spark, sf):
-    rows = table(spark, sf, "documents").select(
-        "doc_id",
-        "source",
-        F.substring(F.regexp_replace("text", "[^a-zA-Z .,]", ""), 1, 60).alias("title"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 28).cast("int")).alias("day"),
+    title = F.regexp_replace(F.regexp_extract("html", "<title>([^<]*)</title>", 1), "[^a-zA-Z ,.]", "")
+    rows = table(spark, sf, "pages").select(
+        "page_id",
+        F.split_part("url", F.lit("/"), F.lit(3)).alias("site"),
+        title.alias("title"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 28).cast("int")).alias("day"),
     )
-    unique = dedupe.best_per_expression(rows, dedup_key("title", "source"), F.lit(1), ["doc_id"])
-    return similarity.fuzzy_pairs(unique, "doc_id", "title", "source", "day")
+    unique = dedupe.best_per_expression(rows, dedup_key("title", "site"), F.lit(1), ["page_id"])
+    return similarity.fuzzy_pairs(unique, "page_id", "title", "site", "day")
 
 
 # -- joins and set operations ------------------------------------------------------------
@@ -641,13 +643,13 @@ def weekly_trend_start(spark, sf):
 @query(
     "weekly_trend_end_filled",
     """WITH w AS (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) + 6 AS week, count(*) AS n FROM orders
-      WHERE month(o_orderdate) % 3 = 0 GROUP BY ALL),
+      WHERE o_totalprice > 480000 GROUP BY ALL),
     g AS (SELECT CAST(unnest(generate_series(min(week), max(week), INTERVAL 7 DAY)) AS DATE) AS week FROM w)
     SELECT week, coalesce(n, 0) AS n FROM g LEFT JOIN w USING (week)""",
 )
 def weekly_trend_end_filled(spark, sf):
-    rows = table(spark, sf, "orders").where(F.month("o_orderdate") % 3 == 0)
-    return agg.weekly_trend(rows, dates.week_end("o_orderdate"), fill=True)
+    large = flt.outliers(table(spark, sf, "orders"), "o_totalprice", 480_000)
+    return agg.weekly_trend(large, dates.week_end("o_orderdate"), fill=True)
 
 
 # -- ranking -----------------------------------------------------------------------------
@@ -829,20 +831,21 @@ def excluded_count(spark, sf):
 
 @query(
     "overlay_values",
-    """SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'PATCHED' ELSE c_mktsegment END AS c_mktsegment FROM customer""",
+    """SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'PATCHED' ELSE c_mktsegment END AS c_mktsegment FROM customer""",
 )
 def overlay_values(spark, sf):
-    rows = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    patch = rows.where("c_custkey % 10 = 0").select("c_custkey", F.lit("PATCHED").alias("c_mktsegment"))
+    customers = table(spark, sf, "customer")
+    rows = customers.select("c_custkey", "c_mktsegment")
+    patch = customers.where("c_acctbal < 0").select("c_custkey", F.lit("PATCHED").alias("c_mktsegment"))
     return overlay.overlay(rows, patch, "c_custkey", ["c_mktsegment"])
 
 
 @query(
     "flag_corrections",
-    """SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 0 ELSE toxic END AS toxic FROM labels""",
+    """SELECT doc_id, CASE WHEN lang = 'fr' THEN 0 ELSE toxic END AS toxic FROM labels LEFT JOIN documents USING (doc_id)""",
 )
 def flag_corrections(spark, sf):
-    ids = table(spark, sf, "documents").where("doc_id % 6 = 0").select("doc_id")
+    ids = table(spark, sf, "documents").where("lang = 'fr'").select("doc_id")
     rows = table(spark, sf, "labels").select("doc_id", "toxic")
     return overlay.set_by_ids(rows, ids, "doc_id", "toxic", F.lit(0))
 
