@@ -12,7 +12,7 @@ from vacancia.functions.text import dedup_key
 from vacancia.operators import aggregates as agg
 from vacancia.operators import dedupe, joins, metrics, profiling, quality, ranking
 from vacancia.operators.filters import (
-    DEFAULT_LOCATION_ANY, DEFAULT_MAX_AGE_DAYS, DEFAULT_TITLE_NONE, RELEVANT_TITLES, ExplorerSpec,
+    DEFAULT_LOCATION_ANY, DEFAULT_TITLE_NONE, RELEVANT_TITLES, ExplorerSpec,
     SearchSpec, explorer_summary, keep_titles, range_bounds, search,
 )
 from vacancia.operators.overlay import overlay, upsert_json_field
@@ -116,7 +116,7 @@ SEARCH_SPEC = SearchSpec(
     title_none=DEFAULT_TITLE_NONE,
     location_any=[*DEFAULT_LOCATION_ANY, "(?i)^new york$"],
     allow={"listed_seniority": ["junior", "mid_level"], "country": ["US"]},
-    max_age_days=DEFAULT_MAX_AGE_DAYS,
+    max_age_days=45,
     location="city",
     discovered="ingested_at",
 )
@@ -130,7 +130,7 @@ SEARCH_SPEC = SearchSpec(
       AND NOT regexp_matches(lower(job_title),
         'senior|\\bsr\\b|\\bii\\b|\\biii\\b|\\biv\\b|lead|principal|staff|manager|director|head of')
       AND listed_seniority IN ('junior', 'mid_level')
-      AND date_posted >= DATE '2026-07-30' - 7 AND ingested_at >= TIMESTAMP '2026-08-03'""",
+      AND date_posted >= DATE '2026-07-30' - 45 AND ingested_at >= TIMESTAMP '2026-08-03'""",
 )
 def posting_search(spark, sf):
     staged = staging.stage(testbed.landing(spark, sf)["theirstack"], staging.PROVIDERS["theirstack"])

@@ -366,3 +366,33 @@ def test_deduplication_is_idempotent(spark):
     df = spark.range(100).selectExpr("id % 7 AS k", "id AS v")
     first = dedupe.latest_per_key(df, ["k"], ["v"])
     assert sorted(dedupe.latest_per_key(first, ["k"], ["v"]).collect()) == sorted(first.collect())
+
+
+def test_default_search(spark):
+    day = dt.date(2026, 8, 20)
+    rows = [
+        (1, "Data Analyst", "New York, NY", "junior", "US", day, ts(20)),
+        (2, "Data Analyst II", "New York, NY", "junior", "US", day, ts(20)),
+        (3, "Data Analyst", "Newark, NJ", "junior", "US", day, ts(20)),
+        (4, "Data Analyst", "Brooklyn", "senior", "US", day, ts(20)),
+        (5, "data analyst", "Brooklyn", "mid_level", "US", day - dt.timedelta(8), ts(20)),
+        (6, "data analyst", "Brooklyn", "mid_level", "US", day, ts(18)),
+        (7, "data analyst", "Brooklyn", "mid_level", "US", day, ts(21)),
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "id int, job_title string, location string, seniority string, country_code string, "
+        "date_posted date, discovered_at timestamp",
+    )
+    spec = filters.default_search(["(?i)data analyst"])
+    found = filters.search(df, spec, F.lit(day), F.lit(ts(19)))
+    assert column(found, "id") == [7, 1]
+
+
+def test_publishers_and_relevant_titles(spark):
+    df = spark.createDataFrame(
+        [("Adzuna", "Data Analyst"), ("Acme", "DATA ENGINEER"), (None, "Cook"), ("Acme", None)], "p string, t string"
+    )
+    spec = filters.SearchSpec(deny={"p": filters.DENIED_PUBLISHERS})
+    assert filters.search(df, spec, newest_first=False).count() == 3
+    assert column(filters.keep_titles(df, "t", filters.RELEVANT_TITLES), "p") == ["Adzuna", "Acme"]

@@ -97,6 +97,8 @@ DEFAULT_TITLE_NONE = [
     "(?i)non.paid", "(?i)volunteer",
 ]
 DEFAULT_LOCATION_ANY = ["(?i)^new york,", "(?i)new york city", "(?i)manhattan", "(?i)brooklyn"]
+DEFAULT_SENIORITIES = ["junior", "mid_level"]
+DEFAULT_COUNTRIES = ["US"]
 DEFAULT_MAX_AGE_DAYS = 7
 
 # Publishers the first provider is asked to leave out.
@@ -110,6 +112,17 @@ DENIED_PUBLISHERS = [
 RELEVANT_TITLES = ["data analyst", "data engineer", "analytics engineer", "data scientist"]
 
 
+def default_search(title_any: Sequence[str]) -> SearchSpec:
+    """The second provider's standing search for one role."""
+    return SearchSpec(
+        title_any=title_any,
+        title_none=DEFAULT_TITLE_NONE,
+        location_any=DEFAULT_LOCATION_ANY,
+        allow={"seniority": DEFAULT_SENIORITIES, "country_code": DEFAULT_COUNTRIES},
+        max_age_days=DEFAULT_MAX_AGE_DAYS,
+    )
+
+
 def search_predicate(spec: SearchSpec, as_of: Column | None = None, since: Column | None = None) -> Column:
     out = F.lit(True)
 
