@@ -8,5 +8,5 @@ from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-for _module in ("quality", "url_filter", "decontamination", "token_counts", "toxicity", "language_id"):
+for _module in ("quality", "url_filter", "decontamination", "token_counts", "toxicity", "line_dedup", "language_id"):
     import_module(f"{__package__}.{_module}")
