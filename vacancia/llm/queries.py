@@ -8,5 +8,5 @@ from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-for _module in ("quality", "url_filter", "decontamination", "token_counts", "toxicity", "ngram_join", "line_dedup", "language_id"):
+for _module in ("quality", "url_filter", "lm_score", "decontamination", "token_counts", "toxicity", "ngram_join", "line_dedup", "language_id"):
     import_module(f"{__package__}.{_module}")
