@@ -6,7 +6,8 @@ string. A fold merges them: each round looks up the ranks of all neighbours, tak
 and replaces every occurrence of that pair from the left, until no neighbours have a rank.
 
 Pair ranks are a constant of the plan, as are the symbols: a table of ``SLOTS`` longs in which
-a pair sits in one of two places, since Spark's own map type searches its keys one by one. The
+a pair sits in one of two places, since Spark's own map type searches its keys one by one (a
+mark at the first place tells whether the second is worth a look). The
 constants are scalar subqueries, which the optimizer folds into the one expression that reads
 them: they travel with the tasks and never with the rows.
 
@@ -37,12 +38,14 @@ from .common import query, read, stored
 
 RANKS = "byte_bpe_50k.tiktoken"
 SLOTS = 1 << 19
-FREQUENT = 1 << 17
-WORD_SLOTS = 1 << 18
+FREQUENT = 1 << 18
+WORD_SLOTS = 1 << 19
 BASE = 0x10000  # code point of id 0: beyond it no code point is reserved
 
 #: Characters of the Unicode property White_Space, which ``\s`` of the pattern stands for.
 WHITE = "\\t-\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+MOVED = 1 << 60
+EMPTY = 0xFFFFFFFF << 16  # a pair of two ids beyond all others
 MULTIPLIERS = (1_000_000_007, 998_244_353)  # both below 2**30, so that products stay in a long
 
 
@@ -79,10 +82,13 @@ def constants(name: str) -> tuple[list[int], list[str], list[str], list[str]]:
             turn[i] = 1 - turn[i]
         else:
             raise ValueError("pair table too small")
-    packed = np.full(SLOTS, -1, np.int64)
+    packed = np.full(SLOTS, EMPTY, np.int64)
     keys = keys.tolist()
     for at, i in table.items():
         packed[at] = (keys[i] << 16) | pairs[keys[i]]
+    for i, which in turn.items():
+        if which:
+            packed[places[0][i]] |= MOVED
     size = max(ranks.values()) + 1
     assert size <= 1 << 16
     pieces = [""] * size
@@ -93,8 +99,8 @@ def constants(name: str) -> tuple[list[int], list[str], list[str], list[str]]:
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` evaluated once."""
-    return F.transform(F.array(value), body)[0]
+    """``body`` with ``value`` evaluated once: a fold over no rows whose last step is ``body``."""
+    return F.aggregate(F.expr("cast(array() as array<int>)"), value, lambda v, _: v, body)
 
 
 def constant(spark: SparkSession, values: list, kind: str) -> Column:
@@ -114,25 +120,25 @@ def rank_of(pairs: Column, left: Column, right: Column) -> Column:
     def at(key: Column, which: int) -> Column:
         return F.get(pairs, F.shiftright(key * MULTIPLIERS[which], 24).bitwiseAND(SLOTS - 1).cast("int"))
 
-    def value(entry: Column, key: Column, other: Column) -> Column:
-        return F.when(F.shiftright(entry, 16) == key, entry.bitwiseAND(0xFFFF)).otherwise(other)
+    def holds(entry: Column, key: Column) -> Column:
+        return F.shiftright(entry, 16).bitwiseAND(0xFFFFFFFF) == key
 
     def found(key: Column) -> Column:
-        second = let(at(key, 1), lambda e: value(e, key, F.lit(None).cast("bigint")))
-        return let(at(key, 0), lambda e: value(e, key, second))
+        second = let(at(key, 1), lambda e: F.when(holds(e, key), e.bitwiseAND(0xFFFF)))
+        return let(at(key, 0), lambda e: F.when(holds(e, key), e.bitwiseAND(0xFFFF)).when(e.bitwiseAND(MOVED) != 0, second))
 
-    return let(F.shiftleft(left.cast("bigint"), 16) + right, found)
+    return let(F.shiftleft(left, 16) + right, found)
 
 
 def merge_once(t: Column, word: Column) -> Column:
     """One round of merges on a string of symbols; NULL when nothing merges."""
 
     def with_symbols(s: Column) -> Column:
-        codes = F.transform(s, lambda c: F.ascii(c) - BASE)
+        codes = F.transform(s, lambda c: (F.ascii(c) - BASE).cast("bigint"))
 
         def with_codes(c: Column) -> Column:
-            places = F.sequence(F.lit(0), F.size(c) - 2)
-            ranks = F.transform(places, lambda i: rank_of(t["pairs"], F.get(c, i), F.get(c, i + 1)))
+            # The last symbol has no neighbour: a NULL rank.
+            ranks = F.zip_with(c, F.slice(c, 2, F.size(c)), lambda a, b: F.when(b.isNotNull(), rank_of(t["pairs"], a, b)))
 
             def with_ranks(r: Column) -> Column:
                 def with_best(best: Column) -> Column:
@@ -142,7 +148,7 @@ def merge_once(t: Column, word: Column) -> Column:
 
                 return let(F.array_min(r), with_best)
 
-            return F.when(F.size(c) > 1, let(ranks, with_ranks))
+            return let(ranks, with_ranks)
 
         return let(codes, with_codes)
 
