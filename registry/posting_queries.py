@@ -18,6 +18,7 @@ from vacancia.operators.filters import (
 from vacancia.operators.overlay import overlay, upsert_json_field
 from vacancia.plans import audit, dashboard, enrichment, explorer, findings, staging
 from vacancia.plans.mart import fuzzy_duplicates, stage_all
+from vacancia.session import workspace
 from vacancia.sources import landing as land
 
 def as_of():
@@ -202,7 +203,7 @@ def duplicate_marks(spark, sf):
         / greatest(length(a.company_name), length(b.company_name)) <= 0.35""",
 )
 def mart_near_duplicates(spark, sf):
-    return fuzzy_duplicates(testbed.mart(spark, sf))
+    return fuzzy_duplicates(testbed.mart(spark, sf), workspace(spark))
 
 
 # -- labels ------------------------------------------------------------------------------
@@ -347,7 +348,9 @@ def label_flips(spark, sf):
       FROM enrichment GROUP BY ALL
     UNION ALL SELECT 'degree_requirement', degree_requirement, count(*),
       coalesce(degree_requirement NOT IN ('none', 'bachelors', 'masters', 'equivalent_ok'), false)
-      FROM enrichment GROUP BY ALL""",
+      FROM enrichment GROUP BY ALL
+    UNION ALL SELECT 'inferred_seniority', inferred_seniority, count(*),
+      coalesce(inferred_seniority NOT IN ('entry', 'junior', 'mid'), false) FROM enrichment GROUP BY ALL""",
 )
 def enum_drift(spark, sf):
     return quality.enum_drift(
@@ -355,6 +358,7 @@ def enum_drift(spark, sf):
         [
             quality.Accepted("role_archetype", ["data_analyst", "data_engineer"]),
             quality.Accepted("degree_requirement", schemas.DEGREES),
+            quality.Accepted("inferred_seniority", ["entry", "junior", "mid"]),
         ],
     )
 
@@ -663,7 +667,7 @@ MISMATCH = " UNION ALL ".join(
       {number("count(*) FILTER (explicitly_encourages_applicants)::DOUBLE / count(*)")} FROM classified""",
 )
 def headline_metrics(spark, sf):
-    return findings.headline_metrics(testbed.mart(spark, sf))
+    return findings.headline_metrics(testbed.mart(spark, sf), workspace(spark))
 
 
 @query(
@@ -1078,7 +1082,7 @@ def payload_path_presence(spark, sf):
     return profiling.json_path_presence(rows, "raw_payload", paths)
 
 
-PROFILE_FIELDS = ["salary_min", "listed_seniority", "ingestion_query", "company_name"]
+PROFILE_FIELDS = list(schemas.STAGING_COLUMNS)
 
 
 @query(
@@ -1135,7 +1139,7 @@ def audit_geo(spark, sf):
 @query(
     "audit_work_model",
     WITH_FACTS
-    + """, f AS (SELECT source, low, CASE source WHEN 'jsearch' THEN d % 7 = 3 WHEN 'theirstack' THEN d % 6 = 1
+    + """, f AS (SELECT source, CASE WHEN source != 'builtin' OR d % 17 != 3 THEN low END AS low, CASE source WHEN 'jsearch' THEN d % 7 = 3 WHEN 'theirstack' THEN d % 6 = 1
         ELSE d % 8 = 2 END AS r, CASE WHEN source = 'theirstack' THEN d % 5 = 2 END AS h FROM facts)
     SELECT source, count(*) AS total, count(*) FILTER (r) AS is_remote_true, count(*) FILTER (NOT r) AS is_remote_false,
       count(*) FILTER (r IS NULL) AS is_remote_null,
@@ -1144,13 +1148,47 @@ def audit_geo(spark, sf):
       count(*) FILTER (h) AS is_hybrid_true, count(*) FILTER (NOT h) AS is_hybrid_false,
       count(*) FILTER (h IS NULL) AS is_hybrid_null,
       count(*) FILTER (h AND low IS NOT NULL) AS is_hybrid_true_with_min_salary,
-      count(*) FILTER (NOT h AND low IS NOT NULL) AS is_hybrid_false_with_min_salary
+      count(*) FILTER (NOT h AND low IS NOT NULL) AS is_hybrid_false_with_min_salary,
+      count(*) FILTER (source = 'builtin') AS has_location_string
     FROM f GROUP BY ALL""",
 )
 def audit_work_model(spark, sf):
     return audit.work_model_audit(audit.audit_layout(testbed.landing(spark, sf)))
 
 
+@query(
+    "audit_title_work_model",
+    WITH_FACTS
+    + """SELECT source, count(*) AS total, count(*) FILTER (job_title ILIKE '%remote%') AS remote_in_title,
+      count(*) FILTER (job_title ILIKE '%hybrid%') AS hybrid_in_title,
+      count(*) FILTER (regexp_matches(lower(job_title), 'on.?site|onsite|in.?office')) AS onsite_in_title
+    FROM facts GROUP BY ALL""",
+)
+def audit_title_work_model(spark, sf):
+    return audit.title_work_model(audit.audit_layout(testbed.landing(spark, sf)))
+
+
+@query(
+    "audit_pay",
+    WITH_FACTS
+    + """SELECT source,
+      CASE source WHEN 'jsearch' THEN CASE WHEN d % 11 = 0 THEN 'HOUR' ELSE 'YEAR' END
+        WHEN 'builtin' THEN CASE WHEN d % 17 = 3 THEN 'HOUR' ELSE 'YEAR' END END AS salary_period,
+      CASE source WHEN 'jsearch' THEN ['Full-time', 'PARTTIME', 'Contractor', 'Intern'][d % 4 + 1]
+        WHEN 'theirstack' THEN ['full_time', 'part_time', 'contract', 'temporary'][d % 4 + 1]
+        ELSE ['FULL_TIME', 'PART_TIME', 'CONTRACTOR', NULL][d % 4 + 1] END AS employment_type,
+      count(*) AS n, count(low) FILTER (source != 'builtin' OR d % 17 != 3) AS n_min,
+      max(CASE WHEN source = 'builtin' AND d % 13 = 0 THEN (low + 20000) / 1000 ELSE low + 20000 END)
+        FILTER (source != 'builtin' OR d % 17 != 3) AS max_salary
+    FROM facts GROUP BY ALL""",
+)
+def audit_pay(spark, sf):
+    layout = audit.audit_layout(testbed.landing(spark, sf))
+    return layout.groupBy("source", "salary_period", "employment_type").agg(
+        F.count("*").alias("n"), F.count("min_salary").alias("n_min"), F.max("max_salary").alias("max_salary")
+    )
+
+
 @query(
     "audit_coordinates",
     WITH_FACTS + "SELECT latitude, longitude, count(*) AS n FROM facts WHERE latitude IS NOT NULL GROUP BY ALL",
@@ -1173,7 +1211,7 @@ def audit_title_levels(spark, sf):
 @query(
     "salary_lost_to_floor",
     WITH_STAGED
-    + "SELECT n.job_id FROM newest n WHERE source = 'builtin' AND d % 13 = 0",
+    + "SELECT n.job_id FROM newest n WHERE source = 'builtin' AND (d % 13 = 0 OR d % 17 = 3)",
 )
 def salary_lost_to_floor(spark, sf):
     from vacancia.operators.filters import nulled_by_rule
@@ -1239,17 +1277,17 @@ def samples_per_source(spark, sf):
 @query(
     "landing_wrap",
     """SELECT CASE WHEN doc_id % 29 != 0 THEN 'jsearch:' || lang ELSE 'jsearch' END AS source, doc_id * 2 AS ordinal,
-      CAST(doc_id AS VARCHAR) AS id, n_chars AS size, TIMESTAMP '2026-08-01' AS ingested_at FROM documents""",
+      CAST(doc_id AS VARCHAR) AS id, n_chars AS size, md5(text) AS text_md5, TIMESTAMP '2026-08-01' AS ingested_at FROM documents""",
 )
 def landing_wrap(spark, sf):
     records = testbed.table(spark, sf, "documents").select(
-        F.col("doc_id").alias("id"), "n_chars", "lang", (F.col("doc_id") * 2).alias("pos")
+        F.col("doc_id").alias("id"), "n_chars", "lang", "text", (F.col("doc_id") * 2).alias("pos")
     )
     label = F.when(F.col("id") % 29 != 0, F.col("lang"))
     rows = land.wrap_records(records, "jsearch", label, F.lit("2026-08-01").cast("timestamp"), "pos")
     return land.with_payload(rows).select(
         "source", "ordinal", land.text_field("$.id").alias("id"), land.field("$.n_chars", "bigint").alias("size"),
-        "ingested_at",
+        F.md5(land.text_field("$.text")).alias("text_md5"), "ingested_at",
     )
 
 
@@ -1299,25 +1337,32 @@ def array_distribution(spark, sf):
     return agg.distribution(testbed.enrichment(spark, sf), "tech_stack_required")
 
 
+LABEL_COLUMNS = (
+    "inferred_seniority role_archetype work_focus tech_stack_required tech_stack_preferred paradigms_required "
+    "paradigms_preferred degree_requirement years_required_min years_required_max salary_min salary_max acknowledges_ai "
+    "domain explicitly_encourages_applicants confidence_score"
+).split()
+LABEL_SQL = {"salary_min": "model_salary_min", "salary_max": "model_salary_max"}
+
+
 @query(
     "label_profile_gap",
     "WITH " + ENRICHMENT
-    + """, r AS (SELECT source, avg(CASE WHEN domain IS NULL THEN 1.0 ELSE 0.0 END) AS d,
-        avg(CASE WHEN model_salary_min IS NULL THEN 1.0 ELSE 0.0 END) AS s FROM enrichment GROUP BY source),
-    w AS (SELECT 'domain' AS "column", max(d) FILTER (source = 'jsearch') AS jsearch,
-        max(d) FILTER (source = 'theirstack') AS theirstack, max(d) FILTER (source = 'builtin') AS builtin FROM r
-      UNION ALL SELECT 'salary_min', max(s) FILTER (source = 'jsearch'), max(s) FILTER (source = 'theirstack'),
-        max(s) FILTER (source = 'builtin') FROM r)
-    SELECT "column", round(jsearch, 6) AS jsearch, round(theirstack, 6) AS theirstack, round(builtin, 6) AS builtin,
-      round_even(jsearch - (theirstack + builtin) / 2, 1) AS gap FROM w""",
+    + ", pct AS (" + " UNION ALL ".join(
+        f"""SELECT source, '{c}' AS "column", round_even(100.0 * count({LABEL_SQL.get(c, c)}) / count(*), 1)::DOUBLE AS pct
+        FROM enrichment GROUP BY source"""
+        for c in LABEL_COLUMNS
+    )
+    + """), w AS (SELECT "column", max(pct) FILTER (source = 'jsearch') AS jsearch,
+      max(pct) FILTER (source = 'theirstack') AS theirstack, max(pct) FILTER (source = 'builtin') AS builtin
+      FROM pct GROUP BY 1)
+    SELECT *, round_even((jsearch + theirstack) / 2 - builtin, 1) AS gap FROM w""",
 )
 def label_profile_gap(spark, sf):
     labels = testbed.enrichment(spark, sf)
-    profiles = {
-        p: profiling.null_rates(labels.where(F.col("source") == p), ["domain", "salary_min"]) for p in schemas.PROVIDERS
-    }
-    table = joins.compare_profiles(profiles, "column", "null_rate", gap_for="jsearch")
-    return table.select("column", *[F.round(p, 6).alias(p) for p in schemas.PROVIDERS], "gap")
+    skip = ("job_id", "source", "enriched_at", "model_version")
+    profiles = {p: profiling.column_profile(labels.where(F.col("source") == p), None, skip) for p in schemas.PROVIDERS}
+    return joins.compare_profiles(profiles, "column", "population_pct", gap_for="builtin")
 
 
 @query(
@@ -1353,13 +1398,14 @@ def staging_text_audit(spark, sf):
 @query(
     "mart_box_summary",
     MART
-    + """SELECT role_archetype, count(*) AS count, min(final_salary_min) AS min,
-      quantile_cont(final_salary_min, 0.25) AS q25, median(final_salary_min) AS median,
-      quantile_cont(final_salary_min, 0.75) AS q75, max(final_salary_min) AS max FROM mart
-    WHERE final_salary_min <= 300000 AND role_archetype IS NOT NULL GROUP BY ALL HAVING count(*) >= 10""",
+    + """, mid AS (SELECT title_role_bucket, (final_salary_min + final_salary_max) / 2 AS mid FROM mart)
+    SELECT title_role_bucket, count(*) AS count, min(mid) AS min, quantile_cont(mid, 0.25) AS q25, median(mid) AS median,
+      quantile_cont(mid, 0.75) AS q75, max(mid) AS max FROM mid
+    WHERE mid <= 300000 GROUP BY ALL HAVING count(*) >= 10""",
 )
 def mart_box_summary(spark, sf):
-    return agg.box_summary(testbed.mart(spark, sf), "role_archetype", "final_salary_min", 10, 300_000)
+    mart = testbed.mart(spark, sf).withColumn("mid", (F.col("final_salary_min") + F.col("final_salary_max")) / 2)
+    return agg.box_summary(mart, "title_role_bucket", "mid", 10, 300_000)
 
 
 @query(

@@ -46,9 +46,9 @@ extracted AS (
         WHEN job_title LIKE '%Hybrid%' THEN 'hybrid' ELSE 'onsite' END END AS work_model,
     ['full_time', 'part_time', 'contract', 'other'][d % 4 + 1] AS employment_type,
     CASE WHEN source = 'jsearch' AND d % 11 = 0 THEN NULL
-      WHEN source = 'builtin' AND d % 13 = 0 THEN NULL ELSE low END AS salary_min,
+      WHEN source = 'builtin' AND (d % 13 = 0 OR d % 17 = 3) THEN NULL ELSE low END AS salary_min,
     CASE WHEN source = 'jsearch' AND d % 11 = 0 THEN NULL
-      WHEN source = 'builtin' AND d % 13 = 0 THEN NULL ELSE low + 20000 END AS salary_max,
+      WHEN source = 'builtin' AND (d % 13 = 0 OR d % 17 = 3) THEN NULL ELSE low + 20000 END AS salary_max,
     CASE WHEN source = 'jsearch' OR (source = 'builtin' AND seniority = 'not_found') THEN NULL
       ELSE replace(lower(seniority), ' ', '_') END AS listed_seniority,
     TIMESTAMP '2026-08-01' + to_days(CAST(d % 28 + landing * 3 AS INTEGER)) AS ingested_at

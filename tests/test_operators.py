@@ -56,28 +56,32 @@ def quartiles(values):
     return [float(np.percentile(values, p)) for p in (25, 50, 75)]
 
 
-@pytest.mark.parametrize("small", [20_000, 0])
-def test_group_quantiles(spark, monkeypatch, small):
-    """With ``small`` zero every group takes the bracket path."""
-    monkeypatch.setattr(quantiles, "SMALL_GROUP", small)
+@pytest.mark.parametrize("margin", [None, 0.0, -0.2])
+def test_group_quantiles(spark, monkeypatch, margin):
+    """Groups of all sizes; a bracket too narrow or beside its rank changes no result."""
+    if margin is not None:
+        monkeypatch.setattr(quantiles, "MARGIN", margin)
     rng = np.random.default_rng(3)
     rows = [("hot", float(v)) for v in rng.lognormal(10, 1, 60_000)]
     rows += [("flat", 5.0)] * 30_000 + [("steps", float(v)) for v in rng.integers(0, 4, 40_000)]
-    rows += [("hot", None)] * 100
-    if small:
-        rows += [("two", 1.0), ("two", 2.0), ("one", 7.0), ("none", None)]
+    rows += [("hot", None)] * 100 + [("two", 1.0), ("two", 2.0), ("one", 7.0), ("none", None)]
+    rows += [("endless", float("inf"))] * 3 + [(None, 4.0), (None, 6.0)]
     df = spark.createDataFrame(rows, "k string, v double")
     wanted = {"q25": 0.25, "median": 0.5, "q75": 0.75}
-    got = quantiles.group_quantiles(df, ["k"], "v", wanted, [F.count("__v").alias("n")])
-    for r in got.collect():
+    got = quantiles.group_quantiles(df, ["k"], "v", wanted, [F.count("__v").alias("n")]).collect()
+    assert len(got) == 8
+    for r in got:
         values = [v for k, v in rows if k == r.k and v is not None]
         assert r.n == len(values)
-        if values:
+        if r.k == "endless":
+            assert [r.q25, r.median, r.q75] == [float("inf")] * 3
+        elif values:
             assert [r.q25, r.median, r.q75] == pytest.approx(quartiles(values), rel=1e-12)
         else:
             assert r.median is None
-    whole = quantiles.group_quantiles(df, [], "v", {"median": 0.5}).first().median
-    assert whole == pytest.approx(float(np.median([v for _, v in rows if v is not None])))
+    finite = df.where("k <> 'endless'")
+    whole = quantiles.group_quantiles(finite, [], "v", {"median": 0.5}).first().median
+    assert whole == pytest.approx(float(np.median([v for k, v in rows if v is not None and k not in ("endless", None)])))
 
 
 def test_quantile_cells_stay_small(spark):

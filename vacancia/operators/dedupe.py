@@ -13,14 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import or_empty
-from ..functions.text import as_column, normal_text
+from ..functions.text import as_column, strip_whitespace
 
 RANK = "__rank"
 COUNT = "__count"
 
-# Above this many rows per group Spark no longer limits before the shuffle by itself.
-PRE_SHUFFLE_LIMIT = 1000
-SALTS = 256
+# A capped group is cut within this many parts, then within the next number, then as a whole.
+SALTS = (256, 16)
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -94,8 +93,9 @@ def first_per_key(
 
 
 def fingerprint(text_columns: Sequence[str], set_columns: Sequence[str]) -> Column:
-    """Comparable identity of a record: normalised texts plus order-free sets."""
-    texts = [normal_text(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in text_columns]
+    """Comparable identity of a record: lower-cased texts without outer whitespace of any kind,
+    plus order-free sets."""
+    texts = [F.lower(strip_whitespace(F.coalesce(F.col(c), F.lit("")))).alias(c) for c in text_columns]
     sets = [F.array_sort(F.array_distinct(or_empty(c))).alias(c) for c in set_columns]
     return F.struct(*texts, *sets)
 
@@ -119,13 +119,13 @@ def fingerprint_groups(
 def cap_per_group(df: DataFrame, by: Sequence[str], n: int, ordinal: str | Sequence[str]) -> DataFrame:
     """At most ``n`` rows per group in arrival order.
 
-    For large ``n`` the rows of a group are first cut within salted parts, so that no
-    task ever sorts a whole hot group.
+    A group is cut within salted parts, these within fewer, and only then as a whole: the last
+    cut sees at most 16 times ``n`` rows of a group, whatever its size.
     """
     columns = [ordinal] if isinstance(ordinal, str) else list(ordinal)
     order = [F.col(c).asc_nulls_last() for c in columns]
-    if n > PRE_SHUFFLE_LIMIT:
-        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
+    for salts in SALTS:
+        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
         df = top_rows(salted, [*by, "__salt"], order, n).drop("__salt")
     return top_rows(df, by, order, n)
 

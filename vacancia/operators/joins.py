@@ -75,21 +75,23 @@ def compare_profiles(
 ) -> DataFrame:
     """Profiles side by side, a field missing from one profile counting as zero.
 
-    ``gap_for`` adds the distance of one profile from the mean of the others.
+    ``gap_for`` adds how far one profile lags behind the mean of the others, and keeps the
+    fields that all profiles have.
     """
     long = None
     for name, profile in profiles.items():
         part = profile.select(F.col(key), F.lit(name).alias("__name"), F.col(value).alias("__value"))
         long = part if long is None else long.unionByName(part)
     names = list(profiles)
-    table = long.groupBy(key).pivot("__name", names).agg(F.first("__value")).na.fill(0, names)
+    table = long.groupBy(key).pivot("__name", names).agg(F.first("__value"))
     if gap_for is None:
-        return table
+        return table.na.fill(0, names)
+    table = table.na.drop(subset=names)
     others = [n for n in names if n != gap_for]
     mean: Column = F.lit(0.0)
     for name in others:
         mean = mean + F.col(f"`{name}`")
-    return table.withColumn("gap", F.bround(F.col(f"`{gap_for}`") - mean / len(others), 1))
+    return table.withColumn("gap", F.bround(mean / len(others) - F.col(f"`{gap_for}`"), 1))
 
 
 def union_all(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

@@ -183,10 +183,14 @@ def presence_audit(df: DataFrame, conditions: Mapping[str, Column], by: Sequence
 
 
 def tristate_audit(
-    df: DataFrame, flags: Sequence[str], by: Sequence[str] = (), value: str | None = None
+    df: DataFrame,
+    flags: Sequence[str],
+    by: Sequence[str] = (),
+    value: str | None = None,
+    further: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """True, false and NULL tallies per flag; with ``value``, how often it is filled for
-    true and for false."""
+    true and for false; ``further`` conditions are counted along."""
     out = []
     for flag in flags:
         c = F.col(flag)
@@ -201,6 +205,7 @@ def tristate_audit(
                 F.count_if(c & has).alias(f"{flag}_true_with_{value}"),
                 F.count_if(~c & has).alias(f"{flag}_false_with_{value}"),
             ]
+    out += [F.count_if(c).alias(name) for name, c in (further or {}).items()]
     return df.groupBy(*by).agg(F.count("*").alias("total"), *out)
 
 

@@ -1,12 +1,11 @@
 """Exact interpolated quantiles per group without collecting a group.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here a
-sketch finds, per group, a narrow bracket around each wanted rank; rows outside the
-brackets are only counted (one row per group and region), rows inside are counted per
-distinct value. Running counts over the regions and over equal steps of each bracket tell
-which step holds a wanted rank; only the values of that step are put in order. The sketch
-decides how narrow the bracket is, never the result: a rank outside its bracket raises an
-error.
+sketch finds, per group, a narrow bracket around each wanted rank. Every row falls into a
+cell: one of the equal steps of a bracket, or a region between brackets. Counts per cell tell
+exactly which cells hold the wanted ranks, and only the values of those cells are counted and
+put in order. The sketch decides how small these cells are, never the result: a rank that
+lies outside its bracket is found in the region that holds it.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 
 ACCURACY = 10_000  # sketch rank error is at most n / ACCURACY
 MARGIN = 5 / ACCURACY  # bracket half-width as a share of the group
-SMALL_GROUP = 20_000  # groups up to this size keep all their values
 SLOTS = 1024  # equal steps of a bracket, of which only the ones holding a rank are sorted
 
 
@@ -65,9 +63,8 @@ def group_quantiles(
         return F.col("__s.__edges")[grid.index(p)]
 
     value = F.col("__v")
-    inside, region, slot = F.col("__s.__n") <= SMALL_GROUP, F.lit(0), F.lit(-1)
+    region, slot = F.lit(0), F.lit(-1)
     for low, high in brackets:
-        inside = inside | value.between(edge(low), edge(high))
         region = region + F.when(value > edge(high), 1).otherwise(0)
     for low, high in reversed(brackets):
         step = F.floor(F.try_divide(value - edge(low), edge(high) - edge(low)) * SLOTS).cast("int")
@@ -76,33 +73,35 @@ def group_quantiles(
         slot = F.when(value <= edge(high), here).otherwise(slot)
 
     extras = [F.any_value(f"__s.{name}").alias(name) for name in ("__n", *names)]
-    cells = placed.groupBy(
-        *keys, region.alias("__region"), slot.alias("__slot"), F.when(inside, value).alias("__kept")
-    ).agg(F.count("__v").alias("__c"), F.min("__v").alias("__from"), *extras)
+    placed = placed.select(*keys, "__v", "__s", region.alias("__region"), slot.alias("__slot"))
+    cells = placed.groupBy(*keys, "__region", "__slot").agg(F.count("__v").alias("__sum"), F.min("__v").alias("__first"), *extras)
 
-    # Which slots hold a wanted rank: at most a few thousand rows per group to order.
-    steps = cells.groupBy(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col("__region").alias("__r"),
-        F.col("__slot").alias("__t"),
-    ).agg(F.sum("__c").alias("__sum"), F.min("__from").alias("__first"), F.any_value("__n").alias("__total"))
-    running = Window.partitionBy(*[f"__k_{k}" for k in keys]).orderBy("__first")
+    # Which cells hold a wanted rank: at most a few thousand rows per group to order.
+    running = Window.partitionBy(*keys).orderBy(F.col("__first").asc_nulls_last())
     running = running.rowsBetween(Window.unboundedPreceding, 0)
-    steps = steps.withColumn("__end", F.sum("__sum").over(running))
-    wanted = F.col("__total") == 0
+    steps = cells.withColumn("__end", F.sum("__sum").over(running))
+    wanted = F.col("__n") == 0
     for p in ranks:
-        floor = F.floor((F.col("__total") - 1) * F.lit(p))
-        for position in (floor, F.least(floor + 1, F.col("__total") - 1)):
+        floor = F.floor((F.col("__n") - 1) * F.lit(p))
+        for position in (floor, F.least(floor + 1, F.col("__n") - 1)):
             wanted = wanted | ((F.col("__end") > position) & (F.col("__end") - F.col("__sum") <= position))
     steps = steps.where(wanted).select(
-        *[f"__k_{k}" for k in keys], "__r", "__t", (F.col("__end") - F.col("__sum")).alias("__before")
+        *[F.col(k).alias(f"__k_{k}") for k in keys],
+        F.col("__region").alias("__r"),
+        F.col("__slot").alias("__t"),
+        (F.col("__end") - F.col("__sum")).alias("__before"),
+        "__n",
+        *names,
     )
     match = (F.col("__region") == F.col("__r")) & (F.col("__slot") == F.col("__t"))
     for key in keys:
         match = match & F.col(key).eqNullSafe(F.col(f"__k_{key}"))
-    within = Window.partitionBy(*keys, "__region", "__slot").orderBy("__from")
+    carried = ["__before", "__n", *names]
+    values = placed.drop("__s").join(steps, match).groupBy(*keys, "__region", "__slot", F.col("__v").alias("__kept"))
+    counted = values.agg(F.count("__v").alias("__c"), *[F.any_value(c).alias(c) for c in carried])
+    within = Window.partitionBy(*keys, "__region", "__slot").orderBy(F.col("__kept").asc_nulls_last())
     within = within.rowsBetween(Window.unboundedPreceding, 0)
-    counted = cells.join(steps, match).withColumn("__upto", F.col("__before") + F.sum("__c").over(within))
+    counted = counted.withColumn("__upto", F.col("__before") + F.sum("__c").over(within))
 
     def at(position: Column) -> Column:
         covers = (F.col("__upto") > position) & (F.col("__upto") - F.col("__c") <= position)
@@ -123,11 +122,6 @@ def group_quantiles(
         i = ranks.index(p)
         low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
         position = (F.col("__n") - 1) * F.lit(p)
-        between = low + (high - low) * (position - F.floor(position))
-        lost = (F.col("__n") > 0) & (low.isNull() | high.isNull())
-        out.append(
-            F.when(lost, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
-            .otherwise(between)
-            .alias(name)
-        )
+        between = F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
+        out.append(between.alias(name))
     return picked.select(*keys, *names, *out)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import as_column
-from ..session import materialize
+from ..session import store
 
 
 def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFrame:
@@ -119,10 +119,13 @@ def fuzzy_pairs(
     title_ratio: float = 0.15,
     company_ratio: float = 0.35,
     days: int = 3,
+    store_at: str | None = None,
 ) -> DataFrame:
     """Pairs ``a.id < b.id`` with similar title and company and dates at most ``days`` apart.
 
-    Columns carry the suffixes ``_a`` and ``_b``; ``keep`` names further columns to carry.
+    Columns carry the suffixes ``_a`` and ``_b``; ``keep`` names further columns to carry. Both
+    text joins and both sides of the pair join read the rows: with ``store_at`` they are
+    written there once and read back.
     """
     block = days + 1
     number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
@@ -134,7 +137,8 @@ def fuzzy_pairs(
         *keep,
         F.floor(number / block).cast("int").alias("block"),
     ).where("id is not null and title is not null and company is not null and day is not null")
-    rows = materialize(rows)  # read by both text joins and both sides of the pair join
+    if store_at is not None:
+        rows = store(rows, store_at)
     data = ["id", "title", "company", "day", *keep]
 
     titles = similar_texts(rows, "title", title_ratio)

@@ -15,8 +15,10 @@ from ..sources.landing import field, text_field, with_payload
 def audit_layout(landing: Mapping[str, DataFrame]) -> DataFrame:
     """Raw title, description, place, flags and salary of every landing row.
 
-    Columns a provider lacks are NULL; providers without a location text use the city.
+    Columns a provider lacks are NULL; providers without a location text use the city. Nested
+    pay counts only when it is by the year.
     """
+    yearly = text_field("$.baseSalary.value.unitText") == "YEAR"
     layouts = {
         "jsearch": {
             "job_title": text_field("$.job_title"),
@@ -27,7 +29,10 @@ def audit_layout(landing: Mapping[str, DataFrame]) -> DataFrame:
             "latitude": field("$.job_latitude", "double"),
             "longitude": field("$.job_longitude", "double"),
             "is_remote": field("$.job_is_remote", "boolean"),
+            "employment_type": text_field("$.job_employment_type"),
             "min_salary": field("$.job_min_salary", "double"),
+            "max_salary": field("$.job_max_salary", "double"),
+            "salary_period": text_field("$.job_salary_period"),
         },
         "theirstack": {
             "job_title": text_field("$.job_title"),
@@ -39,7 +44,9 @@ def audit_layout(landing: Mapping[str, DataFrame]) -> DataFrame:
             "longitude": field("$.longitude", "double"),
             "is_remote": field("$.remote", "boolean"),
             "is_hybrid": field("$.hybrid", "boolean"),
+            "employment_type": text_field("$.employment_statuses[0]"),
             "min_salary": field("$.min_annual_salary_usd", "double"),
+            "max_salary": field("$.max_annual_salary_usd", "double"),
         },
         "builtin": {
             "job_title": text_field("$.title"),
@@ -50,7 +57,10 @@ def audit_layout(landing: Mapping[str, DataFrame]) -> DataFrame:
             "latitude": field("$.jobLocation.geo.latitude", "double"),
             "longitude": field("$.jobLocation.geo.longitude", "double"),
             "is_remote": F.coalesce(text_field("$.jobLocationType") == "TELECOMMUTE", F.lit(False)),
-            "min_salary": field("$.baseSalary.value.minValue", "double"),
+            "employment_type": text_field("$.employmentType"),
+            "min_salary": F.when(yearly, field("$.baseSalary.value.minValue", "double")),
+            "max_salary": F.when(yearly, field("$.baseSalary.value.maxValue", "double")),
+            "salary_period": text_field("$.baseSalary.value.unitText"),
         },
     }
     frames = [
@@ -83,4 +93,12 @@ def title_keywords(layout: DataFrame) -> DataFrame:
 
 
 def work_model_audit(layout: DataFrame) -> DataFrame:
-    return profiling.tristate_audit(layout, ["is_remote", "is_hybrid"], ["source"], "min_salary")
+    place = F.col("location_string").isNotNull() & (F.col("location_string") != "")
+    return profiling.tristate_audit(
+        layout, ["is_remote", "is_hybrid"], ["source"], "min_salary", {"has_location_string": place}
+    )
+
+
+def title_work_model(layout: DataFrame) -> DataFrame:
+    """Titles that name a work model, per provider."""
+    return profiling.keyword_matrix(layout, "job_title", profiling.WORK_MODEL_KEYWORDS, ["source"])

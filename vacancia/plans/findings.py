@@ -10,7 +10,7 @@ from ..functions.arrays import array_union_all, classify_by_sets, non_empty
 from ..functions.text import map_values
 from ..operators import aggregates as agg
 from ..operators import metrics, ranking
-from ..session import materialize
+from ..session import store
 
 ROLE = "title_role_bucket"
 HEADLINE_COLUMNS = [
@@ -158,12 +158,15 @@ def seniority_mismatch(mart: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def headline_metrics(mart: DataFrame) -> DataFrame:
+def headline_metrics(mart: DataFrame, store_at: str | None = None) -> DataFrame:
     """The headline document in long form (path, value).
 
-    A dozen aggregates read the postings, so their columns are written once and re-read.
+    A dozen aggregates read the postings: with ``store_at`` their columns are written there
+    once and read back, as for a mart that is not itself a stored table.
     """
-    mart = materialize(mart.select(*HEADLINE_COLUMNS))
+    mart = mart.select(*HEADLINE_COLUMNS)
+    if store_at is not None:
+        mart = store(mart, store_at)
     snapshot = top_level_snapshot(mart).select(
         "total_postings", "unique_companies", "sources", "date_min", "date_max", "last_ingested",
         "salary_disclosed_rate",

@@ -85,12 +85,13 @@ def mart_from_staging(
     return kept.select(*schemas.MART_COLUMNS)
 
 
-def fuzzy_duplicates(mart: DataFrame) -> DataFrame:
+def fuzzy_duplicates(mart: DataFrame, store_at: str | None = None) -> DataFrame:
     """Near-duplicate postings the exact key missed, with the one to drop."""
     from ..operators.similarity import fuzzy_pairs, pick_loser
 
     pairs = fuzzy_pairs(
-        mart, "job_id", "job_title", "company_name", "date_posted", keep=("source", "final_salary_min")
+        mart, "job_id", "job_title", "company_name", "date_posted", keep=("source", "final_salary_min"),
+        store_at=store_at,
     )
     judged = pick_loser(
         pairs, "final_salary_min", rules.provider_rank("source_a"), rules.provider_rank("source_b")

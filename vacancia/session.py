@@ -40,29 +40,23 @@ def local_session(app: str = "vacancia-local", cpus: int | None = None) -> Spark
     )
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
+def workspace(spark: SparkSession) -> str:
+    """A new path in the folder that all executors share, ``spark.checkpoint.dir``.
 
-    A single-JVM session without one gets a folder of its own; a cluster session without
-    one has none, since a machine-local folder would not survive the machine.
+    Where that is not set, as in a single-JVM test, a temporary folder is set for it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
+    if folder is None:
         folder = tempfile.mkdtemp(prefix="vacancia-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{folder.rstrip('/')}/vacancia-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a frame that several joins read to the shared folder and read it back.
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame that several joins read to ``path`` and read it back.
 
     A written table survives lost executors and, unlike a checkpointed RDD, keeps column
-    pruning and size statistics. Without a shared folder the frame is recomputed instead.
+    pruning and size statistics.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/vacancia-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

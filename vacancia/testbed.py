@@ -91,7 +91,7 @@ PAYLOADS = {
             'geo', named_struct('latitude', {LATITUDE}, 'longitude', {LONGITUDE})),
         'jobLocationType', if(d % 8 = 2, 'TELECOMMUTE', NULL),
         'employmentType', {pick(["FULL_TIME", "PART_TIME", "CONTRACTOR"], "d % 4")},
-        'baseSalary', named_struct('value', named_struct('minValue', low, 'maxValue', high, 'unitText', 'YEAR')),
+        'baseSalary', named_struct('value', named_struct('minValue', low, 'maxValue', high, 'unitText', if(d % 17 = 3, 'HOUR', 'YEAR'))),
         'seniority', seniority)""",
 }
 
