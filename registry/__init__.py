@@ -19,5 +19,5 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-for _module in ("posting_queries", "table_queries", "log_queries"):
+for _module in ("posting_queries", "table_queries", "log_queries", "store_queries", "page_queries"):
     import_module(f"registry.{_module}")

@@ -51,7 +51,7 @@ def dedupe_priority(spark, sf):
 
 
 FINGERPRINTS = """WITH d AS (
-  SELECT doc_id, source, lower(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS t, lang,
+  SELECT doc_id, source, lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS t, lang,
     list_sort(list_distinct(string_split(source || ' ' || lang, ' '))) AS tags FROM documents) """
 
 

@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from registry import QUERIES
 from check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     frame = queries()[name](spark, SF)
     if name in oracle_sql():

@@ -52,9 +52,9 @@ def heatmap(
 
 
 def restrict_topk(df: DataFrame, column: str, k: int) -> DataFrame:
-    """Rows whose value is among the ``k`` most frequent (the broadcast side has ``k`` rows)."""
+    """Rows whose value is among the ``k`` most frequent."""
     top = topk(df, column, k).select(F.col("value").alias(column))
-    return df.join(F.broadcast(top), column, "left_semi")
+    return df.join(top, column, "left_semi")
 
 
 def topk_composition(df: DataFrame, column: str, by: str, k: int) -> DataFrame:
@@ -62,7 +62,7 @@ def topk_composition(df: DataFrame, column: str, by: str, k: int) -> DataFrame:
     pairs = df.where(F.col(column).isNotNull()).groupBy(column, by).agg(F.count("*").alias("n"))
     totals = pairs.groupBy(column).agg(F.sum("n").alias("total"))
     top = totals.orderBy(F.col("total").desc(), F.col(column).asc()).limit(k)
-    return pairs.join(F.broadcast(top.select(column)), column, "left_semi").where(F.col(by).isNotNull())
+    return pairs.join(top.select(column), column, "left_semi").where(F.col(by).isNotNull())
 
 
 def facet_values(df: DataFrame, value: str | Column, by_frequency: bool = False) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.arrays import safe_cast
@@ -56,10 +57,14 @@ def route(rows: DataFrame) -> DataFrame:
 
 
 def land(rows: DataFrame, path: str) -> DataFrame:
-    """Append rows under ``provider=...`` and report the rows per provider."""
-    routed = route(rows)
+    """Append rows under ``provider=...`` and report the rows written per provider, counted
+    while they are written."""
+    written = Observation()
+    counts = [F.count_if(F.col("provider") == p).alias(p) for p in schemas.PROVIDERS]
+    routed = route(rows).observe(written, *counts)
     routed.write.mode("append").partitionBy("provider").parquet(path)
-    return routed.groupBy("provider").agg(F.count("*").alias("n"))
+    report = [(p, n) for p, n in written.get.items() if n]
+    return rows.sparkSession.createDataFrame(report, "provider string, n bigint")
 
 
 def read_landing(spark: SparkSession, path: str, provider: str | None = None) -> DataFrame:
@@ -96,10 +101,17 @@ def high_water_mark(landing: DataFrame, path: str = "$.discovered_at") -> DataFr
     return landing.agg(F.max(ts).alias("high_water_mark"))
 
 
-def read_documents(spark: SparkSession, path: str, envelope: Sequence[str] = ()) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, envelope: Sequence[str] = (), schema: T.StructType | str | None = None
+) -> DataFrame:
     """Cached JSON responses, one record per row: a top-level array, or an array inside
-    an envelope such as ``("data", "jobs")``."""
-    docs = spark.read.option("multiLine", True).json(path)
+    an envelope such as ``("data", "jobs")``.
+
+    With a schema the files are read once, and lines are documents; without one a first pass
+    over whole files infers it.
+    """
+    reader = spark.read.option("multiLine", schema is None)
+    docs = (reader if schema is None else reader.schema(schema)).json(path)
     if not envelope:
         return docs
     return docs.select(F.explode(".".join(envelope)).alias("record")).select("record.*")
