@@ -114,10 +114,6 @@ def chunks(column: pa.Array | pa.ChunkedArray, budget: int = CHUNK) -> Iterator[
         at = upto
 
 
-def counts_by_text(first: np.ndarray) -> np.ndarray:
-    return np.diff(first)
-
-
 def grams(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of ``n`` consecutive items inside each text, and each text's first gram (n + 1).
 
@@ -137,7 +133,10 @@ def grams(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
 
 
 def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of ``values[bounds[i]:bounds[i + 1]]`` for each i, 0 where empty."""
-    total = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
-    np.cumsum(values, out=total[1:])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    """Sums of ``values[bounds[i]:bounds[i + 1]]`` for each i, 0 where empty; the same items
+    always give the same sum."""
+    out = np.zeros(len(bounds) - 1, np.float64 if values.dtype.kind == "f" else np.int64)
+    full = np.flatnonzero(np.diff(bounds))
+    if len(full):
+        out[full] = np.add.reduceat(values, bounds[full], dtype=out.dtype)
+    return out
