@@ -112,12 +112,13 @@ def matches(chunk: ragged.Chunk, automaton: ahocorasick.Automaton) -> tuple[np.n
     return np.diff(first), found
 
 
-def scan(docs: DataFrame, items: DataFrame, carry: list[str], item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``carry`` columns, ``n_words`` and ``spans`` (item, words and bytes of the original text).
+def scan(docs: DataFrame, items: DataFrame, carry: list[str], names: tuple[str, str] = ("n_words", "spans")) -> DataFrame:
+    """``carry`` columns, ``n_words`` and ``spans`` (item, words and bytes of the original text)
+    under the given names.
 
     Items are read to the driver in blocks, each block scanning the texts once more.
     """
-    rows = items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).distinct()
+    rows = items.select(F.col("item_id").cast("string").alias("item"), "text").distinct()
     blocks: list[list] = [[]]
     size = 0
     for row in rows.orderBy("item", "text").toLocalIterator():
@@ -130,13 +131,13 @@ def scan(docs: DataFrame, items: DataFrame, carry: list[str], item_id: str = "it
     out = docs.select(*kept, F.lit(0).cast("long").alias("__n"), F.array().cast(SPANS).alias("__spans"))
     for block in blocks:
         out = _scan_block(out, tuple(block))
-    return out.select(*carry, F.col("__n").alias("n_words"), F.col("__spans").alias("spans"))
+    return out.select(*carry, F.col("__n").alias(names[0]), F.col("__spans").alias(names[1]))
 
 
 def _scan_block(df: DataFrame, block: tuple) -> DataFrame:
     place = df.columns.index("text")
     names = df.columns
-    columns = [c for c in names if not c.startswith("__")]
+    columns = names[:-2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = automaton_of(block)

@@ -12,7 +12,7 @@ flags texts whose score is below ``AMBIGUOUS``.
 Defined results: a text without a letter, empty or NULL is ``und`` with score 0 and ambiguous;
 with no learned language every text is ``und``; NULL languages are never learned; NULL ids count
 as training rows; repeated rows are judged alike; ties go to the language first in order; extra
-columns are ignored; an empty table gives an empty result. Languages are few by nature: their
+columns are carried; an empty table gives an empty result. Languages are few by nature: their
 list and the trigram counts per language are held by the driver.
 """
 
@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from . import ragged
 from .common import fold, query, read
@@ -34,7 +35,7 @@ BITS = 14
 BUCKETS = 1 << BITS
 FOLDS, HELD = 4, 2
 SAMPLE = 1 << 14
-AMBIGUOUS = 0.6
+AMBIGUOUS = 0.5
 UNKNOWN = "und"
 STEP = 1 << 20  # bytes of text held as trigrams at a time
 
@@ -168,33 +169,34 @@ def fit(docs: DataFrame) -> Model:
     return Model(languages, code, weights.astype(np.float32), trust / trust.sum(axis=1, keepdims=True) * code.shape[1])
 
 
-SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
-
-
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, ambiguous`` of every document."""
-    names = np.array([*model.languages, UNKNOWN], object)
+def predict(docs: DataFrame, model: Model, names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """All columns of the documents and the predicted language, its score and the flag, under
+    the given names."""
+    answers = np.array([*model.languages, UNKNOWN], object)
+    docs = docs.drop(*names)
+    columns = docs.columns
+    place = columns.index("text")
+    schema = StructType([*docs.schema.fields, *(StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            has_letter = pc.fill_null(pc.match_substring_regex(batch.column(2), r"\pL"), False)
+            has_letter = pc.fill_null(pc.match_substring_regex(batch.column(place), r"\pL"), False)
             has_letter = has_letter.to_numpy(zero_copy_only=False)
-            for chunk in lowered(batch, 2):
+            for chunk in lowered(batch, place):
                 part = slice(chunk.first, chunk.first + chunk.n)
                 known = has_letter[part] & bool(model.languages)
                 best, score = np.full(chunk.n, len(model.languages)), np.zeros(chunk.n)
                 if model.languages:
                     best, score = model.decode(margins_of(chunk, model.weights))
                 best, score = np.where(known, best, len(model.languages)), np.where(known, score, 0.0)
-                columns = [batch.column(0).slice(chunk.first, chunk.n), batch.column(1).slice(chunk.first, chunk.n)]
-                columns += [pa.array(names[best], pa.string()), pa.array(score), pa.array(score < AMBIGUOUS)]
-                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SCHEMA.split(", ")])
+                added = [pa.array(answers[best], pa.string()), pa.array(score), pa.array(score < AMBIGUOUS)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(chunk.first, chunk.n).columns, *added], [*columns, *names])
 
-    rows = docs.select(F.col("doc_id").cast("long"), (fold("doc_id", FOLDS) == HELD).alias("held_out"), "text")
-    return rows.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(run, schema)
 
 
 @query("op10_language_id")
 def op10_language_id(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    return predict(docs, fit(docs))
+    rows = docs.select(F.col("doc_id").cast("long"), (fold("doc_id", FOLDS) == HELD).alias("held_out"), "text")
+    return predict(rows, fit(docs)).drop("text")

@@ -94,10 +94,12 @@ def copies(found: DataFrame, keys: list[str]) -> DataFrame:
     return found.join(intervals, name).where(~place.eqNullSafe(F.col("first"))).select(*keys, "at", "n")
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns with the cleaned ``text``, and ``n_lines``, ``removed`` (line numbers from 0)."""
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, report: tuple[str, str] = ("n_lines", "removed")) -> DataFrame:
+    """All columns with the cleaned ``text``, and under the names of ``report`` the number of
+    lines and the deleted ones (numbers from 0), which replace columns of these names."""
+    docs = docs.drop(*report)
     keys = ["__id", "__text"]
-    marked = docs.withColumn("__id", F.col(id_column)).withColumn("__text", F.xxhash64("text"))
+    marked = docs.withColumn("__id", F.col("doc_id")).withColumn("__text", F.xxhash64("text"))
     # Repeated rows of one id and text share a place, so they count once.
     found = runs(marked.select(*keys, "text"), keys, min_words).distinct()
     gone = copies(found, keys).groupBy(*keys).agg(F.collect_list(F.struct("at", "n")).alias("__runs"))
@@ -110,12 +112,14 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", min_words: int = MIN
     both = both.withColumn("__numbers", F.when(F.col("__runs").isNotNull(), numbers))
     dense = "array_distinct(flatten(transform(__runs, r -> sequence(r.at, r.at + r.n - 1))))"
     removed = F.expr(f"array_sort(transform({dense}, i -> get(__numbers, i)))")
-    both = both.withColumn("removed", F.coalesce(removed, F.expr("cast(array() as array<int>)")))
-    kept = F.expr("array_except(sequence(0, size(__lines) - 1), removed)")
-    both = both.withColumn("__kept", F.when(F.size("removed") > 0, kept))
-    text = F.when(F.size("removed") > 0, F.expr(r"array_join(transform(__kept, i -> get(__lines, i)), '\n')")).otherwise(F.col("text"))
-    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines"))
-    return both.withColumn("n_lines", lines).withColumn("text", text).drop("__lines", "__numbers", "__runs", "__kept")
+    both = both.withColumn("__gone", F.coalesce(removed, F.expr("cast(array() as array<int>)")))
+    kept = F.expr("array_except(sequence(0, size(__lines) - 1), __gone)")
+    both = both.withColumn("__kept", F.when(F.size("__gone") > 0, kept))
+    joined = F.expr(r"array_join(transform(__kept, i -> get(__lines, i)), '\n')")
+    text = F.when(F.size("__gone") > 0, joined).otherwise(F.col("text"))
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")).alias(report[0])
+    others = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    return both.select(*others, lines, F.col("__gone").alias(report[1]))
 
 
 SQL = rf"""WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no FROM documents),

@@ -15,10 +15,12 @@ member), which makes it count for two differences.
 3. Allocation by cost: a set must be tried on as many segments as linked sets can differ in,
    plus one, and may leave out the rest. It leaves out its commonest. Pairs that share fewer
    segments than linked sets must are dropped before any set is looked at.
-4. Sets in the remaining pairs are fetched (a Bloom filter of bounded size keeps the others
-   from being shuffled) and compared exactly.
+4. Parity vectors of the sets rule out most of the remaining pairs; the sets of the others are
+   fetched (a Bloom filter of bounded size keeps the rest from being shuffled) and compared
+   exactly.
 5. Sets that still need common segments are tried against the members that the links so far
-   have not yet joined to them: first around the set with most common segments, then all.
+   have not yet joined to them: first around the set with most common segments, then all, in
+   blocks, again by sizes and parities first.
    Sets whose segments cannot cover the allowed differences (many empty ones) are tried on
    every single 5-gram instead, so no link is lost.
 
@@ -47,6 +49,8 @@ COMMON = 16
 RANGE_ROWS = 1 << 21  # fingerprints sorted by one task
 STEP = 1 << 22  # bytes of text shingled at a time
 BLOOM_BITS = 1 << 27
+PLACES = 512
+PART = 4096
 
 
 def band_limits(upto: int) -> np.ndarray:
@@ -135,11 +139,12 @@ def _bands(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, set_id, cover, uncovered`` of every document; the empty set has no id."""
+    """``doc_id, text_hash, n, set_id, cover, uncovered`` of every document; the empty set has
+    no id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in ragged.chunks(batch.column(1), STEP):
+            for chunk in ragged.chunks(batch.column(2), STEP):
                 shingles, first = shingle_sets(chunk)
                 n = np.diff(first)
                 full = n > 0
@@ -148,12 +153,12 @@ def members(docs: DataFrame) -> DataFrame:
                     band, limits = _bands(n[full])
                     cover[full] = fingerprints(shingles, first[np.append(np.flatnonzero(full), chunk.n)], band, limits)[2]
                     bare[full] = cover[full] <= most_different(n[full])
-                columns = [batch.column(0).slice(chunk.first, chunk.n), pa.array(n)]
+                columns = [*batch.slice(chunk.first, chunk.n).columns[:2], pa.array(n)]
                 columns += [pa.array(set_ids(shingles, first), mask=~full), pa.array(cover), pa.array(bare)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_id", "cover", "uncovered"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n", "set_id", "cover", "uncovered"])
 
-    schema = "doc_id long, n long, set_id long, cover long, uncovered boolean"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, text_hash long, n long, set_id long, cover long, uncovered boolean"
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -322,8 +327,57 @@ def fetched(docs: DataFrame, filter_: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "set_id long, shingles binary").dropDuplicates(["set_id"])
 
 
+def places_of(n: int) -> int:
+    return PLACES if n < PLACES else 8 * PLACES if n < 8 * PLACES else 64 * PLACES
+
+
+def folded(words: np.ndarray, n_words: int) -> np.ndarray:
+    """Parities of fewer places: those that fall onto each other by exclusive or."""
+    return words if len(words) == n_words else np.bitwise_xor.reduce(words.reshape(-1, n_words), axis=0)
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> int:
+    """Members in which two sets differ at least, by their parities."""
+    n_words = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, n_words) ^ folded(y, n_words)).sum(dtype=np.int64))
+
+
+def parities(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``a, n, bits`` of the given sets: the parity of their shingles in each of 512 places (more
+    for large sets). Two sets differ in at least as many members as their parities in places."""
+    filter_ = bloom(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in ragged.chunks(batch.column(0), STEP):
+                shingles, first = shingle_sets(chunk)
+                of, n = set_ids(shingles, first), np.diff(first)
+                _, one = np.unique(of, return_index=True)
+                one = one[(n[one] > 0) & passes(filter_, of[one])]
+                bits = []
+                for i in one:
+                    places = places_of(n[i])
+                    at = (shingles[first[i] : first[i + 1]] & np.uint64(places - 1)).astype(np.int64)
+                    bits.append(np.packbits(np.bincount(at, minlength=places) & 1, bitorder="little").tobytes())
+                columns = [pa.array(of[one]), pa.array(n[one]), pa.array(bits, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "n", "bits"])
+
+    return docs.select("text").mapInArrow(run, "a long, n long, bits binary").dropDuplicates(["a"])
+
+
 def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets have 100 * intersection >= 75 * union."""
+    """The pairs ``a, b`` whose sets have 100 * intersection >= 75 * union.
+
+    Parities, an eighth of a byte to a byte per member, rule out most other pairs first, so
+    that few sets are shuffled.
+    """
+
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            words = [[np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in (4, 5)]
+            kept = [differing(x, y) <= most // 7 for x, y, most in zip(*words, n.tolist())]
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,13 +386,22 @@ def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 kept.append(100 * both >= 75 * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(kept))
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = fetched(docs, bloom(ids))
-    joined = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x")), "a")
-    joined = joined.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y")), "b")
-    return stored(joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+    def beside(frame: DataFrame, of: DataFrame, id_: str, *columns: str) -> DataFrame:
+        """The frame with the columns of its set ``a`` (suffix _a) and of its set ``b``."""
+        for side in ("a", "b"):
+            frame = frame.join(of.select(F.col(id_).alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return frame
+
+    def ids(frame: DataFrame) -> DataFrame:
+        return frame.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+    pairs = stored(pairs)
+    sized = beside(pairs, parities(docs, ids(pairs)), "a", "n", "bits")
+    near = stored(sized.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(may, "a long, b long"))
+    both = beside(near, fetched(docs, bloom(ids(near))), "set_id", "shingles")
+    return stored(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long"))
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -414,7 +477,7 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     listed = stored(needed(listed))
     for around_heaviest in (True, False):
         labels = components(found)
-        rest = stars_between(listed, labels) if around_heaviest else cross_pairs(listed, labels)
+        rest = stars_between(listed, labels) if around_heaviest else cross_pairs(docs, listed, labels)
         rest = stored(rest.join(found, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
             found = stored(found.unionByName(linked(docs, rest)))
@@ -455,28 +518,91 @@ def stars_between(listed: DataFrame, labels: DataFrame) -> DataFrame:
     return ordered(pairs.select("a", F.col("head.a").alias("b")))
 
 
-def cross_pairs(listed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a set that must be tried on a common fingerprint with its members elsewhere."""
-    rows = placed(listed, labels)
-    mine = rows.where("asks").select("a", "print", "label")
-    theirs = rows.select("print", F.col("a").alias("b"), F.col("label").alias("label_b"))
-    return ordered(mine.join(theirs, "print").where("label <> label_b").select("a", "b"))
+def apart(table: pa.Table) -> pa.Table:
+    """Pairs of several blocks (left sets against right sets of one fingerprint) that sizes and
+    parities do not rule out."""
+    order = table.sort_by([("print", "ascending"), ("i", "ascending"), ("j", "ascending")])
+    key = [order.column(c).to_numpy() for c in ("print", "i", "j")]
+    new = np.ones(order.num_rows, bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in key], axis=0)
+    edges = np.append(np.flatnonzero(new), order.num_rows)
+    left, ids, label, n = (order.column(c).to_numpy() for c in ("left", "a", "label", "n"))
+    words = [np.frombuffer(x.as_buffer(), np.uint64) for x in order.column("bits")]
+    wide = np.array([len(w) > PLACES // 64 for w in words])
+    narrow = np.array([folded(w, PLACES // 64) for w in words])
+    found = []
+    for start, end in zip(edges[:-1], edges[1:]):
+        rows = np.arange(start, end)
+        mine, theirs = rows[left[rows]], rows[~left[rows]]
+        for at in range(0, len(mine), 64):
+            x, y = mine[at : at + 64, None], theirs[None, :]
+            may = (label[x] != label[y]) & (100 * np.minimum(n[x], n[y]) >= 75 * np.maximum(n[x], n[y]))
+            i, j = np.nonzero(may)
+            x, y = mine[at + i], theirs[j]
+            most = (n[x] + n[y]) // 7
+            use = np.bitwise_count(narrow[x] ^ narrow[y]).sum(axis=1, dtype=np.int64) <= most
+            x, y, most = x[use], y[use], most[use]
+            both = np.flatnonzero(wide[x] & wide[y])
+            use = np.ones(len(x), bool)
+            for k in both:
+                use[k] = differing(words[x[k]], words[y[k]]) <= most[k]
+            found.append(np.column_stack([ids[x[use]], ids[y[use]]]))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+    return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def cross_pairs(docs: DataFrame, listed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of a set that must be tried on a common fingerprint with its members elsewhere.
+
+    The members of a fingerprint are cut into parts of about ``PART`` sets, and each part meets
+    each other part in a block of its own.
+    """
+    rows = stored(placed(listed, labels).select("a", "print", "label", "asks"))
+    bits = parities(docs, rows.select(F.col("a").alias("id")).distinct())
+    parts = rows.groupBy("print").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    rows = rows.join(parts, "print").join(bits, "a").withColumn("part", F.pmod(F.xxhash64("a"), "parts").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    kept = ["print", "a", "label", "n", "bits"]
+    left = rows.where("asks").select(*kept, F.col("part").alias("i"), other.alias("j"), F.lit(True).alias("left"))
+    right = rows.select(*kept, other.alias("i"), F.col("part").alias("j"), F.lit(False).alias("left"))
+    # Many blocks are small: a task takes those of one hash range.
+    tasks = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = left.unionByName(right).withColumn("range", F.pmod(F.xxhash64("print", "i", "j"), F.lit(tasks)))
+    return both.groupBy("range").applyInArrow(apart, "a long, b long").distinct()
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, n, set_id, label`` of every document: equal labels are one component;
+    a document without words has none."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = stored(members(docs))
+    labels = components(links(docs, rows)).select(F.col("id").alias("set_id"), "label")
+    out = rows.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    return out.select("doc_id", "text_hash", "n", "set_id", "label")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, set_id, component_id`` of every document."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = stored(members(docs))
-    found = links(docs, rows)
-    firsts = rows.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    labels = components(found).select(F.col("id").alias("set_id"), "label")
-    grouped = firsts.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    least = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_set = grouped.join(least, "label").select("set_id", "component_id")
-    out = rows.join(of_set, "set_id", "left")
+    rows = stored(classes(docs))
+    least = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    out = rows.join(least, "label", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), "set_id", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """All columns of one document per component: the one of least id (NULL last). Documents
+    without words all stay; rows that repeat an id and a text are one document."""
+    rows = stored(classes(docs))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    kept = rows.where("label is not null").groupBy("label").agg(F.min(place).alias("p")).select("p.doc_id", "p.text_hash")
+    kept = kept.unionByName(rows.where("label is null").select("doc_id", "text_hash")).distinct()
+    kept = kept.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"))
+    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__text", F.xxhash64("text"))
+    same = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__hash"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["__id", "__text"]).drop("__id", "__text")
+
+
 @query("op8_ngram_join")
 def op8_ngram_join(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents")).drop("set_id")
