@@ -38,8 +38,8 @@ from .common import query, read, stored
 
 RANKS = "byte_bpe_50k.tiktoken"
 SLOTS = 1 << 19
-FREQUENT = 1 << 18
-WORD_SLOTS = 1 << 19
+FREQUENT = 1 << 19
+WORD_SLOTS = 1 << 20
 BASE = 0x10000  # code point of id 0: beyond it no code point is reserved
 
 #: Characters of the Unicode property White_Space, which ``\s`` of the pattern stands for.
@@ -197,8 +197,10 @@ def frequent_words(docs: DataFrame, t: Column) -> Column:
     kept = kept.select("slot", "word", t.alias("__t"))
     kept = kept.select("slot", "word", let(F.col("__t"), lambda x: fold(x, F.col("word"))).alias("symbols"))
     found = stored(spark.range(WORD_SLOTS).select(F.col("id").cast("int").alias("slot")).join(kept, "slot", "left"))
-    entry = F.struct("slot", "word", "symbols")
-    return found.agg(F.sort_array(F.collect_list(entry)).alias("v")).scalar()  # WORD_SLOTS entries
+    # WORD_SLOTS entries, of which the empty ones take eight bytes.
+    entries = F.sort_array(F.collect_list(F.struct("slot", "word", "symbols")))
+    full = F.transform(entries, lambda e: F.when(e["word"].isNotNull(), F.struct(e["word"].alias("word"), e["symbols"].alias("symbols"))))
+    return found.agg(full.alias("v")).scalar()
 
 
 def encode(docs: DataFrame, vocabulary: str = RANKS) -> DataFrame:
@@ -209,7 +211,7 @@ def encode(docs: DataFrame, vocabulary: str = RANKS) -> DataFrame:
 
     def of_word(x: Column, word: Column) -> Column:
         entry = F.get(x["frequent"], slot_of(word))
-        return let(entry, lambda e: F.when(e["word"].eqNullSafe(word), e["symbols"]).otherwise(fold(x["t"], word)))
+        return let(entry, lambda e: F.when(e["word"] == word, e["symbols"]).otherwise(fold(x["t"], word)))
 
     # Each constant is read in one place, so it is not copied into a row.
     bound = F.struct(F.col("__t").alias("t"), F.col("__frequent").alias("frequent"), pre_tokens(F.col("text")).alias("words"))
