@@ -151,6 +151,15 @@ def test_next_subwords_are_a_distribution_and_windows_score_each_once():
     assert lm_score.score_steps(p, ids, first)[3] == pytest.approx(alone[0], rel=1e-5)
 
 
+def test_a_place_sees_at_least_sixteen_inputs_before_it():
+    p = lm_score.start(np.zeros(lm_score.SUBWORDS + 1))
+    ids = np.arange(40)
+    other = np.concatenate([[99], ids[1:]])
+    one, two = (lm_score.hidden(p, *lm_score.windows(x, np.array([0, 40]))[:2])[0].reshape(-1, lm_score.WIDTH) for x in (ids, other))
+    assert np.abs(one[16] - two[16]).max() > 0  # input 1 is the first subword
+    assert (one[0] == two[0]).all()
+
+
 def test_base_and_held_out_scores(spark):
     texts = {r.doc_id: r.text for r in read(spark, SF, "documents").select("doc_id", "text").collect()}
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
