@@ -160,6 +160,16 @@ def test_a_place_sees_at_least_sixteen_inputs_before_it():
     assert (one[0] == two[0]).all()
 
 
+def test_every_round_trains_on_every_training_text(spark, monkeypatch):
+    """Two million characters, above the size from which a sample was once taken."""
+    read_by_rounds = []
+    monkeypatch.setattr(lm_score, "train_round", lambda texts, p, pace: read_by_rounds.append(texts.count()) or p)
+    docs = read(spark, SF, "documents")
+    lm_score.scores(docs)
+    ids = [r.doc_id for r in docs.select("doc_id").collect()]
+    assert read_by_rounds == [sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in ids)] * 3
+
+
 def test_base_and_held_out_scores(spark):
     texts = {r.doc_id: r.text for r in read(spark, SF, "documents").select("doc_id", "text").collect()}
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
