@@ -68,6 +68,22 @@ def test_machine_learns_a_pair_that_no_sum_can():
     assert factors[0] @ factors[1] > 0.5
 
 
+def test_only_real_near_copies_share_a_weight(spark, monkeypatch):
+    """Texts that hold one common word pair, and eleven copies of one text."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    copied = " ".join(word() for _ in range(60))
+    texts = [f"{'once again ' * 3}{word()} {word()}" for _ in range(60)] + [copied] * 10 + [f"{copied} {word()}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0 and i < 60)) for i in range(71)], "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "choose", lambda rows, share: seen.update(share) or np.zeros(0, np.int64))
+    toxicity.fit(docs, labels)
+    alike = [i for i in seen if i >= 60]
+    assert {round(seen[i], 9) for i in seen if i < 60} == {1.0}
+    assert len(alike) > 1 and sum(seen[i] for i in alike) == pytest.approx(1)
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows = toxicity.op7_toxicity(spark, "/root/testdata/sf0.1").join(read(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("held_out").collect()
     right = sum(r.predicted == r.toxic for r in rows) / len(rows)

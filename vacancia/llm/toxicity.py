@@ -9,8 +9,9 @@ so a pair of terms (an insult next to a group) can weigh more than its parts, wh
 weights cannot say. Terms are first chosen by a likelihood-ratio test of their document
 frequencies in the labelled texts: those with more evidence than chance gives the best of as
 many terms, ``FEWEST`` to ``CHOSEN`` of them. Learning reads a bounded
-sample of ``LABELLED`` labelled training rows in hash order of the id; near copies in it share
-one row's weight, so a copied text cannot teach its own words. Scoring covers whole texts.
+sample of ``LABELLED`` labelled training rows in hash order of the id; near copies in it (one
+component of the exact word 5-gram join) share one row's weight, so a copied text cannot teach its
+own words and no other text loses weight. Scoring covers whole texts.
 
 Labels, language, source and id are no inputs of a score: the id only chooses training rows.
 
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from . import ragged
 from .common import fold, query, read, stored
+from .ngram_join import near_duplicates
 
 BITS = 20
 TERMS = 1 << BITS
@@ -93,17 +95,6 @@ def held_terms(chunk: ragged.Chunk, index: np.ndarray) -> tuple[np.ndarray, np.n
     return pair // CHOSEN, pair % CHOSEN
 
 
-def signature(chunk: ragged.Chunk) -> np.ndarray:
-    """Least hash of a text's word pairs, shared by most near copies."""
-    starts, ends, first = chunk.spans(ragged.SIGNS)
-    pairs, bounds = ragged.grams(chunk.hashes(starts, ends), first, 2)
-    out = np.arange(chunk.n).astype(np.uint64)
-    full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        out[full] = np.minimum.reduceat(pairs, bounds[full])
-    return out
-
-
 def choose(rows: DataFrame, share: dict[int, float]) -> np.ndarray:
     """Buckets of the chosen terms, most telling first."""
 
@@ -184,19 +175,12 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = LABELLED) -> Machine:
     # At most `size` rows of two numbers, so the hint is within a proven bound.
     rows = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in lowered(batch.column(1)):
-                columns = [batch.column(0).slice(chunk.first, chunk.n), pa.array(signature(chunk).view(np.int64))]
-                columns.append(batch.column(2).slice(chunk.first, chunk.n).cast(pa.int32()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sign", "label"])
-
-    signed = rows.select("doc_id", "text", "label").mapInArrow(sign, "doc_id long, sign long, label int").toPandas()
+    copies = near_duplicates(rows).groupBy("doc_id").agg(F.min("component_id").alias("copy"))
+    signed = copies.join(F.broadcast(sample), "doc_id").select("doc_id", "copy", "label").toPandas()
     if not 0 < (signed["label"] > 0).mean() < 1:
         return none
-    # Copies with the same label share one row's weight. Repeated ids are one row.
-    signed = signed.drop_duplicates("doc_id")
-    weight = 1 / signed.groupby(["sign", "label"])["doc_id"].transform("size")
+    # Near copies (compared exactly) with the same label share one row's weight. Repeated ids are one row.
+    weight = 1 / signed.groupby(["copy", "label"])["doc_id"].transform("size")
     share = dict(zip(signed["doc_id"].tolist(), weight.tolist()))
     chosen = choose(rows, share)
     index = none.index
