@@ -24,15 +24,18 @@ table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import query, read, stored
-from .hat_trie import BITS, Node
+from .hat_trie import BITS, BURST, Node
 from .ragged import chunks
 
 LEAST = 10  # occurrences of a candidate
@@ -40,10 +43,11 @@ SHARE = 50  # percent of a candidate's occurrences inside a longer one that drop
 TOP = 2000
 UNKNOWN = "und"
 
-HELD = 1 << 20  # n-grams in a task's tries
+HELD = 1 << 21  # n-grams in a task's tries
 WORDS = 1 << 20  # ids of a task, at most 1 << BITS
 SLOTS = 1 << 24  # bits of a table of frequent phrases
 ROWS = 1 << 15  # of a batch of a run
+PARTS = 16  # of a language's candidates, cut before they are ranked
 
 _PRIME, _STEP = (1 << 31) - 1, 1_000_003
 BREAK = b"\xff"  # never part of UTF-8
@@ -84,33 +88,34 @@ def bits(slots: DataFrame) -> np.ndarray:
 
 
 def is_set(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    slot = h % SLOTS
+    slot = h % (64 * len(table))
     return (table[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
 class Counts:
     """N-grams of one task."""
 
-    def __init__(self, n: int, table: np.ndarray | None):
+    def __init__(self, n: int, table: np.ndarray | None, held: int, words: int, burst: int):
         self.n, self.table = n, table
+        self.held, self.words, self.burst = held, words, burst
         self._restart()
 
     def _restart(self) -> None:
         self.tries: dict[str, Node] = {}
         self.size = 0
-        self.ids: dict[bytes, int] = {BREAK: 0}
-        self.names: list[bytes] = [BREAK]
+        self.ids: dict[bytes, int] = defaultdict(count().__next__)  # in order of arrival
+        self.names: list[bytes] = []
         self.crc = np.zeros(1 << 10, np.int64)
+        self._ids([BREAK])
 
     def _ids(self, words: list[bytes]) -> np.ndarray:
-        new = set(words).difference(self.ids)
+        out = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
         start = len(self.names)
-        self.ids.update(zip(new, range(start, start + len(new))))
-        self.names.extend(new)
+        self.names.extend(islice(self.ids, start, None))
         while len(self.crc) < len(self.names):
             self.crc = np.concatenate([self.crc, np.zeros_like(self.crc)])
-        self.crc[start : len(self.names)] = np.fromiter(map(zlib.crc32, self.names[start:]), np.int64, len(new))
-        return np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+        self.crc[start : len(self.names)] = np.fromiter(map(zlib.crc32, self.names[start:]), np.int64)
+        return out
 
     def _keys(self, lang: str, ids: np.ndarray) -> np.ndarray:
         """Packed n-grams whose parts may all be frequent."""
@@ -127,13 +132,13 @@ class Counts:
     def add(self, lang: str, words: list[bytes]) -> None:
         keys = self._keys(lang, self._ids(words))
         if len(keys):
-            trie = self.tries.setdefault(lang, Node(BITS * (self.n - 1)))
-            self.size += trie.add(keys)
+            trie = self.tries.setdefault(lang, Node(BITS * (self.n - 1), self.burst))
+            self.size += trie.add(*np.unique(keys, return_counts=True))
 
     def runs(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
         """Sorted runs of subtrees that leave, if the tries or the ids have become too many."""
-        everything = everything or len(self.names) > WORDS
-        while self.size > (0 if everything else HELD):
+        everything = everything or len(self.names) > self.words
+        while self.size > (0 if everything else self.held):
             lang = max(self.tries, key=lambda x: len(self.tries[x]))
             subtree = self.tries[lang].pop_largest()
             self.size -= len(subtree)
@@ -142,19 +147,30 @@ class Counts:
             self._restart()
 
     def _run(self, lang: str, subtree) -> Iterator[pa.RecordBatch]:
-        mask, places = (1 << BITS) - 1, [BITS * i for i in reversed(range(self.n))]
-        rows = sorted((b" ".join([self.names[(key >> p) & mask] for p in places]), n) for key, n in subtree.items())
-        for i in range(0, len(rows), ROWS):
-            phrase, n = zip(*rows[i : i + ROWS])
-            columns = [pa.array([lang] * len(n)), pa.array(phrase, pa.string()), pa.array(n, pa.int64())]
+        keys, n = subtree.items()
+        ids = [(keys >> BITS * i) & ((1 << BITS) - 1) for i in reversed(range(self.n))]
+        # Words of the subtree in order; keys in the order of their words.
+        used = np.unique(np.concatenate(ids))
+        names = pa.array([self.names[i] for i in used.tolist()], pa.string())
+        by_name = pc.sort_indices(names)
+        names, rank = names.take(by_name), np.empty(len(used), np.int64)
+        rank[by_name.to_numpy()] = np.arange(len(used))
+        ranks = [rank[np.searchsorted(used, i)] for i in ids]
+        order = np.lexsort(ranks[::-1])
+        for i in range(0, len(order), ROWS):
+            part = order[i : i + ROWS]
+            phrase = pc.binary_join_element_wise(*[names.take(pa.array(r[part])) for r in ranks], " ")
+            columns = [pa.array([lang] * len(part), pa.string()), phrase, pa.array(n[part])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
 
 def count_runs(docs: DataFrame, n: int, table: np.ndarray | None = None) -> DataFrame:
     """``lang, phrase, n``: sorted runs of the tasks' counts of phrases of ``n`` words."""
 
+    limits = (HELD, WORDS, BURST)  # of the driver's module: a task's own may differ
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(n, table)
+        counts = Counts(n, table, *limits)
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for chunk in chunks(batch.column(1)):
@@ -210,8 +226,13 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: i
     longer = longer.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
     two = two.join(longer, ["lang", "phrase"], "left")
     two = two.where(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("f"))).drop("longer")
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("f").desc(), F.col("phrase").asc())
-    ranked = two.unionByName(three).withColumn("rank", F.row_number().over(order).cast("long"))
+    ranked = two.unionByName(three)
+    order = [F.col("score").desc(), F.col("f").desc(), F.col("phrase").asc()]
+    if top is not None:  # cut within parts first: the last cut sees PARTS times `top` rows of a language at most
+        ranked = ranked.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+        ranked = ranked.where(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", F.col("f").alias("a"), "l", "r", "n", F.col("score").cast("long").alias("score"))
