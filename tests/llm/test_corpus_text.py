@@ -237,3 +237,30 @@ def test_one_document_of_each_group_stays(spark):
     docs = frame(spark, [(3, "a b c d e f", 1), (2, "A b c d e f", 2), (2, "A b c d e f", 2), (5, "", 3), (6, "", 4), (None, "a b c d e f", 5)], "doc_id long, text string, n int")
     kept = sorted((r.doc_id, r.n) for r in ngram_join.one_of_each(docs).collect())
     assert kept == [(2, 2), (5, 3), (6, 4)]
+
+
+def test_a_filter_on_cleaned_texts_splits_them_once(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(1, "a\nb", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = corpus_pipeline.dedup_lines(spark, df, "")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Join LeftOuter")]
+    assert "Filter" in above and above.count("split(text") <= 2  # once in the filter, once in what it returns
+
+
+def test_long_texts_of_many_deleted_lines_take_linear_time(spark):
+    from vacancia.llm import line_dedup
+
+    shared = "\n".join(f"line {i} of one passage" for i in range(4000))
+    texts = [f"{shared}\nown {d}" for d in range(3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = line_dedup.dedup_lines(df, emptied="gone").where("not gone").collect()
+    assert sorted((r.doc_id, r.text, len(r.removed)) for r in rows) == [(0, texts[0], 0), (1, "own 1", 4000), (2, "own 2", 4000)]
+
+
+def test_line_dedup_keeps_columns_with_names_like_its_own(spark):
+    from vacancia.llm import line_dedup
+
+    df = spark.createDataFrame([(1, "a", "x", "y", 3, 4)], "doc_id long, text string, __id string, __text string, __runs int, __lines int")
+    row = line_dedup.dedup_lines(df).first()
+    assert (row["__id"], row["__text"], row["__runs"], row["__lines"], row.n_lines) == ("x", "y", 3, 4, 1)

@@ -24,7 +24,7 @@ order; extra columns are carried by ``dedup_lines``; an empty table gives an emp
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import query, read
@@ -94,32 +94,58 @@ def copies(found: DataFrame, keys: list[str]) -> DataFrame:
     return found.join(intervals, name).where(~place.eqNullSafe(F.col("first"))).select(*keys, "at", "n")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, report: tuple[str, str] = ("n_lines", "removed")) -> DataFrame:
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Column names like these that the frame does not use."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def _cleaned(text: str, runs: str) -> Column:
+    """Struct of the cleaned text, its number of lines, the deleted ones, and whether that left no word.
+
+    The lines are split once and bound to a name, ``transform(array(x), s -> ...)[0]``, and so is
+    every array made of them. A caller's filter on these columns copies the whole expression, so
+    nothing in a lambda may refer to a computed column.
+    """
+    empty = "cast(array() as array<int>)"
+    numbers = r"filter(transform(s.lines, (l, i) -> if(l rlike '[^\\x20\\x09-\\x0D]', i, -1)), i -> i >= 0)"
+    inside = "array_distinct(flatten(transform(s.runs, r -> sequence(r.at, r.at + r.n - 1))))"
+    gone = f"transform(array(struct({numbers} as numbers)), n -> struct(n.numbers, array_sort(transform({inside}, i -> get(n.numbers, i))) as gone))[0]"
+    kept = "array_except(sequence(0, size(s.lines) - 1), g.gone)"
+    made = rf"""transform(array({gone}), g -> struct(
+        array_join(transform({kept}, i -> get(s.lines, i)), '\n') as text, size(s.lines) as n_lines, g.gone as removed,
+        size(array_except(g.numbers, g.gone)) = 0 as emptied))[0]"""
+    left = f"struct(s.text, if(s.text is null, 0, size(s.lines)) as n_lines, {empty} as removed, false as emptied)"
+    return F.expr(
+        rf"transform(array(struct({text} as text, split({text}, '\n', -1) as lines, {runs} as runs)), s -> if(s.runs is null, {left}, {made}))[0]"
+    )
+
+
+def dedup_lines(
+    docs: DataFrame, min_words: int = MIN_WORDS, report: tuple[str, str] = ("n_lines", "removed"), emptied: str | None = None
+) -> DataFrame:
     """All columns with the cleaned ``text``, and under the names of ``report`` the number of
-    lines and the deleted ones (numbers from 0), which replace columns of these names."""
-    docs = docs.drop(*report)
-    keys = ["__id", "__text"]
-    marked = docs.withColumn("__id", F.col("doc_id")).withColumn("__text", F.xxhash64("text"))
+    lines and the deleted ones (numbers from 0), which replace columns of these names; under the
+    name ``emptied``, if asked for, whether a text lost all its words."""
+    asked = [*report, *([emptied] if emptied else [])]
+    docs = docs.drop(*asked)
+    id_, text_, id2, text2, runs_, made = _free(docs, "__id", "__text", "__id2", "__text2", "__runs", "__made")
+    keys = [id_, text_]
+    marked = docs.withColumn(id_, F.col("doc_id")).withColumn(text_, F.xxhash64("text"))
     # Repeated rows of one id and text share a place, so they count once.
     found = runs(marked.select(*keys, "text"), keys, min_words).distinct()
-    gone = copies(found, keys).groupBy(*keys).agg(F.collect_list(F.struct("at", "n")).alias("__runs"))
-    gone = gone.select(F.col("__id").alias("__id2"), F.col("__text").alias("__text2"), "__runs")
-    match = F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__text") == F.col("__text2"))
-    both = marked.join(gone, match, "left").drop("__id", "__text", "__id2", "__text2")
-    both = both.withColumn("__lines", F.expr(r"split(text, '\n', -1)"))
-    # Numbers of the lines with a word, then those that lie in a deleted run.
-    numbers = F.expr("filter(sequence(0, size(__lines) - 1), i -> get(__lines, i) rlike '[^\\\\x20\\\\x09-\\\\x0D]')")
-    both = both.withColumn("__numbers", F.when(F.col("__runs").isNotNull(), numbers))
-    dense = "array_distinct(flatten(transform(__runs, r -> sequence(r.at, r.at + r.n - 1))))"
-    removed = F.expr(f"array_sort(transform({dense}, i -> get(__numbers, i)))")
-    both = both.withColumn("__gone", F.coalesce(removed, F.expr("cast(array() as array<int>)")))
-    kept = F.expr("array_except(sequence(0, size(__lines) - 1), __gone)")
-    both = both.withColumn("__kept", F.when(F.size("__gone") > 0, kept))
-    joined = F.expr(r"array_join(transform(__kept, i -> get(__lines, i)), '\n')")
-    text = F.when(F.size("__gone") > 0, joined).otherwise(F.col("text"))
-    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")).alias(report[0])
-    others = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return both.select(*others, lines, F.col("__gone").alias(report[1]))
+    gone = copies(found, keys).groupBy(*keys).agg(F.collect_list(F.struct("at", "n")).alias(runs_))
+    gone = gone.select(F.col(id_).alias(id2), F.col(text_).alias(text2), runs_)
+    match = F.col(id_).eqNullSafe(F.col(id2)) & (F.col(text_) == F.col(text2))
+    both = marked.join(gone, match, "left").withColumn(made, _cleaned("text", runs_))
+    fields = dict(zip(asked, ("n_lines", "removed", "emptied")))
+    others = [F.col(f"{made}.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    return both.select(*others, *[F.col(f"{made}.{field}").alias(name) for name, field in fields.items()])
 
 
 SQL = rf"""WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no FROM documents),
