@@ -25,8 +25,6 @@ from vacancia.llm.common import read, stored
 #: SQL cannot express the learned stage; tests compare the rows with a brute-force version.
 ORACLE_SQL = None
 
-HAS_WORD = r"[^\x20\x09-\x0D]"
-
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs)
@@ -38,12 +36,11 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.dedup_lines(docs, report=("__n_lines", "__removed"))
-    touched = F.size("__removed") > 0
-    cleaned = cleaned.where(~touched | F.col("text").rlike(HAS_WORD))
+    names = ("__n_lines", "__removed", "__emptied")
+    cleaned = line_dedup.dedup_lines(docs, report=names[:2], emptied=names[2]).where(~F.col("__emptied"))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        cleaned = cleaned.withColumn("n_chars", F.when(touched, length).otherwise(F.col("n_chars")))
+        cleaned = cleaned.withColumn("n_chars", F.when(F.size("__removed") > 0, length).otherwise(F.col("n_chars")))
     return cleaned.select(*docs.columns)
 
 
