@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vacancia.operators import aggregates as agg
-from vacancia.operators import dedupe, quantiles, similarity, usage
+from vacancia.operators import dedupe, quantiles, running, similarity
 
 
 def edit_distance(a, b):
@@ -95,7 +95,7 @@ def test_previous_row_equals_lag(spark):
     rows = [(rng.choice("ab"), rng.randrange(0, 400_000), i, rng.randrange(9)) for i in range(2_000)]
     df = spark.createDataFrame(rows, "k string, s long, id int, v int")
     df = df.withColumn("at", F.timestamp_seconds("s"))
-    got = usage.previous_row(df, ["k"], "at", ["id"], ["v"], "hour")
+    got = running.previous_rows(df, ["k"], ["at", "id"], ["v"])
     lag = F.lag("v").over(Window.partitionBy("k").orderBy("at", "id"))
     want = df.withColumn("want", lag).select("id", "want")
     both = got.select("id", F.col("prev.v").alias("got")).join(want, "id")

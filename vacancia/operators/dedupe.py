@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import or_empty
 from ..functions.text import as_column, strip_whitespace
+from .running import numbered
 
 RANK = "__rank"
 COUNT = "__count"
 
-# A capped group is cut within this many parts, then within the next number, then as a whole.
-SALTS = (256, 16)
+# Caps up to this are cut per task before the shuffle; larger ones are numbered in range order.
+PER_TASK = 1000
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -116,18 +117,20 @@ def fingerprint_groups(
     return grouped.where(F.col("n") > 1).select("fp.*", "n", "first")
 
 
-def cap_per_group(df: DataFrame, by: Sequence[str], n: int, ordinal: str | Sequence[str]) -> DataFrame:
+def cap_per_group(
+    df: DataFrame, by: Sequence[str], n: int, ordinal: str | Sequence[str], store_at: str | None = None
+) -> DataFrame:
     """At most ``n`` rows per group in arrival order.
 
-    A group is cut within salted parts, these within fewer, and only then as a whole: the last
-    cut sees at most 16 times ``n`` rows of a group, whatever its size.
+    For a small ``n`` the rank filter leaves ``n`` rows of a group per task before the shuffle. A
+    large ``n`` would let a hot group through whole, so its rows are dealt out by ranges of group
+    and ordinal, written once (to ``store_at`` or the session's shared folder) and numbered there.
     """
     columns = [ordinal] if isinstance(ordinal, str) else list(ordinal)
     order = [F.col(c).asc_nulls_last() for c in columns]
-    for salts in SALTS:
-        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
-        df = top_rows(salted, [*by, "__salt"], order, n).drop("__salt")
-    return top_rows(df, by, order, n)
+    if n <= PER_TASK:
+        return top_rows(df, by, order, n)
+    return numbered(df, by, order, COUNT, store_at).where(F.col(COUNT) <= n).drop(COUNT)
 
 
 def cap_report(df: DataFrame, by: Sequence[str], n: int) -> DataFrame:

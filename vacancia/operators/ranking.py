@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.text import as_column
 from .aggregates import row_total
 from .dedupe import top_rows
+from .running import ranked
 
 
 def ordered(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
@@ -72,12 +73,10 @@ def facet_values(df: DataFrame, value: str | Column, by_frequency: bool = False)
     return grouped.orderBy(F.col("n").desc(), name) if by_frequency else grouped.orderBy(name)
 
 
-def volume_rank(df: DataFrame, column: str) -> DataFrame:
-    """Values ranked by volume. The window sees one row per distinct value: use it for
-    label-like columns."""
+def volume_rank(df: DataFrame, column: str, store_at: str | None = None) -> DataFrame:
+    """Values ranked by volume, however many there are."""
     grouped = exploded(df, column).groupBy("value").agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.col("n").desc(), F.col("value").asc())
-    return grouped.withColumn("rank", F.row_number().over(order))
+    return ranked(grouped, [F.col("n").desc(), F.col("value").asc()], store_at=store_at)
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:

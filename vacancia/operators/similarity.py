@@ -2,15 +2,19 @@
 
 The pair condition (similar title, similar company, near dates) is split into equi-joins:
 
-1. ``similar_texts`` joins the *distinct* titles with each other, and the distinct
-   companies with each other, on shared segments (the partition scheme of the Pass-Join
-   paper, Li et al., VLDB 2011): a text cut into ``k + 1`` segments keeps at least one of
-   them under ``k`` edits, so any similar text holds that segment near its place. No
-   similar pair is lost, and texts that share no segment are never compared.
-2. ``fuzzy_pairs`` rewrites each row to the titles and companies similar to its own and
-   joins on the exact (title, company, date block). A hot title spreads over its
-   companies and a hot company over its titles; nothing pairs up inside a hot group that
-   is not already similar in both.
+1. ``similar_texts`` joins the *distinct* titles with each other on shared segments (the
+   partition scheme of the Pass-Join paper, Li et al., VLDB 2011): a text cut into ``k + 1``
+   segments keeps at least one of them under ``k`` edits, so any similar text holds that segment
+   near its place. At a title's ratio segments are long, and few unlike texts share one.
+2. Companies are compared only inside groups of one title and date block that have similar
+   titles and neighbouring blocks. Where the smaller group has few companies, all of it is
+   compared. Elsewhere a prefix filter over q-grams picks the candidates: ``k`` edits leave at
+   least ``o`` grams of the longer name intact, each within ``k`` places, so in any order of all
+   grams the first two of them stand early in both names. Rare grams come first in that order,
+   names meet on pairs of them, and lengths and places must fit.
+
+No similar pair is lost. A hot title spreads over the gram pairs of its companies, and a hot
+company over its titles and dates.
 """
 
 from __future__ import annotations
@@ -21,6 +25,13 @@ from pyspark.sql import functions as F
 from ..functions.text import as_column
 from ..session import store
 
+#: Groups with this many companies or fewer are compared without a filter.
+SMALL = 64
+#: Buckets of hashed grams whose rarity orders them.
+BUCKETS = 4096
+#: Early grams of a name up to which pairs of them are made.
+EARLY = 32
+
 
 def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFrame:
     """All ordered pairs of distinct texts within the edit ratio, each text with itself.
@@ -109,6 +120,86 @@ def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFram
     return pairs.unionByName(itself)
 
 
+def rarity(texts: DataFrame) -> str:
+    """Ranks of ``BUCKETS`` buckets of hashed 1- to 3-grams by how often they occur in the distinct
+    texts (column ``low``), as a constant of SQL; the driver receives a row per bucket at most."""
+    grams = " , ".join(f"transform(sequence(1, len - {q - 1}), i -> substring(low, i, {q}))" for q in (1, 2, 3))
+    sized = texts.select("low", F.length("low").alias("len")).where("len >= 3")
+    each = sized.select(F.explode(F.expr(f"concat({grams})")).alias("g"))
+    counted = dict(each.groupBy(F.expr(f"pmod(hash(g), {BUCKETS})").alias("b")).agg(F.count("*").alias("n")).collect())
+    order = sorted(range(BUCKETS), key=lambda b: (counted.get(b, 0), b))
+    rank = {b: i for i, b in enumerate(order)}
+    return "cast(split('" + ",".join(str(rank[b]) for b in range(BUCKETS)) + "', ',') as array<int>)"
+
+
+def gram_pairs(names: DataFrame, ratio: float, ranks: str, lengths: Column | None) -> DataFrame:
+    """Every column, and ``L, k, s``: the early gram pairs of ``low`` for partners of length ``L``.
+
+    Without ``lengths`` the name is the longer one of a pair and ``L`` its own length; else it is
+    the shorter one, or as long, and ``L`` each length that occurs. ``s`` has the fields
+    ``g1, g2, p1, p2``: grams and their places. Where only one gram is sure to be left, or pairs
+    would be too many, single grams stand for pairs (``g2`` empty).
+    """
+    rows = names.withColumn("__len", F.length("low"))
+    if lengths is None:
+        rows = rows.withColumn("L", F.col("__len"))
+    else:
+        reach = F.expr(f"sequence(__len, int(floor(__len / (1 - {ratio}) + 1e-9)))")
+        rows = rows.withColumn("__all", lengths).withColumn("L", F.explode(F.filter(reach, lambda n: F.array_contains("__all", n)))).drop("__all")
+    rows = rows.withColumn("k", F.expr(f"int(floor({ratio} * L + 1e-9))")).where("L - __len <= k")
+    rows = rows.withColumn("__q", F.expr("case when L - 2 - 3 * k >= 2 then 3 when L - 1 - 2 * k >= 2 then 2 else 1 end"))
+    rows = rows.withColumn("__o", F.expr("L - __q + 1 - k * __q")).where("__len - __q + 1 >= __o")
+    rows = rows.withColumn("__two", F.expr(f"__o >= 2 and k * __q + 2 <= {EARLY}"))
+    ranked = f"struct(get({ranks}, pmod(hash(substring(low, i, __q)), {BUCKETS})) as r, substring(low, i, __q) as g, i as p)"
+    early = f"slice(array_sort(transform(sequence(1, __len - __q + 1), i -> {ranked})), 1, __len - __q + 1 - __o + if(__two, 2, 1))"
+    rows = rows.withColumn("__early", F.expr(early))
+    pairs = "flatten(transform(__early, (x, i) -> transform(slice(__early, i + 2, size(__early)), y -> struct(x.g as g1, y.g as g2, x.p as p1, y.p as p2))))"
+    single = "transform(__early, x -> struct(x.g as g1, '' as g2, x.p as p1, x.p as p2))"
+    rows = rows.withColumn("s", F.explode(F.expr(f"if(__two, {pairs}, {single})")))
+    return rows.select(*names.columns, "L", "k", "s")
+
+
+def company_candidates(posts: DataFrame, titles: DataFrame, ratio: float, small: int = SMALL) -> DataFrame:
+    """Pairs of posts to compare: columns of ``posts`` (``title, company, block``) with ``_a`` and ``_b``.
+
+    ``titles`` has similar titles both ways, each with itself. A pair comes in one of its two
+    orders; a post comes with itself.
+    """
+    sizes = posts.groupBy("title", "block").agg(F.count("*").alias("m"))
+    a = sizes.select(*[F.col(c).alias(f"{c}_a") for c in ("title", "block", "m")])
+    b = sizes.select(*[F.col(c).alias(f"{c}_b") for c in ("title", "block", "m")])
+    near = a.join(titles.select(F.col("text_a").alias("title_a"), F.col("text_b").alias("title_b")), "title_a")
+    near = near.withColumn("block_b", F.explode(F.expr("array(block_a - 1, block_a, block_a + 1)"))).join(b, ["title_b", "block_b"])
+    same = (F.col("title_a") == F.col("title_b")) & (F.col("block_a") == F.col("block_b"))
+    links = near.where(same | (F.struct("title_a", "block_a") < F.struct("title_b", "block_b")))
+    few = F.least("m_a", "m_b") <= small
+    side_a = posts.select(*[F.col(c).alias(f"{c}_a") for c in ("title", "company", "block")])
+    side_b = posts.select(*[F.col(c).alias(f"{c}_b") for c in ("title", "company", "block")])
+    once = ~same | (F.col("company_a") <= F.col("company_b"))
+    keys = ["title_a", "block_a", "title_b", "block_b"]
+    out = [*keys[:2], "company_a", *keys[2:], "company_b"]
+    direct = links.where(few).select(*keys).join(side_a, ["title_a", "block_a"]).join(side_b, ["title_b", "block_b"])
+    direct = direct.where(once).select(*out)
+
+    names = posts.select(F.lower("company").alias("low")).distinct()
+    ranks = rarity(names)
+    lengths = names.agg(F.collect_set(F.length("low")).alias("lengths")).scalar()
+    many = links.where(~few).select(*keys)
+    left = many.join(side_a, ["title_a", "block_a"]).withColumn("low", F.lower("company_a"))
+    right = many.select("title_b", "block_b").distinct().join(side_b, ["title_b", "block_b"]).withColumn("low", F.lower("company_b"))
+    found = []
+    for a_longer in (True, False):
+        x = gram_pairs(left, ratio, ranks, None if a_longer else lengths)
+        y = gram_pairs(right, ratio, ranks, lengths if a_longer else None)
+        x = x.select(*keys, "company_a", F.length("low").alias("n_a"), "L", "k", "s.g1", "s.g2", F.col("s.p1").alias("x1"), F.col("s.p2").alias("x2"))
+        y = y.select("title_b", "block_b", "company_b", F.length("low").alias("n_b"), "L", "s.g1", "s.g2", F.col("s.p1").alias("y1"), F.col("s.p2").alias("y2"))
+        met = x.join(y, ["title_b", "block_b", "L", "g1", "g2"]).where("abs(x1 - y1) <= k and abs(x2 - y2) <= k")
+        if not a_longer:  # names of one length met in the first turn
+            met = met.where("n_a < n_b")
+        found.append(met.where(once).select(*out))
+    return direct.unionByName(found[0].unionByName(found[1]).distinct())
+
+
 def fuzzy_pairs(
     df: DataFrame,
     id: str,
@@ -123,11 +214,10 @@ def fuzzy_pairs(
 ) -> DataFrame:
     """Pairs ``a.id < b.id`` with similar title and company and dates at most ``days`` apart.
 
-    Columns carry the suffixes ``_a`` and ``_b``; ``keep`` names further columns to carry. Both
+    Columns carry the suffixes ``_a`` and ``_b``; ``keep`` names further columns to carry. The
     text joins and both sides of the pair join read the rows: with ``store_at`` they are
     written there once and read back.
     """
-    block = days + 1
     number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
     rows = df.select(
         F.col(id).alias("id"),
@@ -135,28 +225,32 @@ def fuzzy_pairs(
         F.col(company).alias("company"),
         F.col(day).alias("day"),
         *keep,
-        F.floor(number / block).cast("int").alias("block"),
+        F.floor(number / (days + 1)).cast("int").alias("block"),
     ).where("id is not null and title is not null and company is not null and day is not null")
+    rows = rows.where((F.length("title") > 0) & (F.length("company") > 0))
     if store_at is not None:
         rows = store(rows, store_at)
     data = ["id", "title", "company", "day", *keep]
+    posts = rows.select("title", "company", "block").distinct()
 
-    titles = similar_texts(rows, "title", title_ratio)
-    companies = similar_texts(rows, "company", company_ratio)
+    candidates = company_candidates(posts, similar_texts(posts, "title", title_ratio), company_ratio)
+    size = F.greatest(F.length("company_a"), F.length("company_b"))
+    bound = F.floor(F.lit(company_ratio) * size + F.lit(1e-9)).cast("int")
+    distance = F.call_function("levenshtein", F.lower("company_a"), F.lower("company_b"), bound)
+    similar = candidates.where((distance >= 0) & (distance / size <= company_ratio))
 
-    left = rows.select(*[F.col(c).alias(f"{c}_a") for c in data], "block")
-    left = (
-        left.join(titles.select(F.col("text_a").alias("title_a"), F.col("text_b").alias("title_b")), "title_a")
-        .join(
-            companies.select(F.col("text_a").alias("company_a"), F.col("text_b").alias("company_b")),
-            "company_a",
-        )
-        .withColumn("block", F.explode(F.expr("array(block - 1, block, block + 1)")))
+    key = ["title", "company", "block"]
+    sides = [rows.select(*[F.col(c).alias(f"{c}_{s}") for c in key], F.struct(*data).alias(s)) for s in ("a", "b")]
+    pairs = similar.join(sides[0], [f"{c}_a" for c in key]).join(sides[1], [f"{c}_b" for c in key])
+    itself = F.lit(True)
+    for c in key:
+        itself = itself & (F.col(f"{c}_a") == F.col(f"{c}_b"))
+    forth = F.col("a.id") < F.col("b.id")
+    wanted = (F.abs(F.datediff("a.day", "b.day")) <= days) & (forth | (~itself & (F.col("b.id") < F.col("a.id"))))
+    pairs = pairs.where(wanted).select(
+        F.when(forth, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(forth, F.col("b")).otherwise(F.col("a")).alias("b")
     )
-    right = rows.select(*[F.col(c).alias(f"{c}_b") for c in data], "block")
-    near = F.abs(F.datediff("day_a", "day_b")) <= days
-    pairs = left.join(right, ["title_b", "company_b", "block"]).where((F.col("id_a") < F.col("id_b")) & near)
-    return pairs.select(*[f"{c}_a" for c in data], *[f"{c}_b" for c in data])
+    return pairs.select(*[F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in ("a", "b") for c in data])
 
 
 def pick_loser(pairs: DataFrame, value: str, rank: Column, rank_b: Column, id: str = "id") -> DataFrame:

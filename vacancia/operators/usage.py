@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import DASH
+from .running import previous_rows
 
 # Limit assumed when a source reports none, and the status bands.
 DEFAULT_LIMIT = 200
@@ -15,45 +16,15 @@ HEALTHY_ABOVE = 0.5
 MONITOR_ABOVE = 0.25
 
 
-def previous_row(
-    df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str], columns: Sequence[str],
-    grain: str = "hour", out: str = "prev",
-) -> DataFrame:
-    """Struct of ``columns`` from the row before, per key group in time order.
-
-    A plain ``lag`` would sort a whole hot group in one task. Rows are first ordered
-    within (group, time bucket); the first row of a bucket takes the last row of the
-    bucket before it, found on one aggregated row per bucket.
-    """
-    order = [ts, *tiebreak]
-    rows = df.withColumn("__bucket", F.date_trunc(grain, F.col(ts))).withColumn(
-        "__row", F.struct(*columns)
-    )
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
-    rows = rows.withColumn("__near", F.lag("__row").over(inside)).withColumn(
-        "__first", F.row_number().over(inside) == 1
-    )
-    buckets = df.groupBy(
-        *[F.col(k).alias(f"__k_{k}") for k in keys], F.date_trunc(grain, F.col(ts)).alias("__k_bucket")
-    ).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("__last"))
-    across = Window.partitionBy(*[f"__k_{k}" for k in keys]).orderBy("__k_bucket")
-    buckets = buckets.withColumn("__far", F.lag("__last").over(across)).drop("__last")
-    match = F.col("__first") & F.col("__bucket").eqNullSafe(F.col("__k_bucket"))
-    for key in keys:
-        match = match & F.col(key).eqNullSafe(F.col(f"__k_{key}"))
-    joined = rows.join(buckets, match, "left")
-    before = F.when(F.col("__first"), F.col("__far")).otherwise(F.col("__near"))
-    return joined.select(*df.columns, before.alias(out))
-
-
-def credit_burn(usage: DataFrame, grain: str = "hour") -> DataFrame:
+def credit_burn(usage: DataFrame, store_at: str | None = None) -> DataFrame:
     """Credits spent per run, from the cumulative counter.
 
     The counter itself is the cost on the first tracked run and when the remaining
-    credits rise (a new billing period); an unknown counter costs 0.
+    credits rise (a new billing period); an unknown counter costs 0. The log is written once
+    in run order, to ``store_at`` or the session's shared folder.
     """
     columns = ["credits_remaining", "credits_used_cumulative"]
-    rows = previous_row(usage, ["source"], "run_at", ["run_id"], columns, grain)
+    rows = previous_rows(usage, ["source"], ["run_at", "run_id"], columns, store_at=store_at)
     used, before = F.col("credits_used_cumulative"), F.col("prev.credits_used_cumulative")
     reset = F.col("credits_remaining") > F.col("prev.credits_remaining")
     burn = (
