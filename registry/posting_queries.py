@@ -16,7 +16,9 @@ from vacancia.operators.filters import (
     SearchSpec, explorer_summary, keep_titles, range_bounds, search,
 )
 from vacancia.operators.overlay import overlay, upsert_json_field
+from vacancia.operators.joins import union_all
 from vacancia.plans import audit, dashboard, enrichment, explorer, findings, staging
+from vacancia.plans.increment import MartStore
 from vacancia.plans.mart import fuzzy_duplicates, stage_all
 from vacancia.session import workspace
 from vacancia.sources import landing as land
@@ -49,6 +51,16 @@ def mart_build(spark, sf):
     return flat(testbed.mart(spark, sf))
 
 
+@query("mart_incremental", MART_FLAT)
+def mart_incremental(spark, sf):
+    """The mart after two batches of landings, labels with each of them."""
+    kept = MartStore(spark, workspace(spark), buckets=8)
+    landing, labels = union_all(list(testbed.landing(spark, sf).values())), testbed.enrichment(spark, sf)
+    for batch in range(2):
+        kept.apply(batch, landing.where(F.col("ordinal") % 3 % 2 == batch), labels.where(F.crc32("job_id") % 2 == batch))
+    return flat(kept.mart())
+
+
 @query(
     "mart_confusion",
     MART

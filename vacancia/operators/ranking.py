@@ -76,7 +76,8 @@ def facet_values(df: DataFrame, value: str | Column, by_frequency: bool = False)
 def volume_rank(df: DataFrame, column: str, store_at: str | None = None) -> DataFrame:
     """Values ranked by volume, however many there are."""
     grouped = exploded(df, column).groupBy("value").agg(F.count("*").alias("n"))
-    return ranked(grouped, [F.col("n").desc(), F.col("value").asc()], store_at=store_at)
+    placed = ranked(grouped, [F.col("n").desc(), F.col("value").asc()], store_at=store_at)
+    return placed.withColumn("rank", F.col("rank").cast("int"))
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:

@@ -72,9 +72,12 @@ def mart_from_staging(
     """Labels join before the cross-provider choice: staging left its rows partitioned by
     ``job_id``, the key the labels join on, so the wide side is not shuffled again. The
     choice reads no label, so the order of the two steps does not change the result."""
-    labelled = staged.join(latest_labels(enrichment), list(on), "left")
-    joined = best_source(labelled, null_keys)
-    derived = joined.select(
+    return mart_from_labelled(staged.join(latest_labels(enrichment), list(on), "left"), null_keys)
+
+
+def mart_from_labelled(labelled: DataFrame, null_keys: str = "collapse") -> DataFrame:
+    """The cross-provider choice and the derived columns."""
+    derived = best_source(labelled, null_keys).select(
         "*",
         rules.early_career_tier("source", "listed_seniority").alias("early_career_tier"),
         rules.title_role_bucket("job_title").alias("title_role_bucket"),

@@ -116,6 +116,10 @@ PROVIDERS = {
 }
 
 
+# Order of the landings of one posting, newest first.
+NEWEST = ["ingested_at", "ingestion_query"]
+
+
 def extract(landing: DataFrame, spec: ProviderSpec) -> DataFrame:
     """Typed staging columns of one provider's landing rows, nothing dropped."""
     docs = with_payload(landing)
@@ -131,5 +135,9 @@ def extract(landing: DataFrame, spec: ProviderSpec) -> DataFrame:
 
 def stage(landing: DataFrame, spec: ProviderSpec, null_keys: str = "collapse") -> DataFrame:
     """Newest landing per posting, then the row filters."""
-    newest = latest_per_key(extract(landing, spec), ["job_id"], ["ingested_at", "ingestion_query"], null_keys)
+    return wanted(latest_per_key(extract(landing, spec), ["job_id"], NEWEST, null_keys))
+
+
+def wanted(newest: DataFrame) -> DataFrame:
+    """The row filters of staging."""
     return exclude_titles(require(newest, ["job_title", "description"]), "job_title")
