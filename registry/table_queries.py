@@ -10,6 +10,7 @@ from vacancia.functions.text import dedup_key, html_to_text, map_values, role_ke
 from vacancia.operators import aggregates as agg
 from vacancia.operators import dedupe, joins, overlay, profiling, quality, ranking, similarity
 from vacancia.operators import filters as flt
+from vacancia.session import workspace
 from vacancia.sources import web_pages
 from vacancia.testbed import table
 
@@ -514,7 +515,7 @@ def describe_overall(spark, sf):
 )
 def medians_by_key(spark, sf):
     rows = table(spark, sf, "lineitem").withColumn("l_shipmonth", F.month("l_shipdate").cast("bigint"))
-    result = agg.medians(rows, ["l_shipmonth"], ["l_quantity", "l_extendedprice"])
+    result = agg.medians(rows, ["l_shipmonth"], ["l_quantity", "l_extendedprice"], store_at=workspace(spark))
     return result.select(
         "l_shipmonth", *[F.round(c, 4).alias(c) for c in ("l_quantity", "l_extendedprice")]
     )

@@ -138,13 +138,15 @@ def stats(
     column: str | Column,
     which: Sequence[str] = ("median", "count"),
     digits: int | None = None,
+    store_at: str | None = None,
 ) -> DataFrame:
-    """Named statistics of one column per group, computed exactly."""
+    """Named statistics of one column per group, computed exactly; ``store_at`` as for
+    :func:`group_quantiles`."""
     rows = df.where(all_present(keys)) if keys else df
     quantiles = {name: QUANTILES[name] for name in which if name in QUANTILES}
     moments = [MOMENTS[name]("__v").alias(name) for name in which if name in MOMENTS]
     if quantiles:
-        table = group_quantiles(rows, keys, column, quantiles, moments)
+        table = group_quantiles(rows, keys, column, quantiles, moments, store_at)
     else:
         table = rows.withColumn("__v", as_column(column).cast("double")).groupBy(*keys).agg(*moments)
     if digits is None:
@@ -167,11 +169,11 @@ def describe_by(df: DataFrame, keys: Sequence[str], column: str, digits: int | N
     return stats(df, keys, column, ("count", "mean", "std", "min", "q25", "median", "q75", "max"), digits)
 
 
-def medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Median of several columns per group in one pass over a long form."""
+def medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], store_at: str | None = None) -> DataFrame:
+    """Median of several columns per group in one pass over a long form, which ``store_at`` keeps."""
     doubles = df.where(all_present(keys)).select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     long = unpivot(doubles, keys, columns, "__metric", "__value")
-    per_metric = group_quantiles(long, [*keys, "__metric"], "__value", {"median": 0.5})
+    per_metric = group_quantiles(long, [*keys, "__metric"], "__value", {"median": 0.5}, store_at=store_at)
     return per_metric.groupBy(*keys).pivot("__metric", list(columns)).agg(F.first("median"))
 
 

@@ -1,8 +1,9 @@
 """Exact interpolated quantiles per group without collecting a group.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here a
-sketch finds, per group, a narrow bracket around each wanted rank. Every row falls into a
-cell: one of the equal steps of a bracket, or a region between brackets. Counts per cell tell
+sketch finds, per group, a narrow bracket around each wanted rank, and edges inside it between
+which lie about equally many rows, however the values are distributed. Every row falls into a
+cell: between two edges of a bracket, or a region between brackets. Counts per cell tell
 exactly which cells hold the wanted ranks, and only the values of those cells are counted and
 put in order. The sketch decides how small these cells are, never the result: a rank that
 lies outside its bracket is found in the region that holds it.
@@ -15,29 +16,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import store
+
 ACCURACY = 10_000  # sketch rank error is at most n / ACCURACY
 MARGIN = 5 / ACCURACY  # bracket half-width as a share of the group
-SLOTS = 1024  # equal steps of a bracket, of which only the ones holding a rank are sorted
-
+SLOTS = 20  # slots of a bracket with equal shares of rows, of which only those holding a rank are sorted
 
-def group_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    column: str | Column,
-    quantiles: Mapping[str, float],
-    others: Sequence[Column] = (),
-) -> DataFrame:
-    """Linear-interpolated quantiles of ``column`` per group, NULL values left out.
 
-    ``quantiles`` maps output names to probabilities; ``others`` are ordinary aggregates
-    over the groups (they may refer to the value as ``__v``) computed in the same pass.
-    """
-    source = F.col(column) if isinstance(column, str) else column
-    rows = df.withColumn("__v", source.cast("double"))
-    ranks = sorted(set(quantiles.values()))
+def place(
+    rows: DataFrame, keys: Sequence[str], ranks: Sequence[float], others: Sequence[Column] = ()
+) -> tuple[DataFrame, list[str]]:
+    """``keys, __v``, the group's sketch ``__s``, and the cell ``__region, __slot`` of every row; and
+    the names of the other aggregates in the sketch."""
     brackets = [(max(p - MARGIN, 0.0), min(p + MARGIN, 1.0)) for p in ranks]
-    grid = sorted({edge for bracket in brackets for edge in bracket})
-
+    grid = sorted({low + (high - low) * i / SLOTS for low, high in brackets for i in range(SLOTS)} | {high for _, high in brackets})
     sketch = rows.groupBy(*keys).agg(
         F.count("__v").alias("__n"),
         F.percentile_approx("__v", grid, ACCURACY).alias("__edges"),
@@ -67,13 +59,37 @@ def group_quantiles(
     for low, high in brackets:
         region = region + F.when(value > edge(high), 1).otherwise(0)
     for low, high in reversed(brackets):
-        step = F.floor(F.try_divide(value - edge(low), edge(high) - edge(low)) * SLOTS).cast("int")
-        step = F.least(F.coalesce(step, F.lit(0)), F.lit(SLOTS - 1))
+        # Only the few rows inside a bracket look for their slot.
+        inner = F.slice("__s.__edges", grid.index(low) + 1, max(grid.index(high) - grid.index(low), 0))
+        step = F.size(F.filter(inner, lambda e: e < value))
         here = F.when(value < edge(low), -1).otherwise(step)
         slot = F.when(value <= edge(high), here).otherwise(slot)
+    return placed.select(*keys, "__v", "__s", region.alias("__region"), slot.alias("__slot")), names
+
+
+def group_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str | Column,
+    quantiles: Mapping[str, float],
+    others: Sequence[Column] = (),
+    store_at: str | None = None,
+) -> DataFrame:
+    """Linear-interpolated quantiles of ``column`` per group, NULL values left out.
+
+    ``quantiles`` maps output names to probabilities; ``others`` are ordinary aggregates
+    over the groups (they may refer to the value as ``__v``) computed in the same pass. Sketch,
+    counts and values each read the rows: with ``store_at`` keys and values are written there
+    once, and the source is read once.
+    """
+    source = F.col(column) if isinstance(column, str) else column
+    rows = df.withColumn("__v", source.cast("double"))
+    if store_at is not None:
+        rows = store(rows.select(*keys, "__v"), store_at)
+    ranks = sorted(set(quantiles.values()))
+    placed, names = place(rows, keys, ranks, others)
 
     extras = [F.any_value(f"__s.{name}").alias(name) for name in ("__n", *names)]
-    placed = placed.select(*keys, "__v", "__s", region.alias("__region"), slot.alias("__slot"))
     cells = placed.groupBy(*keys, "__region", "__slot").agg(F.count("__v").alias("__sum"), F.min("__v").alias("__first"), *extras)
 
     # Which cells hold a wanted rank: at most a few thousand rows per group to order.
