@@ -10,10 +10,8 @@ from vacancia.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session("tests", 8)
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

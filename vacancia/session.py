@@ -40,16 +40,28 @@ def local_session(app: str = "vacancia-local", cpus: int | None = None) -> Spark
     )
 
 
-def workspace(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share, ``spark.checkpoint.dir``.
+_own_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where that is not set, as in a single-JVM test, a temporary folder is set for it.
+    Where that is unset, a single-JVM session, as in a test, gets a temporary folder of its own;
+    on a cluster that would be one machine's disk, so it is an error there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="vacancia-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/vacancia-{uuid.uuid4().hex}"
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        application = spark.conf.get("spark.app.id")
+        folder = _own_folders.setdefault(application, "") or tempfile.mkdtemp(prefix="vacancia-")
+        _own_folders[application] = folder
+    return folder.rstrip("/")
+
+
+def workspace(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/vacancia-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
