@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -35,15 +36,9 @@ def fold(id_column: str, folds: int) -> Column:
 
 def stored(df: DataFrame) -> DataFrame:
     """Write a frame to the cluster's shared folder and read it back: a cut lineage that
-    outlives executors. The folder is ``spark.checkpoint.dir``; where that is unset, as in a
-    single-JVM test, a temporary folder takes its place.
-    """
+    outlives executors."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="vacancia-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
