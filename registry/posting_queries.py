@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.posting_sql import ENRICHMENT, FACTS, MART, STAGED
 from vacancia import schemas, testbed
-from vacancia.functions.rules import title_level
+from vacancia.functions.rules import ENTRY_FLAG_TERMS, title_level
 from vacancia.functions.text import dedup_key
 from vacancia.operators import aggregates as agg
 from vacancia.operators import dedupe, joins, metrics, profiling, quality, ranking
@@ -124,6 +124,17 @@ def relevant_titles_first_seen(spark, sf):
     return dedupe.first_per_key(keep_titles(rows, "job_title", RELEVANT_TITLES), ["job_id"], "ordinal")
 
 
+@query(
+    "entry_flag_counts",
+    WITH_FACTS
+    + r"""SELECT regexp_matches(lower(job_title), 'entry|junior|jr\.?|associate|new.?grad|early.?career') AS is_entry_level,
+      count(*) AS n FROM facts WHERE source = 'jsearch' GROUP BY ALL""",
+)
+def entry_flag_counts(spark, sf):
+    titles = land.with_payload(testbed.landing(spark, sf)["jsearch"]).select(land.text_field("$.job_title").alias("title"))
+    return agg.bucket_counts(titles, F.lower("title").rlike("|".join(ENTRY_FLAG_TERMS)), "is_entry_level")
+
+
 SEARCH_SPEC = SearchSpec(
     title_any=["(?i)data analyst", "(?i)data engineer"],
     title_none=DEFAULT_TITLE_NONE,
