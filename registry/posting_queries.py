@@ -1105,6 +1105,76 @@ def payload_path_presence(spark, sf):
     return profiling.json_path_presence(rows, "raw_payload", paths)
 
 
+LOCATION = [("latitude", "number", "latitude"), ("longitude", "number", "longitude")]
+LOW, HIGH = "low", "low + 20000"
+THOUSANDS = "CASE WHEN d % 13 = 0 THEN 1000 ELSE 1 END"
+#: Per provider: path, kind, and the value as SQL text; a container without one counts every row.
+PAYLOAD_PATHS = {
+    "jsearch": [
+        ("job_id", "string", "job_id"), ("job_title", "string", "job_title"), ("employer_name", "string", "company_name"),
+        ("job_apply_link", "string", "'https://jobs.example/' || job_id"),
+        ("job_posted_at_datetime_utc", "string", "strftime(date_posted, '%Y-%m-%d') || 'T00:00:00.000Z'"),
+        ("job_description", "string", "text"), ("job_city", "string", "'New York'"), ("job_state", "string", "'NY'"),
+        ("job_country", "string", "'US'"), *[(f"job_{p}", k, v) for p, k, v in LOCATION],
+        ("job_is_remote", "boolean", "d % 7 = 3"),
+        ("job_employment_type", "string", "['Full-time', 'PARTTIME', 'Contractor', 'Intern'][d % 4 + 1]"),
+        ("job_min_salary", "number", LOW), ("job_max_salary", "number", HIGH),
+        ("job_salary_period", "string", "CASE WHEN d % 11 = 0 THEN 'HOUR' ELSE 'YEAR' END"),
+    ],
+    "theirstack": [
+        ("id", "number", "d"), ("job_title", "string", "job_title"), ("company", "string", "company_name"),
+        ("url", "string", "'https://jobs.example/' || job_id"), ("date_posted", "string", "date_posted"),
+        ("description", "string", "text"), ("short_location", "string", "'New York, NY'"),
+        ("state_code", "string", "'NY'"), ("country_code", "string", "'US'"), *LOCATION,
+        ("remote", "boolean", "d % 6 = 1"), ("hybrid", "boolean", "d % 5 = 2"),
+        ("employment_statuses", "array", None),
+        ("employment_statuses[*]", "string", "['full_time', 'part_time', 'contract', 'temporary'][d % 4 + 1]"),
+        ("min_annual_salary_usd", "number", LOW), ("max_annual_salary_usd", "number", HIGH),
+        ("seniority", "string", "seniority"),
+        ("discovered_at", "string", "strftime(date_posted + 1, '%Y-%m-%d') || 'T06:00:00Z'"),
+    ],
+    "builtin": [
+        ("identifier", "object", None), ("identifier.value", "string", "job_id"), ("title", "string", "job_title"),
+        ("hiringOrganization", "object", None), ("hiringOrganization.name", "string", "company_name"),
+        ("source_url", "string", "'https://jobs.example/' || job_id"), ("datePosted", "string", "date_posted"),
+        ("description", "string", "'<p>' || text || '&amp;nbsp;</p>'"), ("jobLocation", "object", None),
+        ("jobLocation.address", "object", None), ("jobLocation.address.addressLocality", "string", "'New York'"),
+        ("jobLocation.address.addressRegion", "string", "'NY'"), ("jobLocation.address.addressCountry", "string", "'US'"),
+        ("jobLocation.geo", "object", None), *[(f"jobLocation.geo.{p}", k, v) for p, k, v in LOCATION],
+        ("jobLocationType", "string", "CASE WHEN d % 8 = 2 THEN 'TELECOMMUTE' END"),
+        ("employmentType", "string", "['FULL_TIME', 'PART_TIME', 'CONTRACTOR'][d % 4 + 1]"),
+        ("baseSalary", "object", None), ("baseSalary.value", "object", None),
+        ("baseSalary.value.minValue", "number", f"({LOW}) / {THOUSANDS}"),
+        ("baseSalary.value.maxValue", "number", f"({HIGH}) / {THOUSANDS}"),
+        ("baseSalary.value.unitText", "string", "CASE WHEN d % 17 = 3 THEN 'HOUR' ELSE 'YEAR' END"),
+        ("seniority", "string", "seniority"),
+    ],
+}
+
+
+def payload_path_sql(provider, path, kind, value):
+    text = f"CAST({value} AS VARCHAR)" if value else "NULL"
+    if kind == "number":
+        text = f"regexp_replace({text}, '\\.0$', '')"
+    n = f"count({value})" if value else "count(*)"
+    return f"""SELECT '{provider}' AS provider, '$.{path}' AS path, '{kind}' AS kinds, {n} AS docs, {n} AS n_values,
+      0::BIGINT AS n_nulls, count(*) AS total, round_even(100.0 * {n} / count(*), 1)::DOUBLE AS population_pct,
+      left(arg_min({text}, d * 2 + landing), 120) AS sample FROM facts WHERE source = '{provider}' HAVING {n} > 0"""
+
+
+@query(
+    "payload_path_profile",
+    WITH_FACTS + " UNION ALL ".join(payload_path_sql(p, *cells) for p, paths in PAYLOAD_PATHS.items() for cells in paths),
+)
+def payload_path_profile(spark, sf):
+    """Every path of every provider's payloads, with samples."""
+    profiles = [
+        profiling.json_paths(rows, "raw_payload", "ordinal").withColumn("provider", F.lit(name))
+        for name, rows in testbed.landing(spark, sf).items()
+    ]
+    return profiles[0].unionByName(profiles[1]).unionByName(profiles[2])
+
+
 PROFILE_FIELDS = list(schemas.STAGING_COLUMNS)
 
 

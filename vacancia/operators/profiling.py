@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.arrays import non_empty
 from ..functions.text import as_column, preview
+from ..session import store, workspace
 
 
 def long_row(df: DataFrame, values: Mapping[str, Column], name: str, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -118,6 +119,110 @@ def json_path_presence(df: DataFrame, payload: str, paths: Sequence[str], by: Se
     return long_row(docs, cells, "path", "cell", by).select(*by, "path", "cell.*")
 
 
+KINDS = ("array", "boolean", "number", "object", "string")
+
+
+def _kind(value: Column) -> Column:
+    """Kind of a variant, NULL for a JSON null."""
+    name = F.schema_of_variant(value)
+    return (
+        F.when(name.startswith("OBJECT"), "object")
+        .when(name.startswith("ARRAY"), "array")
+        .when(name == "STRING", "string")
+        .when(name == "BOOLEAN", "boolean")
+        .when(name != "VOID", "number")
+    )
+
+
+def _one_level_down(rows: DataFrame) -> DataFrame:
+    """Every row, with ``__open`` off, and the members of the open ones, of which containers are open."""
+    both = F.when(F.col("__open"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = rows.withColumn("__member", F.explode(both))
+    rows = rows.withColumn("__parent", F.when(F.col("__member"), F.col("__value")))
+    rows = rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col("__parent").outer()))
+    rows = rows.where(~F.col("__member") | F.col("pos").isNotNull())  # an empty container has no members
+    plain = F.col("key").rlike("^[A-Za-z_][A-Za-z0-9_]*$")
+    step = (
+        F.when(F.col("key").isNull(), "[*]")
+        .when(plain, F.concat(F.lit("."), F.col("key")))
+        .otherwise(F.concat(F.lit('["'), F.col("key"), F.lit('"]')))
+    )
+    kind = F.when(F.col("__member"), _kind(F.col("value"))).otherwise(F.col("__kind"))
+    kept = [c for c in rows.columns if c not in ("__path", "__value", "__kind", "__open", "__member", "__parent", "pos", "key", "value")]
+    return rows.select(
+        *kept,
+        F.when(F.col("__member"), F.concat("__path", step)).otherwise(F.col("__path")).alias("__path"),
+        F.when(F.col("__member"), F.col("value")).otherwise(F.col("__value")).alias("__value"),
+        kind.alias("__kind"),
+        (F.col("__member") & F.coalesce(kind.isin("array", "object"), F.lit(False))).alias("__open"),
+    )
+
+
+def json_paths(
+    df: DataFrame, payload: str, order: str | None = None, levels: int = 8, store_at: str | None = None
+) -> DataFrame:
+    """Every path inside JSON texts, to any depth: ``$.a.b``, ``$.tags[*]``, ``$["odd key"]``.
+
+    Returns per path: ``kinds`` met there (joined by ``|``), ``docs`` (rows with a value other than
+    null), ``n_values`` (such values; more than rows under an array), ``n_nulls`` (JSON nulls),
+    ``total`` (all rows), ``population_pct`` (docs of total) and ``sample``, 120 characters of the
+    first value by ``order``, or of the smallest one; containers have no sample. NULL and malformed
+    texts, and texts that are neither object nor array, count in the total only.
+
+    The walk is one narrow pipeline over one scan, ``levels`` deep. Its result, a row per path, is
+    stored; only where containers were left unopened is it taken again, twice as deep.
+    """
+    keep = [F.col(order).alias("__order")] if order else []
+    docs = df.select(F.try_parse_json(F.col(payload)).alias("__value"), *keep, F.monotonically_increasing_id().alias("__doc"))
+    docs = docs.withColumn("__kind", _kind(F.col("__value"))).where(F.col("__kind").isin("array", "object"))
+    docs = docs.select("*", F.lit("$").alias("__path"), F.lit(True).alias("__open"))
+    path = store_at or workspace(df.sparkSession)
+    while True:
+        rows = docs
+        for _ in range(levels):
+            rows = _one_level_down(rows)
+        found = store(_path_counts(rows, order is not None), path)
+        if found.where(F.col("n_open") > 0).isEmpty():
+            break
+        levels *= 2
+    total = df.agg(F.count("*").alias("n")).scalar()
+    pct = F.bround(100.0 * F.col("docs") / F.col("total"), 1)
+    out = found.where(F.col("path") != "$").withColumn("total", total)
+    return out.select("path", "kinds", "docs", "n_values", "n_nulls", "total", pct.alias("population_pct"), "sample")
+
+
+def _path_counts(rows: DataFrame, ordered: bool) -> DataFrame:
+    # Without an array on the way a row has a path once; only the others are told apart by row.
+    repeats = F.col("__path").contains("[*]")
+    text = F.coalesce(F.try_variant_get("__value", "$", "string"), F.to_json("__value"))
+    leaf = preview(F.when(F.col("__kind").isin("array", "object"), None).otherwise(F.when(F.col("__kind").isNotNull(), text)))
+    rows = rows.select(
+        F.col("__path").alias("path"),
+        F.when(repeats, F.col("__doc")).alias("doc"),
+        F.col("__kind").alias("kind"),
+        F.col("__open").alias("open"),
+        leaf.alias("leaf"),
+        *(["__order"] if ordered else []),
+    )
+    first = F.when(F.col("leaf").isNotNull(), F.col("__order")) if ordered else F.col("leaf")
+    per_doc = rows.groupBy("path", "doc").agg(
+        F.count("kind").alias("n_values"),
+        F.count_if(F.col("kind").isNull()).alias("n_nulls"),
+        F.count_if("open").alias("n_open"),
+        *[F.bool_or(F.col("kind") == k).alias(k) for k in KINDS],
+        F.min(F.when(F.col("leaf").isNotNull(), F.struct(first.alias("at"), "leaf"))).alias("sample"),
+    )
+    in_docs = F.when(F.col("doc").isNull(), F.col("n_values")).otherwise((F.col("n_values") > 0).cast("long"))
+    return per_doc.groupBy("path").agg(
+        F.concat_ws("|", *[F.when(F.bool_or(k), k) for k in KINDS]).alias("kinds"),
+        F.sum(in_docs).alias("docs"),
+        F.sum("n_values").alias("n_values"),
+        F.sum("n_nulls").alias("n_nulls"),
+        F.sum("n_open").alias("n_open"),
+        F.min("sample").getField("leaf").alias("sample"),
+    )
+
+
 def text_audit(df: DataFrame, column: str | Column, by: Sequence[str] = ()) -> DataFrame:
     c = as_column(column)
     return df.groupBy(*by).agg(
