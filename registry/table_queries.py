@@ -1004,6 +1004,53 @@ def copy_counts(spark, sf):
     return quality.count_check([("orders", orders, orders), ("labels", labels, labels.where("quality = 1"))])
 
 
+ORDER_ROW = """'{"o_custkey":' || o_custkey || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f')
+      || '","o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus || '"}'"""
+LABEL_ROW = """'{"doc_id":' || doc_id || ',"quality":' || coalesce(CAST(quality AS VARCHAR), 'null')
+      || ',"toxic":' || coalesce(CAST(toxic AS VARCHAR), 'null') || '}'"""
+
+
+def digest_sql(name, row, source):
+    halves = " || '-' || ".join(
+        f"CAST(coalesce(sum(CAST('0x' || substr(h, {at}, 16) AS UBIGINT)), 0) AS VARCHAR)" for at in (1, 17)
+    )
+    return f"{name} AS (SELECT count(*) AS n, {halves} AS digest FROM (SELECT md5({row}) AS h FROM {source}))"
+
+
+@query(
+    "copy_contents",
+    "WITH "
+    + ", ".join(
+        [
+            digest_sql("o", ORDER_ROW, "orders"),
+            digest_sql("l", LABEL_ROW, "labels"),
+            digest_sql("fewer", LABEL_ROW, "labels WHERE quality = 1"),
+            digest_sql(
+                "other", LABEL_ROW,
+                """(SELECT doc_id, quality, CASE WHEN doc_id = (SELECT min(doc_id) FROM labels) THEN 1 - toxic ELSE toxic END AS toxic
+                FROM labels)""",
+            ),
+        ]
+    )
+    + """ SELECT c.name AS "table", c.old, c.new, c.old_digest, c.new_digest, c.status FROM (
+      SELECT 'orders' AS name, o.n AS old, o.n AS new, o.digest AS old_digest, o.digest AS new_digest, 'ok' AS status FROM o
+      UNION ALL SELECT 'labels', l.n, fewer.n, l.digest, fewer.digest, 'mismatch' FROM l, fewer
+      UNION ALL SELECT 'cells', l.n, other.n, l.digest, other.digest, 'changed' FROM l, other) AS c""",
+)
+def copy_contents(spark, sf):
+    """A whole copy in another order, one with rows missing, one with a single other cell."""
+    orders, labels = table(spark, sf, "orders").drop("o_totalprice"), table(spark, sf, "labels")
+    first = labels.agg(F.min("doc_id").alias("m")).scalar()
+    cell = F.when(F.col("doc_id") == first, 1 - F.col("toxic")).otherwise(F.col("toxic"))
+    return quality.content_check(
+        [
+            ("orders", orders, orders.repartition("o_custkey").select(*reversed(orders.columns))),
+            ("labels", labels, labels.where("quality = 1")),
+            ("cells", labels, labels.withColumn("toxic", cell)),
+        ]
+    )
+
+
 @query(
     "role_keys",
     "SELECT DISTINCT replace(replace(lower(p_name), ' ', '_'), '-', '_') AS key FROM part",

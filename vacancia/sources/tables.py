@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.arrays import or_empty, parse_strings, safe_cast, truthy
-from ..operators.quality import count_check
+from ..operators.quality import content_check, count_check
 from ..operators.usage import reset_day
 
 
@@ -88,19 +88,21 @@ def existing_tables(spark: SparkSession, names: list[str]) -> dict[str, bool]:
     return {name: spark.catalog.tableExists(name) for name in names}
 
 
-def copy_tables(spark: SparkSession, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
+def copy_tables(spark: SparkSession, pairs: Mapping[str, tuple[str, str]], content: bool = False) -> DataFrame:
     """Copy parquet tables and compare counts; a mismatch fails the call.
 
-    Returns table, old, new, status.
+    Returns table, old, new, status. With ``content`` every cell is compared too, by a digest of
+    either side, which reads all columns once more; the digests are returned along.
     """
     for old, new in pairs.values():
         spark.read.parquet(old).write.mode("overwrite").parquet(new)
-    report = count_check(
+    check = content_check if content else count_check
+    report = check(
         [(name, spark.read.parquet(old), spark.read.parquet(new)) for name, (old, new) in pairs.items()]
     )
     bad = [r["table"] for r in report.where(F.col("status") != "ok").collect()]
     if bad:
-        raise RuntimeError(f"row counts differ after the copy: {bad}")
+        raise RuntimeError(f"{'contents' if content else 'row counts'} differ after the copy: {bad}")
     return report
 
 
