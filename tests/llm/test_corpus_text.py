@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vacancia.llm import decontamination, line_dedup, ngram_join, quality
 
@@ -73,6 +74,26 @@ def test_threshold_separates_with_least_error():
     assert quality.threshold_of(np.array([1.0]), np.array([True])) == -np.inf
 
 
+def test_quality_treats_unlabelled_texts_as_it_treats_labelled_ones(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    half = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)) == 0
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality", half.alias("seen"))
+    model = quality.fit(docs, labels.where("seen"))
+    rows = quality.judge(docs, *model).join(labels, "doc_id").where("llr is not null").toPandas()
+    rejected = (rows["llr"] < model[1]).groupby([rows["quality"], rows["seen"]]).mean()
+    assert rejected[1, False] <= rejected[1, True] + 0.02
+    assert rejected[0, False] >= 0.9
+
+
+def test_quality_counts_per_fold_add_up(spark):
+    texts = ["a b c", "a b", None, "", "c c c c", "a b c"]
+    docs = frame(spark, [(t, i % 3) for i, t in enumerate(texts)], "text string, fold int")
+    folds = quality.gram_counts(docs, 3)
+    assert folds.shape == (3, quality.BUCKETS)
+    assert (folds.sum(0) == quality.gram_counts(docs)[0]).all()
+    assert folds.sum(1).tolist() == [5.0, 10.0, 5.0]  # words and word pairs
+
+
 # -- lines ---------------------------------------------------------------------------------
 
 

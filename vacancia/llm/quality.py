@@ -5,7 +5,9 @@ document (raw corpus), one over the documents labelled good (trusted target). A
 is the sum of ``log(target / raw)`` over its n-grams divided by their number; texts below a
 threshold are rejected. The threshold is the score that separates the labelled good from the
 labelled bad texts with the least balanced error (of equals the lowest), so the same tables
-always give the same verdicts. Without bad or without good labels nothing is rejected by score.
+always give the same verdicts. For it, a labelled text is scored by a target without its own
+fold: the texts are dealt into ``FOLDS`` by a hash of their text, so that copies share one. Without bad
+or without good labels nothing is rejected by score.
 
 The raw counts cover all texts. Labels are read from a bounded sample, ``labelled`` rows in
 hash order of the id, whose ids go to every task; no text is shuffled.
@@ -30,6 +32,7 @@ from .common import query, read, stored
 BITS = 16
 BUCKETS = 1 << BITS
 LABELLED = 1 << 15
+FOLDS = 8
 MIN_WORDS = 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -60,24 +63,32 @@ def labelled_sample(labels: DataFrame, column: str, size: int = LABELLED) -> Dat
     return rows.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
 
 
-def gram_counts(docs: DataFrame) -> np.ndarray:
-    """Counts of all hashed n-grams of all texts: one row per task and bucket is shuffled."""
+def gram_counts(docs: DataFrame, folds: int = 1) -> np.ndarray:
+    """Counts of all hashed n-grams of all texts, per fold if ``docs`` has a column ``fold``.
+
+    One row per task, fold and bucket is shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros(folds * BUCKETS, np.int64)
         for batch in batches:
+            fold = batch.column(1).to_numpy(zero_copy_only=False)
             for chunk in ragged.chunks(batch.column(0)):
                 starts, ends, first = chunk.spans(ragged.SPACES)
-                words, _, pairs, _ = buckets_of(chunk.hashes(starts, ends), first)
-                total += np.bincount(words, minlength=BUCKETS) + np.bincount(pairs, minlength=BUCKETS)
+                words, word_first, pairs, pair_first = buckets_of(chunk.hashes(starts, ends), first)
+                at = fold[chunk.first : chunk.first + chunk.n].astype(np.int64) * BUCKETS
+                for grams, bounds in ((words, word_first), (pairs, pair_first)):
+                    total += np.bincount(grams + np.repeat(at, np.diff(bounds)), minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = np.zeros(BUCKETS)
-    for row in counted.collect():  # at most BUCKETS rows
+    fold = F.col("fold") if folds > 1 else F.lit(0)
+    texts = docs.select("text", fold.cast("int").alias("fold"))
+    counted = texts.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    out = np.zeros(folds * BUCKETS)
+    for row in counted.collect():  # at most folds * BUCKETS rows
         out[row.bucket] = row.n
-    return out
+    return out.reshape(folds, BUCKETS)
 
 
 def threshold_of(scores: np.ndarray, good: np.ndarray) -> float:
@@ -100,21 +111,35 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = LABELLED) -> tuple[np.nd
     """Weights per bucket and the threshold."""
     sample = labelled_sample(labels, "quality", size)
     # At most `size` rows of two numbers, so the hint is within a proven bound.
-    known = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
-    raw = gram_counts(docs) + 1.0
-    target = gram_counts(known.where("label > 0")) + 1.0
-    weights = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")
+    known = stored(docs.select("doc_id", "text", fold).join(F.broadcast(sample), "doc_id"))
+    raw = gram_counts(docs)[0] + 1.0
+    by_fold = gram_counts(known.where("label > 0"), FOLDS)
+    base = np.log(raw / raw.sum())
+
+    def weights_of(counts: np.ndarray) -> np.ndarray:
+        target = counts + 1.0
+        return np.log(target / target.sum()) - base
+
+    weights = weights_of(by_fold.sum(0))
+    unseen = [weights_of(by_fold.sum(0) - own) for own in by_fold]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels_ = batch.column(1).to_numpy(zero_copy_only=False)
+            folds = batch.column(2).to_numpy(zero_copy_only=False)
             for chunk in ragged.chunks(batch.column(0)):
                 starts, ends, first = chunk.spans(ragged.SPACES)
-                score = scores_of(chunk.hashes(starts, ends), first, weights)
+                h, part = chunk.hashes(starts, ends), folds[chunk.first : chunk.first + chunk.n]
+                score = np.full(chunk.n, np.nan)
+                for fold in np.unique(part):
+                    mine = part == fold
+                    score[mine] = scores_of(h, first, unseen[fold])[mine]
                 label = labels_[chunk.first : chunk.first + chunk.n].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(score), pa.array(label)], ["score", "label"])
 
-    rows = known.select("text", "label").mapInArrow(run, "score double, label int").toPandas()  # at most `size` rows
+    # At most `size` rows.
+    rows = known.select("text", "label", "fold").mapInArrow(run, "score double, label int").toPandas()
     rows = rows[np.isfinite(rows["score"])]
     return weights, threshold_of(rows["score"].to_numpy(float), rows["label"].to_numpy() > 0)
 
