@@ -534,18 +534,18 @@ def finding_top_skills(spark, sf):
     return findings.top_skills(testbed.mart(spark, sf))[0]
 
 
-@query("finding_top_skills_by_role", MART + topk_by_sql("tech_stack_required", 3))
+@query("finding_top_skills_by_role", MART + topk_by_sql("tech_stack_required", 10))
 def finding_top_skills_by_role(spark, sf):
-    return findings.top_skills(testbed.mart(spark, sf), per_role_n=3)[1]
+    return findings.top_skills(testbed.mart(spark, sf))[1]
 
 
 BOTH_PARADIGMS = "list_concat(coalesce(paradigms_required, []), coalesce(paradigms_preferred, []))"
 BOTH_TOOLS = "list_concat(coalesce(tech_stack_required, []), coalesce(tech_stack_preferred, []))"
 
 
-@query("finding_top_paradigms", MART + topk_by_sql(BOTH_PARADIGMS, 2))
+@query("finding_top_paradigms", MART + topk_by_sql(BOTH_PARADIGMS, 10))
 def finding_top_paradigms(spark, sf):
-    return findings.top_paradigms(testbed.mart(spark, sf), 2)
+    return findings.top_paradigms(testbed.mart(spark, sf))
 
 
 @query(
@@ -776,9 +776,19 @@ def heatmap_sql(expression: str, k: int) -> str:
     GROUP BY value ORDER BY total DESC, value LIMIT {k}"""
 
 
-@query("skill_heatmap", MART + heatmap_sql(BOTH_TOOLS, 5))
+@query("skill_heatmap", MART + heatmap_sql(BOTH_TOOLS, 20))
 def skill_heatmap(spark, sf):
-    return dashboard.skill_heatmap(testbed.mart(spark, sf), "both", 5)
+    return dashboard.skill_heatmap(testbed.mart(spark, sf), "both")
+
+
+@query("skill_heatmap_required", MART + heatmap_sql("tech_stack_required", 20))
+def skill_heatmap_required(spark, sf):
+    return dashboard.skill_heatmap(testbed.mart(spark, sf), "required")
+
+
+@query("skill_heatmap_preferred", MART + heatmap_sql("tech_stack_preferred", 20))
+def skill_heatmap_preferred(spark, sf):
+    return dashboard.skill_heatmap(testbed.mart(spark, sf), "preferred")
 
 
 @query("paradigm_heatmap", MART + heatmap_sql(BOTH_PARADIGMS, 20))
@@ -813,12 +823,12 @@ def seniority_matrix(spark, sf):
     "domain_composition",
     MART
     + """, top AS (SELECT domain FROM classified WHERE domain IS NOT NULL GROUP BY domain
-      ORDER BY count(*) DESC, domain LIMIT 3)
+      ORDER BY count(*) DESC, domain LIMIT 10)
     SELECT domain, title_role_bucket, count(*) AS n FROM classified WHERE domain IN (SELECT domain FROM top)
     GROUP BY ALL""",
 )
 def domain_composition(spark, sf):
-    return dashboard.domain_mix(testbed.mart(spark, sf), 3)["composition"]
+    return dashboard.domain_mix(testbed.mart(spark, sf))["composition"]
 
 
 FACET_UNION = " UNION ALL ".join(
@@ -1051,25 +1061,21 @@ def staging_salary_coverage(spark, sf):
     return agg.coverage_pct(stage_all(testbed.landing(spark, sf)), ["salary_min", "listed_seniority"], ["source"])
 
 
-PROFILE_SKIP = ("job_id", "source", "enriched_at", *ARRAYS)
-PROFILED = [f.name for f in schemas.ENRICHMENT.fields if f.name not in PROFILE_SKIP]
-PROFILE_NAMES = {"salary_min": "model_salary_min", "salary_max": "model_salary_max"}
+PROFILED = [f.name for f in schemas.ENRICHMENT.fields if f.name not in ("job_id", "source", "enriched_at")]
+PROFILE_NAMES = {"salary_min": "model_salary_min", "salary_max": "model_salary_max", "model_version": "'v1'"}
 
 
-@query(
-    "label_column_profile",
-    "WITH " + ENRICHMENT
-    + " UNION ALL ".join(
-        f"""SELECT source, '{c}' AS "column", count({PROFILE_NAMES.get(c, c)}) AS non_null, count(*) AS total,
-        round_even(100.0 * count({PROFILE_NAMES.get(c, c)}) / count(*), 1)::DOUBLE AS population_pct
-        FROM enrichment GROUP BY source"""
-        for c in PROFILED
-        if c != "model_version"
-    ),
-)
+def label_profile_sql(column):
+    value = PROFILE_NAMES.get(column, column)
+    text = f"CAST(to_json({value}) AS VARCHAR)" if column in ARRAYS else f"CAST({value} AS VARCHAR)"
+    return f"""SELECT source, '{column}' AS "column", count({value}) AS non_null, count(*) AS total,
+      round_even(100.0 * count({value}) / count(*), 1)::DOUBLE AS population_pct, left(min({text}), 120) AS sample
+    FROM enrichment GROUP BY source"""
+
+
+@query("label_column_profile", "WITH " + ENRICHMENT + " UNION ALL ".join(label_profile_sql(c) for c in PROFILED))
 def label_column_profile(spark, sf):
-    skip = (*PROFILE_SKIP[:1], *PROFILE_SKIP[2:], "model_version")
-    return profiling.column_profile(testbed.enrichment(spark, sf), "source", skip).drop("sample")
+    return profiling.column_profile(testbed.enrichment(spark, sf), "source", ("job_id", "enriched_at"))
 
 
 @query(

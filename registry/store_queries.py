@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry.log_queries import USAGE
+from registry.posting_queries import flat
 from registry.posting_sql import ENRICHMENT, FACTS, MART
 from vacancia import schemas, testbed
 from vacancia.operators import metrics, profiling
@@ -74,52 +75,53 @@ def landing_documents(spark, sf):
 # -- mart, labels, logs ------------------------------------------------------------------
 
 
-@query(
-    "mart_stored",
-    MART
-    + """SELECT job_id, source, title_role_bucket, date_posted, final_salary_min, confidence_score, ingested_at,
-      coalesce(acknowledges_ai, false) AS acknowledges_ai, coalesce(explicitly_encourages_applicants, false) AS encourages,
-      CAST(coalesce(len(tech_stack_required), 0) AS INTEGER) AS n_tools FROM mart""",
-)
+def loaded_sql(numbers_as_text=False):
+    """Every column as a loaded mart has it: no NULL lists or flags, numbers as doubles."""
+    def cell(c):
+        if c in schemas.ARRAY_COLUMNS:
+            return f"array_to_string(coalesce({c}, []), ',') AS {c}"
+        if c in ("acknowledges_ai", "explicitly_encourages_applicants"):
+            return f"coalesce({c}, false) AS {c}"
+        if c in ("latitude", "longitude") and numbers_as_text:
+            return f"CAST({c} AS VARCHAR) AS {c}"
+        if c in ("years_required_min", "years_required_max"):
+            return f"CAST({c} AS DOUBLE) AS {c}"
+        return c
+
+    return MART + "SELECT " + ", ".join(cell(c) for c in schemas.MART_COLUMNS) + " FROM mart"
+
+
+@query("mart_stored", loaded_sql())
 def mart_stored(spark, sf):
     path = workspace(spark)
     tables.write_mart(testbed.mart(spark, sf), path)
-    mart = tables.load_mart(spark, path)
-    return mart.select(
-        "job_id", "source", "title_role_bucket", "date_posted", "final_salary_min", "confidence_score", "ingested_at",
-        "acknowledges_ai", F.col("explicitly_encourages_applicants").alias("encourages"),
-        F.size("tech_stack_required").alias("n_tools"),
-    )
+    return flat(tables.load_mart(spark, path))
 
 
-@query(
-    "mart_coerced",
-    MART
-    + """SELECT job_id, CAST(date_posted AS DATE) AS date_posted, CAST(final_salary_min AS DOUBLE) AS final_salary_min,
-      coalesce(acknowledges_ai, false) AS acknowledges_ai, CAST(coalesce(len(paradigms_required), 0) AS INTEGER) AS n_paradigms FROM mart""",
-)
+@query("mart_coerced", loaded_sql(numbers_as_text=True))
 def mart_coerced(spark, sf):
     """A mart of texts under upper-case names, as another store may hand it over."""
     mart = testbed.mart(spark, sf)
     texts = mart.select(
         *[F.to_json(c).alias(c.upper()) if c in schemas.ARRAY_COLUMNS else F.col(c).cast("string").alias(c.upper()) for c in mart.columns]
     )
-    out = tables.coerce_mart(texts)
-    return out.select("job_id", "date_posted", "final_salary_min", "acknowledges_ai", F.size("paradigms_required").alias("n_paradigms"))
+    return flat(tables.coerce_mart(texts))
 
 
-@query(
-    "labels_stored",
-    "WITH " + ENRICHMENT
-    + "SELECT job_id, source, inferred_seniority, role_archetype, model_salary_min AS salary_min, enriched_at FROM enrichment",
-)
+def label_cell(c):
+    if c in schemas.ARRAY_COLUMNS:
+        return f"array_to_string({c}, ',') AS {c}"
+    names = {"salary_min": "model_salary_min AS salary_min", "salary_max": "model_salary_max AS salary_max"}
+    return names.get(c, "'v1' AS model_version" if c == "model_version" else c)
+
+
+@query("labels_stored", "WITH " + ENRICHMENT + "SELECT " + ", ".join(label_cell(c) for c in schemas.ENRICHMENT.names) + " FROM enrichment")
 def labels_stored(spark, sf):
     """Labels appended in two runs."""
     path, labels = workspace(spark), testbed.enrichment(spark, sf)
     for first in (True, False):
         tables.append_enrichment(labels.where((F.col("source") == "jsearch") == first), path)
-    read = tables.read_table(spark, path, schemas.ENRICHMENT)
-    return read.select("job_id", "source", "inferred_seniority", "role_archetype", "salary_min", "enriched_at")
+    return flat(tables.read_table(spark, path, schemas.ENRICHMENT))
 
 
 @query(
@@ -160,13 +162,32 @@ def adhoc_sql(spark, sf):
     return tables.run_query(spark, sql, part=table(spark, sf, "part"))
 
 
-@query("checkpoint_csv", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+@query("checkpoint_csv", "SELECT * FROM customer")
 def checkpoint_csv(spark, sf):
-    path, rows = workspace(spark), table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    path, rows = workspace(spark), table(spark, sf, "customer")
     tables.write_checkpoint_csv(rows, path)
     return tables.read_checkpoint_csv(spark, path, rows.schema)
 
 
+@query(
+    "tables_existing",
+    """SELECT 'stored_orders' AS name, true AS found, count(*) AS n FROM orders
+    UNION ALL SELECT 'stored_labels', true, count(*) FROM labels
+    UNION ALL SELECT 'stored_nothing', false, NULL""",
+)
+def tables_existing(spark, sf):
+    """Which of a set of tables exist, with the rows of those that do."""
+    for name in ("orders", "labels"):
+        table(spark, sf, name).createOrReplaceTempView(f"stored_{name}")
+    found = tables.existing_tables(spark, ["stored_orders", "stored_labels", "stored_nothing"])
+    counted = [
+        (spark.table(name).agg(F.count("*").alias("n")) if there else spark.range(1).selectExpr("CAST(NULL AS bigint) AS n"))
+        .select(F.lit(name).alias("name"), F.lit(there).alias("found"), "n")
+        for name, there in found.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 # -- snapshots ---------------------------------------------------------------------------
 
 
