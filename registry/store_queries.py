@@ -10,10 +10,11 @@ from registry.posting_queries import flat
 from registry.posting_sql import ENRICHMENT, FACTS, MART
 from vacancia import schemas, testbed
 from vacancia.operators import metrics, profiling
-from vacancia.plans import findings
+from vacancia.operators.filters import ExplorerSpec
+from vacancia.plans import explorer, findings
 from vacancia.session import workspace
 from vacancia.sources import landing as land
-from vacancia.sources import snapshots, tables
+from vacancia.sources import snapshots, tables, text_index
 from vacancia.testbed import table
 
 # -- landing -----------------------------------------------------------------------------
@@ -72,6 +73,23 @@ def landing_documents(spark, sf):
     return read.select("id", "lang", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "explorer_indexed_search",
+    MART
+    + """SELECT job_id, source, job_title, company_name, date_posted FROM mart
+    WHERE regexp_matches(lower(job_title), 'data sci.*platform|lead an') OR regexp_matches(lower(company_name), 'data sci.*platform|lead an')""",
+)
+def explorer_indexed_search(spark, sf):
+    """The explorer's regex search over stored files that hold ranges of titles."""
+    path, index, columns = workspace(spark), workspace(spark), ["job_title", "company_name"]
+    tables.write_mart(testbed.mart(spark, sf).repartitionByRange(8, "job_title"), path)
+    text_index.index_files(spark.read.parquet(path), columns, index)
+    spec = ExplorerSpec(search=(columns, "data sci.*platform|lead an"))
+    return explorer.explore_stored(spark, path, index, spec).select(
+        "job_id", "source", "job_title", "company_name", "date_posted"
+    )
+
+
 # -- mart, labels, logs ------------------------------------------------------------------
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators.filters import ExplorerSpec, explorer_predicate, explorer_summary
+from ..sources import tables, text_index
 
 # Days of the date presets.
 PRESETS = {"Past 3 Days": 3, "Past Week": 7, "Past Month": 30}
@@ -17,6 +18,16 @@ def explore(mart: DataFrame, spec: ExplorerSpec, as_of: Column | None = None) ->
     return mart.where(explorer_predicate(spec, as_of)), explorer_summary(mart, spec, as_of)
 
 
+def explore_stored(
+    spark: SparkSession, path: str, index: str, spec: ExplorerSpec, as_of: Column | None = None
+) -> DataFrame:
+    """Matching postings of a stored mart; files whose indexed texts cannot match are not opened."""
+    mart = spark.read.parquet(path)
+    if spec.search and spec.search[1]:
+        mart = text_index.prune(mart, index, *spec.search, spec.literal_search)
+    return tables.coerce_mart(mart).where(explorer_predicate(spec, as_of))
+
+
 def or_dash(value: Column) -> Column:
     return F.coalesce(value, F.lit(text.DASH))
 
