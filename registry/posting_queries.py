@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import query
-from registry.posting_sql import ENRICHMENT, FACTS, MART, STAGED
+from registry.posting_sql import ENRICHMENT, FACTS, MART, STAGED, sql_list
 from vacancia import schemas, testbed
 from vacancia.functions.rules import ENTRY_FLAG_TERMS, title_level
 from vacancia.functions.text import dedup_key
 from vacancia.operators import aggregates as agg
 from vacancia.operators import dedupe, joins, metrics, profiling, quality, ranking
 from vacancia.operators.filters import (
-    DEFAULT_LOCATION_ANY, DEFAULT_TITLE_NONE, RELEVANT_TITLES, ExplorerSpec,
-    SearchSpec, explorer_summary, keep_titles, range_bounds, search,
+    RELEVANT_TITLES, ExplorerSpec, default_search, explorer_summary, keep_titles, publisher_search,
+    range_bounds, search,
 )
 from vacancia.operators.overlay import overlay, upsert_json_field
 from vacancia.operators.joins import union_all
@@ -135,33 +135,53 @@ def entry_flag_counts(spark, sf):
     return agg.bucket_counts(titles, F.lower("title").rlike("|".join(ENTRY_FLAG_TERMS)), "is_entry_level")
 
 
-SEARCH_SPEC = SearchSpec(
-    title_any=["(?i)data analyst", "(?i)data engineer"],
-    title_none=DEFAULT_TITLE_NONE,
-    location_any=[*DEFAULT_LOCATION_ANY, "(?i)^new york$"],
-    allow={"listed_seniority": ["junior", "mid_level"], "country": ["US"]},
-    max_age_days=45,
-    location="city",
-    discovered="ingested_at",
-)
+SEARCH_ROWS = f"""WITH facts AS (
+  SELECT d, CAST(d AS VARCHAR) AS job_id, {sql_list(testbed.SEARCH_TITLES)}[d % 17 + 1] AS job_title,
+    {sql_list(testbed.PLACES)}[d // 17 % 10 + 1] AS location,
+    ['US', 'CA', 'US', 'us', 'US'][d % 6 + 1] AS country_code,
+    ['junior', 'mid_level', 'senior', 'c_level'][d // 5 % 5 + 1] AS seniority,
+    {sql_list(testbed.PUBLISHERS)}[d // 3 % 14 + 1] AS job_publisher,
+    ['FULLTIME', 'PARTTIME', 'FULLTIME', 'CONTRACTOR', 'INTERN'][d % 6 + 1] AS job_employment_type,
+    DATE '2026-05-01' + CAST(d % 90 AS INTEGER) AS date_posted,
+    TIMESTAMP '2026-08-01' + to_days(CAST(d % 28 + landing * 3 AS INTEGER)) AS discovered_at
+  FROM (SELECT doc_id AS d FROM documents), (SELECT unnest([0, 1]) AS landing)
+  WHERE landing = 0 OR d % 5 = 0
+) """
 
 
 @query(
     "posting_search",
-    WITH_STAGED
-    + """SELECT job_id, job_title, date_posted, ingested_at FROM staged
-    WHERE source = 'theirstack' AND regexp_matches(lower(job_title), 'data analyst|data engineer')
+    SEARCH_ROWS
+    + """SELECT job_id, job_title, location, date_posted, discovered_at FROM facts
+    WHERE regexp_matches(lower(job_title), 'data analyst|data engineer')
       AND NOT regexp_matches(lower(job_title),
-        'senior|\\bsr\\b|\\bii\\b|\\biii\\b|\\biv\\b|lead|principal|staff|manager|director|head of')
-      AND listed_seniority IN ('junior', 'mid_level')
-      AND date_posted >= DATE '2026-07-30' - 45 AND ingested_at >= TIMESTAMP '2026-08-03'""",
+        'senior|\\bsr\\b|\\bii\\b|\\biii\\b|\\biv\\b|lead|principal|staff|manager|director|head of|unpaid|non.paid|volunteer')
+      AND (lower(location) LIKE 'new york,%' OR lower(location) LIKE '%new york city%'
+        OR lower(location) LIKE '%manhattan%' OR lower(location) LIKE '%brooklyn%')
+      AND seniority IN ('junior', 'mid_level') AND country_code = 'US'
+      AND date_posted >= DATE '2026-07-23' AND discovered_at >= TIMESTAMP '2026-08-03'""",
 )
 def posting_search(spark, sf):
-    staged = staging.stage(testbed.landing(spark, sf)["theirstack"], staging.PROVIDERS["theirstack"])
+    """The second provider's standing search for two roles, discovered since a mark."""
     found = search(
-        staged, SEARCH_SPEC, F.lit("2026-07-30").cast("date"), F.lit("2026-08-03").cast("timestamp")
+        testbed.search_rows(spark, sf), default_search(["(?i)data analyst", "(?i)data engineer"]),
+        F.lit("2026-07-30").cast("date"), F.lit("2026-08-03").cast("timestamp"),
     )
-    return found.select("job_id", "job_title", "date_posted", "ingested_at")
+    return found.select("job_id", "job_title", "location", "date_posted", "discovered_at")
+
+
+@query(
+    "publisher_search",
+    SEARCH_ROWS
+    + """SELECT job_id, job_publisher, job_employment_type, discovered_at FROM facts
+    WHERE job_employment_type = 'FULLTIME' AND (job_publisher IS NULL OR job_publisher NOT IN (
+      'Talent.com', 'Learn4Good', 'JobLeads', 'BeBee', 'WhatJobs', 'Jobilize', 'Jooble', 'Adzuna', 'Ladders',
+      'Snagajob', 'Institute Of Data Jobs', 'Tech Engineer Jobs', 'Allied-IT Jobs', 'United States Jobs Expertini',
+      'Trigyn Technologies', 'Trigyn', 'Resume-Library.com', 'Sign In'))""",
+)
+def publisher_search_rows(spark, sf):
+    found = search(testbed.search_rows(spark, sf), publisher_search())
+    return found.select("job_id", "job_publisher", "job_employment_type", F.col("ingested_at").alias("discovered_at"))
 
 
 @query(

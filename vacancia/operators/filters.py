@@ -101,12 +101,13 @@ DEFAULT_SENIORITIES = ["junior", "mid_level"]
 DEFAULT_COUNTRIES = ["US"]
 DEFAULT_MAX_AGE_DAYS = 7
 
-# Publishers the first provider is asked to leave out.
+# Publishers the first provider is asked to leave out, and the employment it is asked for.
 DENIED_PUBLISHERS = [
     "Talent.com", "Learn4Good", "JobLeads", "BeBee", "WhatJobs", "Jobilize", "Jooble", "Adzuna",
     "Ladders", "Snagajob", "Institute Of Data Jobs", "Tech Engineer Jobs", "Allied-IT Jobs",
     "United States Jobs Expertini", "Trigyn Technologies", "Trigyn", "Resume-Library.com", "Sign In",
 ]
+WANTED_EMPLOYMENT = ["FULLTIME"]
 
 # Title phrases worth landing.
 RELEVANT_TITLES = ["data analyst", "data engineer", "analytics engineer", "data scientist"]
@@ -123,6 +124,14 @@ def default_search(title_any: Sequence[str]) -> SearchSpec:
     )
 
 
+def publisher_search() -> SearchSpec:
+    """The first provider's standing search: full-time postings of publishers that are not left out."""
+    return SearchSpec(
+        deny={"job_publisher": DENIED_PUBLISHERS}, allow={"job_employment_type": WANTED_EMPLOYMENT},
+        discovered="ingested_at",
+    )
+
+
 def search_predicate(spec: SearchSpec, as_of: Column | None = None, since: Column | None = None) -> Column:
     out = F.lit(True)
 

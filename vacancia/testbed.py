@@ -107,6 +107,33 @@ def landing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+PLACES = [
+    "New York, NY", "New York City Metropolitan Area", "Brooklyn, NY", "Jersey City, NJ", "Manhattan Beach, CA",
+    "West New York, NJ", "Buffalo, New York", "MANHATTAN, NY", "Toronto, ON",
+]
+SEARCH_TITLES = [*TITLES, "Data Analyst (unpaid)", "Volunteer Data Engineer", "Data Engineer III", "Sr Data Engineer", "Data Engineer, Srini Labs"]
+PUBLISHERS = [
+    "LinkedIn", "Jooble", "Indeed", "Talent.com", "talent.com", "Sign In", "Trigyn", "Trigyn Inc", "Glassdoor",
+    "Resume-Library.com", "United States Jobs Expertini", "Allied-IT Jobs", "BeBee",
+]
+
+
+def search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings as a provider's search sees them, with places, countries and publishers of many kinds."""
+    return facts(spark, sf_dir).selectExpr(
+        "id AS job_id",
+        f"{pick(SEARCH_TITLES, 'd % 17')} AS job_title",
+        f"{pick(PLACES, '(d div 17) % 10')} AS location",
+        f"{pick(['US', 'CA', 'US', 'us', 'US'], 'd % 6')} AS country_code",
+        f"{pick(['junior', 'mid_level', 'senior', 'c_level'], '(d div 5) % 5')} AS seniority",
+        f"{pick(PUBLISHERS, '(d div 3) % 14')} AS job_publisher",
+        f"{pick(['FULLTIME', 'PARTTIME', 'FULLTIME', 'CONTRACTOR', 'INTERN'], 'd % 6')} AS job_employment_type",
+        "posted AS date_posted",
+        "ingested_at AS discovered_at",
+        "ingested_at",
+    )
+
+
 def run_of(values: list[str], start: str, n: int) -> str:
     """SQL text: ``n`` neighbours of a fixed list, wrapping around."""
     return "array(" + ", ".join(pick(values, f"({start} + {i}) % {len(values)}") for i in range(n)) + ")"
