@@ -90,3 +90,46 @@ def test_one_hot_title_is_not_compared_in_pairs(spark):
     same = spark.createDataFrame([("hot", "hot")], "text_a string, text_b string")
     n = similarity.company_candidates(posts, same, 0.35).count()
     assert n < 0.1 * 3000 * 3000 / 2, n
+
+
+def brute_links(rows):
+    links = [
+        (a, b) for a in rows for b in rows
+        if a[0] != b[0] and a[2] and b[2] and abs(a[3] - b[3]) <= 3 and near(a[1], b[1], 0.15) and near(a[2], b[2], 0.35)
+    ]
+    least = {a[0]: a[0] for a, _ in links}
+    while True:
+        moved = dict(least)
+        for a, b in links:
+            moved[a[0]] = min(moved[a[0]], moved[b[0]])
+        if moved == least:
+            break
+        least = moved
+    return sorted((i, least[i], sum(a[0] == i for a, _ in links), sum(a[0] == i and b[4] < a[4] for a, b in links)) for i in least)
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_links_equal_brute_force(spark, tmp_path, monkeypatch, dense):
+    """A row per id with its class and links, compared in blocks of a few rows or by gram pairs."""
+    rng = random.Random(5)
+    companies, titles = names(rng, 12), ["Data Analyst", "Data Analyst!", "Data Engineer", "Chef"]
+    rows = [(i, rng.choice(titles), rng.choice([*companies, None, ""]), rng.randint(1, 30), i % 3) for i in rng.sample(range(900), 150)]
+    df = spark.createDataFrame(rows, "id int, title string, company string, d int, extra int").withColumn("day", F.expr("date_add(date'2026-01-01', d)"))
+    monkeypatch.setattr(similarity, "alike", lambda *_: dense)
+    monkeypatch.setattr(similarity, "BLOCK", 3)
+    got = similarity.fuzzy_links(df, "id", "title", "company", "day", F.col("extra_b") < F.col("extra_a"), str(tmp_path), ("extra",))
+    assert sorted(map(tuple, got.collect())) == brute_links(rows)
+
+
+def test_similar_names_are_counted_without_their_pairs(spark, tmp_path):
+    """Nearly all names are alike: 1,200 rows have hundreds of thousands of links, and a row each."""
+    names_ = spark.range(1200).selectExpr("id", "'Data Analyst' AS title", "concat('Company ', id % 37, '-', id) AS company", "date'2026-01-01' AS day")
+    assert similarity.alike(names_.select(F.lower("company").alias("low")), 0.35)
+    got = similarity.fuzzy_links(names_, "id", "title", "company", "day", F.lit(False), str(tmp_path)).collect()
+    assert len(got) == 1200 and {r.class_id for r in got} == {0}
+    assert sum(r.n_links for r in got) > 400_000
+
+
+def test_unlike_names_keep_the_filter(spark):
+    unlike = spark.createDataFrame([(c,) for c in random_names(random.Random(2), 2000)], "low string")
+    assert not similarity.alike(unlike, 0.35)

@@ -15,10 +15,16 @@ The pair condition (similar title, similar company, near dates) is split into eq
 
 No similar pair is lost. A hot title spreads over the gram pairs of its companies, and a hot
 company over its titles and dates.
+
+Pairs grow with the square of a group of similar rows. ``fuzzy_links`` gives a row per id instead, with
+its number of links and its class. Where most names are alike no filter helps: groups are then compared
+in blocks, and links are counted where they are found, so that no pair is shuffled or written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +37,8 @@ SMALL = 64
 BUCKETS = 4096
 #: Early grams of a name up to which pairs of them are made.
 EARLY = 32
+#: Rows of a group that are compared in one block with as many others.
+BLOCK = 2048
 
 
 def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFrame:
@@ -200,6 +208,20 @@ def company_candidates(posts: DataFrame, titles: DataFrame, ratio: float, small:
     return direct.unionByName(found[0].unionByName(found[1]).distinct())
 
 
+def _rows(df: DataFrame, id: str, title: str, company: str, day: str, keep: tuple[str, ...], days: int) -> DataFrame:
+    """The rows that can be in a pair: ``id, title, company, day, block`` and the columns to keep."""
+    number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
+    rows = df.select(
+        F.col(id).alias("id"),
+        F.col(title).alias("title"),
+        F.col(company).alias("company"),
+        F.col(day).alias("day"),
+        *keep,
+        F.floor(number / (days + 1)).cast("int").alias("block"),
+    ).where("id is not null and title is not null and company is not null and day is not null")
+    return rows.where((F.length("title") > 0) & (F.length("company") > 0))
+
+
 def fuzzy_pairs(
     df: DataFrame,
     id: str,
@@ -218,16 +240,7 @@ def fuzzy_pairs(
     text joins and both sides of the pair join read the rows: with ``store_at`` they are
     written there once and read back.
     """
-    number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
-    rows = df.select(
-        F.col(id).alias("id"),
-        F.col(title).alias("title"),
-        F.col(company).alias("company"),
-        F.col(day).alias("day"),
-        *keep,
-        F.floor(number / (days + 1)).cast("int").alias("block"),
-    ).where("id is not null and title is not null and company is not null and day is not null")
-    rows = rows.where((F.length("title") > 0) & (F.length("company") > 0))
+    rows = _rows(df, id, title, company, day, keep, days)
     if store_at is not None:
         rows = store(rows, store_at)
     data = ["id", "title", "company", "day", *keep]
@@ -253,6 +266,118 @@ def fuzzy_pairs(
     return pairs.select(*[F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in ("a", "b") for c in data])
 
 
+def alike(names: DataFrame, ratio: float) -> bool:
+    """Whether the gram filter would let an eighth of all pairs of the distinct names (column ``low``)
+    meet or more: comparing all of them is then the smaller work."""
+    ranks = rarity(names)
+    lengths = names.agg(F.collect_set(F.length("low")).alias("lengths")).scalar()
+    sides = [gram_pairs(names, ratio, ranks, of).groupBy("L", "s.g1", "s.g2").agg(F.count("*").cast("double").alias("n")) for of in (None, lengths)]
+    met = sides[0].join(sides[1].withColumnRenamed("n", "m"), ["L", "g1", "g2"]).agg(F.sum(F.col("n") * F.col("m"))).first()[0]
+    return (met or 0) >= names.count() ** 2 / 8
+
+
+def _blocks(rows: DataFrame, titles: DataFrame, kept: list[str], ratio: float, days: int) -> DataFrame:
+    """Links between labels, each compared once and given in both orders: the kept columns of ``rows``
+    with ``_a`` and ``_b``.
+
+    Rows of one title and date block meet those of similar titles and near blocks, ``BLOCK`` with about
+    as many at a time: a task holds a block, and a hot group is many of them.
+    """
+    group = ["title", "block"]
+    sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    rows = rows.withColumn("low", F.lower("company")).withColumn("len", F.length("company"))
+    part, each = F.pmod(F.xxhash64("id"), "parts").cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = rows.join(titles, F.col("title") == F.col("text_a")).drop("text_a")
+    a = a.withColumn("to", F.explode(F.expr("array(block - 1, block, block + 1)")))
+    a = a.join(sizes.select(F.col("title").alias("text_b"), F.col("block").alias("to"), "parts"), ["text_b", "to"])
+    a = a.withColumn("i", part).withColumn("j", each)
+    a = a.select(F.col("text_b").alias("title_b"), F.col("to").alias("block_b"), "i", "j", *[F.col(c).alias(f"{c}_a") for c in rows.columns])
+    b = rows.join(sizes, group).withColumn("j", part).withColumn("i", each)
+    b = b.select("i", "j", *[F.col(c).alias(f"{c}_b") for c in rows.columns])
+    # Few bytes make many comparisons, so adaptive execution must not join tasks by size.
+    tasks = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["title_b", "block_b", "i", "j"]
+    size = F.greatest("len_a", "len_b")
+    most = F.floor(F.lit(ratio) * size + F.lit(1e-9)).cast("int")
+    most = F.when(most / size <= ratio, most).otherwise(most - 1)
+    met = a.repartition(tasks, *key).join(b.repartition(tasks, *key), key)
+    met = met.where((F.col("id_a") < F.col("id_b")) & (F.col("label_a") != F.col("label_b")) & (F.abs(F.datediff("day_a", "day_b")) <= days))
+    met = met.where(F.call_function("levenshtein", "low_a", "low_b", most) >= 0)
+    orders = [F.struct(*[F.col(f"{c}_{s}").alias(f"{c}_{t}") for s, t in zip(order, "ab") for c in kept]) for order in ("ab", "ba")]
+    return met.select(F.explode(F.array(*orders)).alias("p")).select("p.*")
+
+
+def fuzzy_links(
+    df: DataFrame,
+    id: str,
+    title: str,
+    company: str,
+    day: str,
+    loses: Column,
+    store_at: str,
+    keep: tuple[str, ...] = (),
+    title_ratio: float = 0.15,
+    company_ratio: float = 0.35,
+    days: int = 3,
+) -> DataFrame:
+    """``id, class_id, n_links, n_lost`` of every id with a link as in :func:`fuzzy_pairs`.
+
+    ``class_id`` is the least id reachable by links, ``n_links`` counts the links, ``n_lost`` those in
+    which ``loses`` holds, a condition on ``id`` and the kept columns with ``_a`` (this row) and ``_b``.
+    Rows that share an id share its links. Each round every class joins the least class that it has
+    a link to, so the number of classes with links between them is halved at least; links inside a
+    class are compared in the first round only.
+    """
+    rows = store(_rows(df, id, title, company, day, keep, days), f"{store_at}/rows")
+    labels = rows.select("id", F.col("id").alias("label")).distinct()
+    if alike(rows.select(F.lower("company").alias("low")).distinct(), company_ratio):
+        titles = store(similar_texts(rows, "title", title_ratio), f"{store_at}/titles")
+
+        def between(labels: DataFrame) -> DataFrame:
+            return _blocks(rows.join(labels, "id"), titles, ["id", "label", *keep], company_ratio, days)
+    else:
+        found = fuzzy_pairs(rows, "id", "title", "company", "day", keep, title_ratio, company_ratio, days)
+        data = ["id", *keep]
+        turned = [F.col(f"{c}_{s}").alias(f"{c}_{t}") for s, t in (("a", "b"), ("b", "a")) for c in data]
+        forth = found.select(*[f"{c}_{s}" for s in ("a", "b") for c in data])
+        pairs = store(forth.unionByName(forth.select(*turned)), f"{store_at}/pairs")
+
+        def between(labels: DataFrame) -> DataFrame:
+            out = pairs
+            for s in ("a", "b"):
+                out = out.join(labels.select(F.col("id").alias(f"id_{s}"), F.col("label").alias(f"label_{s}")), f"id_{s}")
+            return out.where("label_a <> label_b")
+
+    counted = between(labels).groupBy(F.col("id_a").alias("id"))
+    counted = counted.agg(F.count("*").alias("n_links"), F.count_if(loses).alias("n_lost"), F.min("id_b").alias("near"))
+    counted = store(counted, f"{store_at}/counted")
+    nearest = counted.select(F.col("id").alias("label"), "near")
+    labels = counted.select("id", F.col("id").alias("label"))
+    turn = 0
+    while not nearest.isEmpty():
+        labels = _joined(labels, nearest, lambda name: f"{store_at}/{name}-{turn}")
+        nearest = between(labels).groupBy(F.col("label_a").alias("label")).agg(F.min("label_b").alias("near"))
+        turn += 1
+        nearest = store(nearest, f"{store_at}/nearest-{turn}")
+    return counted.join(labels, "id").select("id", F.col("label").alias("class_id"), "n_links", "n_lost")
+
+
+def _joined(labels: DataFrame, nearest: DataFrame, path: Callable[[str], str]) -> DataFrame:
+    """Labels after every class took the lesser label of its own and ``near``, and that one's in turn."""
+    up = nearest.select("label", F.least("label", "near").alias("up"))
+    hops = 0
+    while True:
+        over = up.select(F.col("label").alias("up"), F.col("up").alias("over"))
+        moved = up.join(over, "up", "left").select("label", F.coalesce("over", "up").alias("next"), "up")
+        moved = store(moved, path(f"up-{hops}"))
+        done = moved.where("next <> up").isEmpty()
+        up, hops = moved.select("label", F.col("next").alias("up")), hops + 1
+        if done:
+            break
+    out = labels.join(up, "label", "left").select("id", F.coalesce("up", "label").alias("label"))
+    return store(out, path("labels"))
+
+
 def pick_loser(pairs: DataFrame, value: str, rank: Column, rank_b: Column, id: str = "id") -> DataFrame:
     """Add ``loser``: the row without a value loses, then the worse-ranked one, then ``b``."""
     has_a, has_b = F.col(f"{value}_a").isNotNull(), F.col(f"{value}_b").isNotNull()

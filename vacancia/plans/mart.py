@@ -13,6 +13,7 @@ from ..functions.text import dedup_key
 from ..operators.dedupe import best_per_expression, latest_per_key
 from ..operators.filters import drop_value_keep_null
 from ..operators.joins import union_all
+from ..session import store
 from ..sources.landing import only_provider
 from . import staging
 
@@ -110,3 +111,26 @@ def fuzzy_duplicates(mart: DataFrame, store_at: str | None = None) -> DataFrame:
             F.col(f"final_salary_min_{side}").alias(f"salary_{side}"),
         ]
     return judged.select(*out, F.col("loser").alias("loser_job_id"))
+
+
+def near_duplicate_classes(mart: DataFrame, store_at: str) -> DataFrame:
+    """Every posting with its class of near duplicates (the least id reachable by links), its number
+    of links, and in how many of them it is the one to drop."""
+    from ..operators.similarity import fuzzy_links
+
+    columns = ["job_id", "job_title", "company_name", "source", "date_posted", "final_salary_min"]
+    slim = store(mart.select(*columns), f"{store_at}/mart")
+    paid_a, paid_b = F.col("final_salary_min_a").isNotNull(), F.col("final_salary_min_b").isNotNull()
+    rank_a, rank_b = rules.provider_rank("source_a"), rules.provider_rank("source_b")
+    loses = (
+        F.when(paid_a != paid_b, paid_b)
+        .when(rank_a < rank_b, False)
+        .when(rank_b < rank_a, True)
+        .otherwise(F.col("id_b") < F.col("id_a"))
+    )
+    links = fuzzy_links(
+        slim, "job_id", "job_title", "company_name", "date_posted", loses, f"{store_at}/links", ("source", "final_salary_min")
+    )
+    out = slim.join(links.withColumnRenamed("id", "job_id"), "job_id", "left")
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_links", "n_lost")]
+    return out.select(*columns, F.coalesce("class_id", "job_id").alias("class_id"), *counts)
