@@ -396,3 +396,18 @@ def test_publishers_and_relevant_titles(spark):
     spec = filters.SearchSpec(deny={"p": filters.DENIED_PUBLISHERS})
     assert filters.search(df, spec, newest_first=False).count() == 3
     assert column(filters.keep_titles(df, "t", filters.RELEVANT_TITLES), "p") == ["Adzuna", "Acme"]
+
+
+@pytest.mark.parametrize("name", ["duplicate_marks", "health_title_classes"])
+def test_texts_stay_out_of_shuffles_that_need_none(spark, name):
+    from __spark_entry__ import queries
+
+    plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "__described" in plan and "AS description#" not in plan
+
+
+def test_a_posting_whose_newest_landing_lost_its_description_is_dropped(spark):
+    rows = [("jsearch:q", f'{{"job_id": "1", "job_title": "Data Analyst"{text}}}', dt.datetime(2026, 1, day), day) for day, text in ((1, ', "job_description": "x"'), (2, ""))]
+    landing = spark.createDataFrame(rows, schemas.LANDING)
+    assert staging.stage(landing, staging.PROVIDERS["jsearch"]).collect() == []
+    assert staging.stage(landing.where("ordinal = 1"), staging.PROVIDERS["jsearch"]).count() == 1

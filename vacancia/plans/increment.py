@@ -34,7 +34,7 @@ from ..operators.joins import union_all
 from ..session import store, workspace
 from ..sources.landing import provider_of
 from .mart import latest_labels, mart_from_labelled
-from .staging import NEWEST, PROVIDERS, extract, wanted
+from .staging import NEWEST, PROVIDERS, described, extract, wanted
 
 LEDGER = T.StructType([
     T.StructField("batch", T.LongType()), T.StructField("name", T.StringType()),
@@ -121,7 +121,7 @@ class MartStore:
         return self.spark.createDataFrame([], schemas.ENRICHMENT)
 
     def _labelled(self, newest: DataFrame, labels: DataFrame) -> DataFrame:
-        return wanted(newest).join(latest_labels(labels), "job_id", "left")
+        return wanted(described(newest)).join(latest_labels(labels), "job_id", "left")
 
     def apply(self, batch: int, landing: DataFrame, labels: DataFrame | None = None) -> bool:
         """Merge newly landed rows and labels; False if this batch was applied before."""

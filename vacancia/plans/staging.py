@@ -116,6 +116,9 @@ PROVIDERS = {
 }
 
 
+#: Flag column: the posting has a description.
+DESCRIBED = "__described"
+
 # Order of the landings of one posting, newest first.
 NEWEST = ["ingested_at", "ingestion_query"]
 
@@ -134,10 +137,18 @@ def extract(landing: DataFrame, spec: ProviderSpec) -> DataFrame:
 
 
 def stage(landing: DataFrame, spec: ProviderSpec, null_keys: str = "collapse") -> DataFrame:
-    """Newest landing per posting, then the row filters."""
-    return wanted(latest_per_key(extract(landing, spec), ["job_id"], NEWEST, null_keys))
+    """Newest landing per posting, then the row filters.
+
+    Whether a posting is described is settled before the choice: a result without descriptions
+    then shuffles a flag, not the texts.
+    """
+    return wanted(latest_per_key(described(extract(landing, spec)), ["job_id"], NEWEST, null_keys))
+
+
+def described(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(DESCRIBED, F.col("description").isNotNull())
 
 
 def wanted(newest: DataFrame) -> DataFrame:
-    """The row filters of staging."""
-    return exclude_titles(require(newest, ["job_title", "description"]), "job_title")
+    """The row filters of staging, on :func:`described` rows; the flag is dropped."""
+    return exclude_titles(require(newest, ["job_title"]).where(DESCRIBED), "job_title").drop(DESCRIBED)
