@@ -134,3 +134,21 @@ def test_stream_restarts_in_the_middle_with_the_same_mart(spark, tmp_path, parts
     ingest.stream_mart(spark, inbox, root, state, buckets=3)  # nothing new
     assert content(kept.mart()) == built(spark, parts[:3])
     assert kept.ledger().where(F.col("name") == "batch").count() == 3
+
+
+def test_texts_move_once_a_batch_and_follow_their_postings(spark, tmp_path, parts):
+    """Staged rows hold no texts; a posting that wins later brings its own from an untouched bucket."""
+    texts = lambda df: sorted((r.job_id, r.company_name, r.description) for r in df.collect())
+
+    def landed(id, provider, company, minutes):
+        source, payload, at, n = posting(provider, id, "Data Analyst", company, minutes)
+        return (source, payload.replace('"text"', f'"text of {provider} {id} at {minutes}"'), at, n)
+
+    first = [landed(str(i), "jsearch", f"C{i}", i) for i in range(30)] + [landed("x", "builtin", "C3", 40)]
+    second = [landed("x", "builtin", "Elsewhere", 50)]  # C3 goes back to posting 3
+    kept = increment.MartStore(spark, str(tmp_path), buckets=11)
+    for i, rows in enumerate((first, second)):
+        kept.apply(i, *frames(spark, rows, []))
+    landing, labels = frames(spark, first + second, [])
+    assert texts(kept.mart()) == texts(mart.build_mart(mart.split_landing(landing), labels))
+    assert "description" not in spark.read.parquet(f"{tmp_path}/staged/batch=0").columns

@@ -5,11 +5,15 @@ Four tables are kept, each in buckets of a hash:
 * ``newest``: the newest landing of every posting, typed, before the row filters; ``labels``: the
   newest labels of every posting. Both by posting id. Newest-of is associative, so merging a batch
   into them gives what all landings together would give, and no payload is parsed twice.
-* ``staged``: filtered and labelled postings, the input of the cross-provider choice, and
-  ``mart``. Both by the choice's key. A posting whose title or company changed leaves its old
+* ``staged``: filtered and labelled postings without their descriptions, the input of the
+  cross-provider choice, and ``mart``. Both by the choice's key. A posting whose title or company changed leaves its old
   key, where another provider's posting may then win, so the old keys of all changed postings are
   chosen again too.
 
+Descriptions are most of the bytes, and no choice reads them. They move once into ``newest`` and once
+into ``mart``: from the mart's own old buckets where a posting was there before and has not changed, else
+from the buckets of ``newest`` that hold the posting.
+
 A batch writes the touched buckets as new files beside the old ones, and then one small ledger
 file that names them. Until that file is there, readers see the state before the batch; a batch
 whose number is in the ledger is not applied again. A job that dies half-way is therefore simply
@@ -51,7 +55,11 @@ def typed(landing: DataFrame) -> DataFrame:
         extract(routed.where(F.col("provider") == name).drop("provider"), spec).withColumn("provider", F.lit(name))
         for name, spec in PROVIDERS.items()
     ]
-    return union_all(parts)
+    return described(union_all(parts))
+
+
+def slim(rows: DataFrame) -> DataFrame:
+    return rows.drop("description")
 
 
 class MartStore:
@@ -99,8 +107,11 @@ class MartStore:
     def _write(self, name: str, batch: int, df: DataFrame, bucket: str, touched: Sequence[int]) -> list[tuple]:
         """New versions of the touched buckets; returns their ledger rows."""
         path = f"{self.root}/{name}/batch={batch}"
-        # One file a bucket, but several where adaptive execution splits a large one.
-        dealt = df.withColumnRenamed(bucket, "bucket").hint("rebalance", "bucket")
+        dealt = df.withColumnRenamed(bucket, "bucket")
+        if "description" not in df.columns:
+            # One file a bucket, but several where adaptive execution splits a large one. Tables with
+            # texts are written as their tasks hold them, in more files, for one shuffle less.
+            dealt = dealt.hint("rebalance", "bucket")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
         rows = {}
         if touched:
@@ -114,14 +125,17 @@ class MartStore:
         table.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/{batch}")
 
     def mart(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], schemas.LANDING)
-        return self.current("mart", mart_from_labelled(self._labelled(typed(empty), self._no_labels())).schema)
+        return self.current("mart", self._mart_schema()).select(*schemas.MART_COLUMNS)
+
+    def _mart_schema(self) -> T.StructType:
+        empty = self._labelled(typed(self.spark.createDataFrame([], schemas.LANDING)), self._no_labels())
+        return mart_from_labelled(empty, columns=[*schemas.MART_COLUMNS, "provider"]).schema
 
     def _no_labels(self) -> DataFrame:
         return self.spark.createDataFrame([], schemas.ENRICHMENT)
 
     def _labelled(self, newest: DataFrame, labels: DataFrame) -> DataFrame:
-        return wanted(described(newest)).join(latest_labels(labels), "job_id", "left")
+        return wanted(newest).join(latest_labels(labels), "job_id", "left")
 
     def apply(self, batch: int, landing: DataFrame, labels: DataFrame | None = None) -> bool:
         """Merge newly landed rows and labels; False if this batch was applied before."""
@@ -146,17 +160,29 @@ class MartStore:
         changed = store(new.select(*POSTING).unionByName(relabelled.select(*POSTING)).distinct(), workspace(self.spark))
         now = self._version("newest", batch, new.drop(ID_BUCKET).schema, entries)
         now_labels = self._version("labels", batch, new_labels.drop(ID_BUCKET).schema, entries)
-        fresh = self._labelled(_matching(now, changed, "left_semi"), now_labels)
+        fresh = self._labelled(_matching(slim(now), changed, "left_semi"), now_labels)
         key = self._bucket(dedup_key("job_title", "company_name"))
         fresh = store(fresh.withColumn(KEY_BUCKET, key), workspace(self.spark))
-        left = _matching(old, changed, "left_semi").withColumn(KEY_BUCKET, key)
+        left = _matching(slim(old), changed, "left_semi").withColumn(KEY_BUCKET, key)
         keys = _values(fresh, KEY_BUCKET) | _values(left, KEY_BUCKET)
 
-        stay = _matching(self.current("staged", fresh.drop(KEY_BUCKET).schema, keys, versions), changed, "left_anti")
-        staged = store(stay.withColumn(KEY_BUCKET, key).unionByName(fresh), workspace(self.spark))
-        entries += self._write("staged", batch, staged, KEY_BUCKET, sorted(keys))
-        mart = mart_from_labelled(staged.drop(KEY_BUCKET, "provider"))
-        entries += self._write("mart", batch, mart.withColumn(KEY_BUCKET, key), KEY_BUCKET, sorted(keys))
+        layout = fresh.drop(KEY_BUCKET).schema
+        stay = _matching(self.current("staged", layout, keys, versions), changed, "left_anti")
+        entries += self._write("staged", batch, stay.withColumn(KEY_BUCKET, key).unionByName(fresh), KEY_BUCKET, sorted(keys))
+        named = [c for c in schemas.MART_COLUMNS if c != "description"]
+        chosen = mart_from_labelled(self._version("staged", batch, layout, entries), columns=[*named, "provider"])
+
+        # Where each chosen posting's text is: in the mart as it was, or in the newest landings.
+        before_ = self.current("mart", self._mart_schema(), keys, versions)
+        same = _matching(before_.select(*POSTING), changed, "left_anti").withColumn("__kept", F.lit(True))
+        chosen = _matching(chosen, same, "left").withColumn("__kept", F.coalesce("__kept", F.lit(False))).drop("__p", "__j")
+        chosen = store(chosen, workspace(self.spark))
+        ids = _values(chosen.where("not __kept").withColumn(ID_BUCKET, self._bucket(F.col("job_id"))), ID_BUCKET)
+        latest = now if ids <= touched else now.unionByName(self.current("newest", now.schema, ids - touched, versions))
+        texts = [rows.select(*POSTING, "description", F.lit(kept).alias("__from")) for rows, kept in ((before_, True), (latest, False))]
+        mart = _matching(chosen, texts[0].unionByName(texts[1]), "inner", F.col("__kept") == F.col("__from"), ["__from", "description"])
+        mart = mart.select(*schemas.MART_COLUMNS, "provider").withColumn(KEY_BUCKET, key)
+        entries += self._write("mart", batch, mart, KEY_BUCKET, sorted(keys))
         self._commit(entries, batch)
         return True
 
@@ -169,6 +195,11 @@ def _values(df: DataFrame, bucket: str) -> set[int]:
     return {r[0] for r in df.select(bucket).distinct().collect()}
 
 
-def _matching(df: DataFrame, postings: DataFrame, how: str) -> DataFrame:
-    other = postings.select(F.col("provider").alias("__p"), F.col("job_id").alias("__j"))
-    return df.join(other, F.col("provider").eqNullSafe(F.col("__p")) & F.col("job_id").eqNullSafe(F.col("__j")), how)
+def _matching(
+    df: DataFrame, postings: DataFrame, how: str, also: Column | None = None, carried: Sequence[str] = ("__kept",)
+) -> DataFrame:
+    """A join by posting, NULL ids equal; joins that widen ``df`` add the carried columns."""
+    wide = [c for c in carried if c in postings.columns] if how in ("left", "inner") else []
+    other = postings.select(F.col("provider").alias("__p"), F.col("job_id").alias("__j"), *wide)
+    match = F.col("provider").eqNullSafe(F.col("__p")) & F.col("job_id").eqNullSafe(F.col("__j"))
+    return df.join(other, match if also is None else match & also, how)

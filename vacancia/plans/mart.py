@@ -76,7 +76,9 @@ def mart_from_staging(
     return mart_from_labelled(staged.join(latest_labels(enrichment), list(on), "left"), null_keys)
 
 
-def mart_from_labelled(labelled: DataFrame, null_keys: str = "collapse") -> DataFrame:
+def mart_from_labelled(
+    labelled: DataFrame, null_keys: str = "collapse", columns: Sequence[str] = tuple(schemas.MART_COLUMNS)
+) -> DataFrame:
     """The cross-provider choice and the derived columns."""
     derived = best_source(labelled, null_keys).select(
         "*",
@@ -86,7 +88,7 @@ def mart_from_labelled(labelled: DataFrame, null_keys: str = "collapse") -> Data
         F.coalesce("salary_max", "model_salary_max").alias("final_salary_max"),
     )
     kept = drop_value_keep_null(derived, "role_archetype", "software_engineer")
-    return kept.select(*schemas.MART_COLUMNS)
+    return kept.select(*columns)
 
 
 def fuzzy_duplicates(mart: DataFrame, store_at: str | None = None) -> DataFrame:
