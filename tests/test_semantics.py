@@ -411,3 +411,13 @@ def test_a_posting_whose_newest_landing_lost_its_description_is_dropped(spark):
     landing = spark.createDataFrame(rows, schemas.LANDING)
     assert staging.stage(landing, staging.PROVIDERS["jsearch"]).collect() == []
     assert staging.stage(landing.where("ordinal = 1"), staging.PROVIDERS["jsearch"]).count() == 1
+
+
+def test_posting_search_stages_payloads_of_45_days(spark):
+    from __spark_entry__ import queries
+
+    found = queries()["posting_search"](spark, "/root/testdata/sf0.1")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "text#" in plan  # newest landings of whole payloads
+    days = [r.date_posted for r in found.collect()]
+    assert min(days) < dt.date(2026, 7, 23) and min(days) >= dt.date(2026, 6, 15)

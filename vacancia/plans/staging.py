@@ -123,8 +123,9 @@ DESCRIBED = "__described"
 NEWEST = ["ingested_at", "ingestion_query"]
 
 
-def extract(landing: DataFrame, spec: ProviderSpec) -> DataFrame:
-    """Typed staging columns of one provider's landing rows, nothing dropped."""
+def extract(landing: DataFrame, spec: ProviderSpec, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Typed staging columns of one provider's landing rows, nothing dropped; ``extra`` adds
+    further ones from the payload."""
     docs = with_payload(landing)
     tag = F.split_part(F.col("source"), F.lit(":"), F.lit(2))
     columns = {
@@ -133,16 +134,19 @@ def extract(landing: DataFrame, spec: ProviderSpec) -> DataFrame:
         "ingested_at": F.col("ingested_at"),
         **spec.columns(),
     }
-    return docs.select(*[columns[name].alias(name) for name in schemas.STAGING_COLUMNS])
+    more = [column.alias(name) for name, column in (extra or {}).items()]
+    return docs.select(*[columns[name].alias(name) for name in schemas.STAGING_COLUMNS], *more)
 
 
-def stage(landing: DataFrame, spec: ProviderSpec, null_keys: str = "collapse") -> DataFrame:
+def stage(
+    landing: DataFrame, spec: ProviderSpec, null_keys: str = "collapse", extra: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Newest landing per posting, then the row filters.
 
     Whether a posting is described is settled before the choice: a result without descriptions
     then shuffles a flag, not the texts.
     """
-    return wanted(latest_per_key(described(extract(landing, spec)), ["job_id"], NEWEST, null_keys))
+    return wanted(latest_per_key(described(extract(landing, spec, extra)), ["job_id"], NEWEST, null_keys))
 
 
 def described(rows: DataFrame) -> DataFrame:

@@ -134,6 +134,20 @@ def search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SEARCH_PAYLOAD = f"""named_struct(
+    'id', d, 'job_title', {pick(SEARCH_TITLES, 'd % 17')}, 'company', company, 'url', concat('https://jobs.example/', id),
+    'date_posted', string(posted), 'description', text, 'short_location', {pick(PLACES, '(d div 17) % 10')},
+    'country_code', {pick(['US', 'CA', 'US', 'us', 'US'], 'd % 6')},
+    'seniority', {pick(['junior', 'mid_level', 'senior', 'c_level'], '(d div 5) % 5')})"""
+
+
+def search_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of :func:`search_rows` as landed payloads of the second provider, texts included."""
+    return facts(spark, sf_dir).selectExpr(
+        "concat_ws(':', 'theirstack', label) AS source", f"to_json({SEARCH_PAYLOAD}) AS raw_payload", "ingested_at", "ordinal"
+    )
+
+
 def run_of(values: list[str], start: str, n: int) -> str:
     """SQL text: ``n`` neighbours of a fixed list, wrapping around."""
     return "array(" + ", ".join(pick(values, f"({start} + {i}) % {len(values)}") for i in range(n)) + ")"
