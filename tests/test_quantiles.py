@@ -39,3 +39,10 @@ def test_medians_read_their_source_once(spark, tmp_path):
     assert source not in plan and "kept" in plan
     for k, a, b in out.collect():
         assert (a, b) == (np.median([r[1] for r in rows if r[0] == k]), np.median([r[2] for r in rows if r[0] == k]))
+
+
+def test_rows_of_a_group_are_not_gathered(spark):
+    """Few groups: rows meet the sketch and the wanted cells by broadcast, and are shuffled by neither."""
+    rows = spark.range(3000).selectExpr("id % 3 AS k", "double(id) AS v")
+    plan = quantiles.group_quantiles(rows, ["k"], "v", {"median": 0.5})._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 1

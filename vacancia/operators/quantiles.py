@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import store
+from ..session import store, workspace
 
 ACCURACY = 10_000  # sketch rank error is at most n / ACCURACY
 MARGIN = 5 / ACCURACY  # bracket half-width as a share of the group
@@ -42,8 +42,10 @@ def place(
 
     slim = rows.select(*keys, "__v")
     if keys:
-        # No broadcast hint: adaptive execution broadcasts the sketch when it turns out
-        # small (reading the rows without regrouping them) and else splits skewed keys.
+        # Written first, so that its size is known when the join is planned: a small sketch is
+        # broadcast and the rows stay where they are. Left to adaptive execution they would be
+        # shuffled by key before that shows, a group in a task. Skewed keys of a large one are split.
+        sketch = store(sketch, workspace(rows.sparkSession))
         match = F.lit(True)
         for key in keys:
             match = match & F.col(key).eqNullSafe(F.col(f"__k_{key}"))
@@ -109,6 +111,8 @@ def group_quantiles(
         "__n",
         *names,
     )
+    if keys:
+        steps = store(steps, workspace(df.sparkSession))
     match = (F.col("__region") == F.col("__r")) & (F.col("__slot") == F.col("__t"))
     for key in keys:
         match = match & F.col(key).eqNullSafe(F.col(f"__k_{key}"))
