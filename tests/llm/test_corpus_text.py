@@ -285,3 +285,13 @@ def test_line_dedup_keeps_columns_with_names_like_its_own(spark):
     df = spark.createDataFrame([(1, "a", "x", "y", 3, 4)], "doc_id long, text string, __id string, __text string, __runs int, __lines int")
     row = line_dedup.dedup_lines(df).first()
     assert (row["__id"], row["__text"], row["__runs"], row["__lines"], row.n_lines) == ("x", "y", 3, 4, 1)
+
+
+def test_joined_groups_of_near_copies_make_no_rows(spark):
+    """Members of a common segment are tried only where it spans components and some set must be tried."""
+    members = [(a, p, p <= 2) for p in (1, 2, 3) for a in range(20)]
+    listed = spark.createDataFrame([(a, p, 20, asks) for a, p, asks in members], "a long, print long, held int, asks boolean")
+    label = lambda *apart: spark.createDataFrame([(a, a if a in apart else 0) for a in range(20)], "id long, label long")
+    assert ngram_join.placed(listed, label()).count() == 0
+    assert {r.print for r in ngram_join.placed(listed, label(7)).collect()} == {1, 2}
+    assert ngram_join.stars_between(listed, label()).count() == 0

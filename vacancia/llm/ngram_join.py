@@ -474,7 +474,7 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     if listed.isEmpty():
         return found
-    listed = stored(needed(listed))
+    listed = stored(asking(listed))
     for around_heaviest in (True, False):
         labels = components(found)
         rest = stars_between(listed, labels) if around_heaviest else cross_pairs(docs, listed, labels)
@@ -484,7 +484,7 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return found
 
 
-def needed(listed: DataFrame) -> DataFrame:
+def asking(listed: DataFrame) -> DataFrame:
     """``a, print, held, asks``: members of common fingerprints, ``asks`` where a set must be
     tried: its other segments are too few, and this is one of its less common ones."""
     whole = Window.partitionBy("a")
@@ -495,24 +495,23 @@ def needed(listed: DataFrame) -> DataFrame:
     asks = F.coalesce(F.sum("units").over(upto), F.lit(0)) < missing
     own = own.select("a", "print", "held", asks.alias("asks"))
     others = listed.where("not own").select("a", "print", "held", F.lit(False).alias("asks"))
-    rows = own.unionByName(others)
-    # Only fingerprints on which some set must be tried.
-    return rows.join(rows.where("asks").select("print").distinct(), "print")
+    return own.unionByName(others)
 
 
 def placed(listed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the fingerprints that span several components, with their component."""
+    """Members, with their component, of the fingerprints on which some set must be tried and that
+    span several components: a group of near copies that is joined already is left alone."""
     rows = listed.join(labels.select(F.col("id").alias("a"), "label"), "a", "left")
     rows = rows.withColumn("label", F.coalesce("label", "a"))
-    mixed = rows.groupBy("print").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return rows.join(mixed.select("print"), "print")
+    spans = rows.groupBy("print").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("asks").alias("any"))
+    return rows.join(spans.where("any and lo <> hi").select("print"), "print", "left_semi")
 
 
 def stars_between(listed: DataFrame, labels: DataFrame) -> DataFrame:
     """In each common fingerprint, its set with most common segments and the sets of other
     components."""
-    load = listed.groupBy("a").agg(F.sum("held").alias("load"))
-    rows = placed(listed, labels).join(load, "a")
+    rows = stored(placed(listed, labels))
+    rows = rows.join(rows.groupBy("a").agg(F.sum("held").alias("load")), "a")
     head = rows.groupBy("print").agg(F.max(F.struct("load", "a", "label")).alias("head"))
     pairs = rows.join(head, "print").where(F.col("head.label") != F.col("label"))
     return ordered(pairs.select("a", F.col("head.a").alias("b")))
