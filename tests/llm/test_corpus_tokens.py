@@ -65,3 +65,27 @@ def test_encode_carries_columns_and_gives_ids(spark, library):
     df = spark.createDataFrame([(1, "Hello world", "kept")], "doc_id long, text string, other string")
     row = byte_bpe.encode(df).select("other", byte_bpe.ids(byte_bpe.F.col("symbols")).alias("ids")).first()
     assert (row.other, row.ids) == ("kept", library.encode_ordinary("Hello world"))
+
+
+def test_words_of_one_slot_are_all_folded_once(spark, monkeypatch):
+    """Every frequent word is in the table, and the constants stand in no row on the way."""
+    frames = []
+    stored = byte_bpe.stored
+    monkeypatch.setattr(byte_bpe, "stored", lambda df: frames.append(df) or stored(df))
+    monkeypatch.setattr(byte_bpe, "WORD_SLOTS", 2)
+    words = [f"w{c}" for c in "abcdefgh"]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(3)], "doc_id long, text string")
+    t = byte_bpe.tables(spark, byte_bpe.RANKS)
+    entries = spark.range(1).select(byte_bpe.frequent_words(docs, t).alias("v")).first().v
+    found = [e.word for slot in entries if slot for e in (slot, *(slot.more or []))]
+    assert sorted(found) == sorted([words[0], *(f" {w}" for w in words[1:])])
+    for plan in (df._jdf.queryExecution().executedPlan().toString() for df in frames):
+        assert "__t" not in "".join(line.rpartition("output=")[2] for line in plan.splitlines() if "output=" in line)
+
+
+def test_short_and_long_words_fold_alike(spark, library):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aaabcdeiouéЖ") for _ in range(n)) for n in range(50, 80)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    rows = byte_bpe.encode(docs).select("text", byte_bpe.ids(byte_bpe.F.col("symbols")).alias("ids")).collect()
+    assert all(r.ids == library.encode_ordinary(r.text) for r in rows) and len(rows) == 30

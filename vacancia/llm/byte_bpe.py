@@ -1,15 +1,17 @@
 """Byte-level BPE with Spark's higher-order functions: encoding to ids and back.
 
-A text is cut into pre-tokens by the vocabulary's pattern. The bytes of a pre-token become
-symbols, one character each (the id above a fixed code point), so a sequence of symbols is a
-string. A fold merges them: each round looks up the ranks of all neighbours, takes the lowest,
-and replaces every occurrence of that pair from the left, until no neighbours have a rank.
-
-Pair ranks are a constant of the plan, as are the symbols: a table of ``SLOTS`` longs in which
-a pair sits in one of two places, since Spark's own map type searches its keys one by one (a
-mark at the first place tells whether the second is worth a look). The
-constants are scalar subqueries, which the optimizer folds into the one expression that reads
-them: they travel with the tasks and never with the rows.
+A text is cut into pre-tokens by the vocabulary's pattern, and a fold merges the bytes of each.
+The state of the fold is an array with a long per symbol: the rank of the pair that it makes
+with the next one, its place and its id. The least long is the leftmost pair of the lowest rank;
+a round merges it and ranks its two neighbours again, until no pair has a rank. A pre-token of
+more than ``SHORT`` bytes is a string of symbols instead, one character each (the id above a
+fixed code point), and a round replaces all occurrences of its lowest pair from the left, so
+that long runs take few rounds.
+
+Pair ranks are a constant of the plan, as are the symbols: a table of longs in which the pairs
+of a left id stand at its own offset plus their right id, since Spark's own map type searches
+its keys one by one. The constants are scalar subqueries, which the optimizer folds into the one
+expression that reads them: they travel with the tasks and never with the rows.
 
 The corpus' distinct pre-tokens are counted, and those frequent enough to be among about
 ``FREQUENT`` are folded once and looked up; the others are folded where they stand. The limit
@@ -42,11 +44,13 @@ FREQUENT = 1 << 19
 WORD_SLOTS = 1 << 20
 BASE = 0x10000  # code point of id 0: beyond it no code point is reserved
 
+SHORT = 64  # bytes
+RANK = 46  # a rank stands from this bit on, a place from bit 16 on, an id below
+NO_RANK = 1 << 62
+PLACE = 0x3FFFFFFF << 16
+
 #: Characters of the Unicode property White_Space, which ``\s`` of the pattern stands for.
 WHITE = "\\t-\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
-MOVED = 1 << 60
-EMPTY = 0xFFFFFFFF << 16  # a pair of two ids beyond all others
-MULTIPLIERS = (1_000_000_007, 998_244_353)  # both below 2**30, so that products stay in a long
 
 
 def java_pattern() -> str:
@@ -55,47 +59,36 @@ def java_pattern() -> str:
     return pattern.replace("\\S", f"[^{WHITE}]").replace("\\s", f"[{WHITE}]")
 
 
-def slots(key: np.ndarray, which: int) -> np.ndarray:
-    return (key * MULTIPLIERS[which] >> 24) & (SLOTS - 1)
-
-
 @lru_cache(maxsize=2)
-def constants(name: str) -> tuple[list[int], list[str], list[str], list[str]]:
-    """Pair table, symbols of the 256 bytes, symbols of all ids, and their bytes in hex."""
+def constants(name: str) -> tuple[list[int], list[int], list[int], list[str], list[str]]:
+    """Pair table, each left id's offset in it, ids of the 256 bytes, symbols of all ids, and
+    their bytes in hex. An entry of the table is a left id and, in its low 16 bits, the rank."""
     with open(public_tokenizers.path(name), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    pairs = {}
+    size = max(ranks.values()) + 1
+    assert size <= 1 << 16
+    pairs: dict[int, list[tuple[int, int]]] = {}
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
-                pairs[(left << 16) | right] = rank
-    keys = np.array(list(pairs), np.int64)
-    places = [slots(keys, 0).tolist(), slots(keys, 1).tolist()]
-    table, turn = {}, {}
-    for i in range(len(keys)):  # a pair in its way moves to its other place
-        for _ in range(1000):
-            at = places[turn.setdefault(i, 0)][i]
-            i, table[at] = table.get(at), i
-            if i is None:
+                pairs.setdefault(left, []).append((right, rank))
+    table, offsets, draw = np.full(SLOTS + size, -1, np.int64), np.zeros(size, np.int64), np.random.default_rng(1)
+    for left, found in sorted(pairs.items(), key=lambda x: -len(x[1])):  # long rows first, each at a free offset
+        right, rank = np.array(found).T
+        for _ in range(1_000_000):
+            at = int(draw.integers(SLOTS))
+            if (table[at + right] < 0).all():
                 break
-            turn[i] = 1 - turn[i]
         else:
             raise ValueError("pair table too small")
-    packed = np.full(SLOTS, EMPTY, np.int64)
-    keys = keys.tolist()
-    for at, i in table.items():
-        packed[at] = (keys[i] << 16) | pairs[keys[i]]
-    for i, which in turn.items():
-        if which:
-            packed[places[0][i]] |= MOVED
-    size = max(ranks.values()) + 1
-    assert size <= 1 << 16
+        table[at + right] = (left << 16) | rank
+        offsets[left] = at
     pieces = [""] * size
     for token, rank in ranks.items():
         pieces[rank] = token.hex().upper()
     symbols = [chr(BASE + i) for i in range(size)]
-    return packed.tolist(), [symbols[ranks[bytes([b])]] for b in range(256)], symbols, pieces
+    return table.tolist(), offsets.tolist(), [ranks[bytes([b])] for b in range(256)], symbols, pieces
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -109,66 +102,99 @@ def constant(spark: SparkSession, values: list, kind: str) -> Column:
 
 
 def tables(spark: SparkSession, name: str) -> Column:
-    pairs, of_byte, symbols, pieces = constants(name)
-    kinds = {"pairs": (pairs, "bigint"), "of_byte": (of_byte, "string"), "symbols": (symbols, "string"), "pieces": (pieces, "string")}
+    pairs, offsets, of_byte, symbols, _ = constants(name)
+    kinds = {"pairs": (pairs, "bigint"), "offsets": (offsets, "int"), "of_byte": (of_byte, "bigint"), "symbols": (symbols, "string")}
     return F.struct(*[constant(spark, values, kind).alias(k) for k, (values, kind) in kinds.items()])
 
 
-def rank_of(pairs: Column, left: Column, right: Column) -> Column:
-    """Rank of two neighbouring ids, NULL without one."""
+def rank_of(t: Column, left: Column, right: Column) -> Column:
+    """Rank of two neighbouring ids from bit ``RANK`` on, ``NO_RANK`` without one."""
+    entry = F.get(t["pairs"], F.get(t["offsets"], left.cast("int")) + right.cast("int"))
+    found = lambda e: F.when(F.shiftright(e, 16) == left, F.shiftleft(e.bitwiseAND(0xFFFF), RANK))
+    return let(entry, lambda e: found(e).otherwise(F.lit(NO_RANK)))
 
-    def at(key: Column, which: int) -> Column:
-        return F.get(pairs, F.shiftright(key * MULTIPLIERS[which], 24).bitwiseAND(SLOTS - 1).cast("int"))
 
-    def holds(entry: Column, key: Column) -> Column:
-        return F.shiftright(entry, 16).bitwiseAND(0xFFFFFFFF) == key
+def id_of(entry: Column) -> Column:
+    return entry.bitwiseAND(0xFFFF)
 
-    def found(key: Column) -> Column:
-        second = let(at(key, 1), lambda e: F.when(holds(e, key), e.bitwiseAND(0xFFFF)))
-        return let(at(key, 0), lambda e: F.when(holds(e, key), e.bitwiseAND(0xFFFF)).when(e.bitwiseAND(MOVED) != 0, second))
 
-    return let(F.shiftleft(left, 16) + right, found)
+def bytes_of(t: Column, word: Column) -> Column:
+    """Ids of the bytes of a pre-token."""
+    letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
+    return F.transform(letters, lambda c: F.get(t["of_byte"], F.ascii(c)))
 
 
-def merge_once(t: Column, word: Column) -> Column:
-    """One round of merges on a string of symbols; NULL when nothing merges."""
+def written(t: Column, codes: Column) -> Column:
+    """Ids as a string of symbols."""
+    return F.array_join(F.transform(codes, lambda c: F.get(t["symbols"], c.cast("int"))), "")
 
-    def with_symbols(s: Column) -> Column:
-        codes = F.transform(s, lambda c: (F.ascii(c) - BASE).cast("bigint"))
 
-        def with_codes(c: Column) -> Column:
-            # The last symbol has no neighbour: a NULL rank.
-            ranks = F.zip_with(c, F.slice(c, 2, F.size(c)), lambda a, b: F.when(b.isNotNull(), rank_of(t["pairs"], a, b)))
+def rounds(word: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
+
+
+def ranked(t: Column, codes: Column) -> Column:
+    """A long per symbol: rank of its pair with the next one, place, id."""
+
+    def beside(c: Column) -> Column:
+        placed = F.transform(c, lambda x, i: F.shiftleft(i.cast("bigint"), 16) + x)
+        last = F.lit(NO_RANK)
+        return F.zip_with(placed, F.slice(c, 2, F.size(c)), lambda x, b: x + F.when(b.isNull(), last).otherwise(rank_of(t, id_of(x), b)))
+
+    return let(codes, beside)
+
 
-            def with_ranks(r: Column) -> Column:
-                def with_best(best: Column) -> Column:
-                    at = F.array_position(r, best).cast("int")
-                    pair = F.concat(F.get(s, at - 1), F.get(s, at))
-                    return F.when(best.isNotNull(), F.replace(word, pair, F.get(t["symbols"], best.cast("int"))))
+def merge_first(t: Column, entries: Column) -> Column:
+    """One round: the leftmost pair of the lowest rank becomes a symbol."""
 
-                return let(F.array_min(r), with_best)
+    def with_best(best: Column) -> Column:
+        def with_at(at: Column) -> Column:
+            made, after, n = F.shiftright(best, RANK), F.get(entries, at + 1), F.size(entries)
+            merged = best.bitwiseAND(PLACE) + made + F.when(after.isNull(), F.lit(NO_RANK)).otherwise(rank_of(t, made, id_of(after)))
+            both = let(F.get(entries, at - 2).bitwiseAND(PLACE + 0xFFFF), lambda b: F.array(b + rank_of(t, id_of(b), made), merged))
+            first = F.concat(F.array(merged), F.slice(entries, 3, n))
+            return F.when(at == 1, first).otherwise(F.concat(F.slice(entries, 1, at - 2), both, F.slice(entries, at + 2, n)))
 
-            return let(ranks, with_ranks)
+        return F.when(best >= NO_RANK, entries).otherwise(let(F.array_position(entries, best).cast("int"), with_at))
 
-        return let(codes, with_codes)
+    return let(F.array_min(entries), with_best)
+
+
+def merge_all(t: Column, word: Column) -> Column:
+    """One round on a string of symbols, for all pairs of the lowest rank; NULL when nothing merges."""
+
+    def with_symbols(s: Column) -> Column:
+        codes = F.transform(s, lambda c: (F.ascii(c) - BASE).cast("bigint"))
+
+        def with_entries(e: Column) -> Column:
+            def with_best(best: Column) -> Column:
+                at = F.array_position(e, best).cast("int")
+                pair = F.concat(F.get(s, at - 1), F.get(s, at))
+                return F.when(best < NO_RANK, F.replace(word, pair, F.get(t["symbols"], F.shiftright(best, RANK).cast("int"))))
+
+            return let(F.array_min(e), with_best)
+
+        return let(ranked(t, codes), with_entries)
 
     return let(F.split(word, ""), with_symbols)
 
 
-def fold(t: Column, word: Column) -> Column:
-    """A pre-token as its symbols: the merges folded over its bytes."""
-    letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-    first = F.array_join(F.transform(letters, lambda c: F.get(t["of_byte"], F.ascii(c))), "")
-    start = F.struct(first.alias("word"), F.lit(False).alias("done"))
+def fold_long(t: Column, word: Column) -> Column:
+    start = F.struct(written(t, bytes_of(t, word)).alias("word"), F.lit(False).alias("done"))
 
     def step(state: Column, _: Column) -> Column:
         def moved(next_: Column) -> Column:
             return F.struct(F.coalesce(next_, state["word"]).alias("word"), next_.isNull().alias("done"))
 
-        return F.when(state["done"], state).otherwise(let(merge_once(t, state["word"]), moved))
+        return F.when(state["done"], state).otherwise(let(merge_all(t, state["word"]), moved))
+
+    return F.aggregate(rounds(word), start, step, lambda s: s["word"])
 
-    rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-    return F.aggregate(rounds, start, step, lambda s: s["word"])
+
+def fold(t: Column, word: Column) -> Column:
+    """A pre-token as its symbols: the merges folded over its bytes."""
+    short = F.aggregate(rounds(word), ranked(t, bytes_of(t, word)), lambda e, _: merge_first(t, e), lambda e: written(t, F.transform(e, id_of)))
+    return F.when(F.octet_length(word) <= SHORT, short).otherwise(fold_long(t, word))
 
 
 def pre_tokens(text: Column) -> Column:
@@ -192,14 +218,18 @@ def frequent_words(docs: DataFrame, t: Column) -> Column:
         if total > FREQUENT and least is not None:
             break
         least = row["class"]
-    kept = words.where(F.floor(F.log2("n") * 8) >= (least or 0)).groupBy(slot_of(F.col("word")).alias("slot"))
-    kept = kept.agg(F.max(F.struct("n", "word")).alias("top")).select("slot", "top.word")
-    kept = kept.select("slot", "word", t.alias("__t"))
-    kept = kept.select("slot", "word", let(F.col("__t"), lambda x: fold(x, F.col("word"))).alias("symbols"))
+    kept = words.where(F.floor(F.log2("n") * 8) >= (least or 0)).select("word", "n", t.alias("__t"))
+    # Folded before they are grouped: an aggregate would copy the constants into each of its rows.
+    kept = kept.select("word", "n", let(F.col("__t"), lambda x: fold(x, F.col("word"))).alias("symbols"))
+    kept = stored(kept).groupBy(slot_of(F.col("word")).alias("slot"))
+    kept = kept.agg(F.sort_array(F.collect_list(F.struct("n", "word", "symbols")), asc=False).alias("all"))
+    entry = lambda e: F.struct(e["word"].alias("word"), e["symbols"].alias("symbols"))
+    more = F.when(F.size("all") > 1, F.transform(F.slice("all", 2, F.size("all")), entry))
+    kept = kept.select("slot", F.col("all")[0]["word"].alias("word"), F.col("all")[0]["symbols"].alias("symbols"), more.alias("more"))
     found = stored(spark.range(WORD_SLOTS).select(F.col("id").cast("int").alias("slot")).join(kept, "slot", "left"))
     # WORD_SLOTS entries, of which the empty ones take eight bytes.
-    entries = F.sort_array(F.collect_list(F.struct("slot", "word", "symbols")))
-    full = F.transform(entries, lambda e: F.when(e["word"].isNotNull(), F.struct(e["word"].alias("word"), e["symbols"].alias("symbols"))))
+    entries = F.sort_array(F.collect_list(F.struct("slot", "word", "symbols", "more")))
+    full = F.transform(entries, lambda e: F.when(e["word"].isNotNull(), F.struct(*[e[k].alias(k) for k in ("word", "symbols", "more")])))
     return found.agg(full.alias("v")).scalar()
 
 
@@ -210,8 +240,13 @@ def encode(docs: DataFrame, vocabulary: str = RANKS) -> DataFrame:
     docs = docs.select("*", t.alias("__t"), frequent_words(docs, t).alias("__frequent"))
 
     def of_word(x: Column, word: Column) -> Column:
-        entry = F.get(x["frequent"], slot_of(word))
-        return let(entry, lambda e: F.when(e["word"] == word, e["symbols"]).otherwise(fold(x["t"], word)))
+        def looked_up(e: Column) -> Column:
+            # The most frequent word of a slot stands first.
+            later = F.when(e["more"].isNotNull(), F.get(F.filter(e["more"], lambda m: m["word"] == word), F.lit(0))["symbols"])
+            rest = let(later, lambda s: F.when(s.isNotNull(), s).otherwise(fold(x["t"], word)))
+            return F.when(e["word"] == word, e["symbols"]).otherwise(rest)
+
+        return let(F.get(x["frequent"], slot_of(word)), looked_up)
 
     # Each constant is read in one place, so it is not copied into a row.
     bound = F.struct(F.col("__t").alias("t"), F.col("__frequent").alias("frequent"), pre_tokens(F.col("text")).alias("words"))
@@ -228,7 +263,7 @@ def ids(symbols: Column) -> Column:
 def decode(df: DataFrame, column: str, into: str, vocabulary: str = RANKS) -> DataFrame:
     """All columns and ``into``: the bytes of an array of ids."""
     kept = [c for c in df.columns if c != into]
-    df = df.select(*kept, constant(df.sparkSession, constants(vocabulary)[3], "string").alias("__pieces"))
+    df = df.select(*kept, constant(df.sparkSession, constants(vocabulary)[4], "string").alias("__pieces"))
     bound = F.struct(F.col("__pieces").alias("pieces"), F.col(column).alias("ids"))
     pieces = let(bound, lambda x: F.array_join(F.transform(x["ids"], lambda i: F.get(x["pieces"], i)), ""))
     return df.select(*kept, F.unhex(pieces).alias(into))
