@@ -295,3 +295,15 @@ def test_joined_groups_of_near_copies_make_no_rows(spark):
     assert ngram_join.placed(listed, label()).count() == 0
     assert {r.print for r in ngram_join.placed(listed, label(7)).collect()} == {1, 2}
     assert ngram_join.stars_between(listed, label()).count() == 0
+
+
+def test_each_pass_shingles_the_wanted_texts_once(spark, monkeypatch):
+    """A set's parities and members stand beside both sides of a pair, from one scan of the texts."""
+    plans = []
+    stored = ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stored(df))
+    monkeypatch.setattr(ngram_join, "COMMON", 3)
+    docs = frame(spark, enumerate(near_copies(4)))
+    ngram_join.near_duplicates(docs)
+    assert any("bits_a" in plan for plan in plans)
+    assert all(len(re.findall(r"MapInArrow run\(text", plan)) <= 1 for plan in plans)

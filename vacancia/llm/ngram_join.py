@@ -16,7 +16,7 @@ member), which makes it count for two differences.
    plus one, and may leave out the rest. It leaves out its commonest. Pairs that share fewer
    segments than linked sets must are dropped before any set is looked at.
 4. Parity vectors of the sets rule out most of the remaining pairs; the sets of the others are
-   fetched (a Bloom filter of bounded size keeps the rest from being shuffled) and compared
+   fetched (a Bloom filter of bounded size keeps other texts from being shingled) and compared
    exactly.
 5. Sets that still need common segments are tried against the members that the links so far
    have not yet joined to them: first around the set with most common segments, then all, in
@@ -32,7 +32,7 @@ ignored; an empty table gives an empty result. Set ids are 64-bit fingerprints.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -311,20 +311,34 @@ def passes(filter_: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def fetched(docs: DataFrame, filter_: np.ndarray) -> DataFrame:
-    """``set_id, shingles`` of the sets that pass the filter, each once."""
+def texts_of(docs: DataFrame, rows: DataFrame, ids: DataFrame, schema: str, step: Callable[..., pa.RecordBatch]) -> DataFrame:
+    """``step`` over the shingles of the sets ``id``, each once, as a stored table: its first
+    column is the set's id. Of equal sets one text is taken; the others are not shingled."""
+    ids = ids.select(F.col("id").alias("set_id"))
+    chosen = stored(rows.join(ids, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_hash").alias("id")))
+    filter_ = bloom(chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(passes(filter_, batch.column(1).to_numpy())))
             for chunk in ragged.chunks(batch.column(0), STEP):
                 shingles, first = shingle_sets(chunk)
                 ids, n = set_ids(shingles, first), np.diff(first)
                 _, one = np.unique(ids, return_index=True)
-                one = one[(n[one] > 0) & passes(filter_, ids[one])]
-                data = [shingles[first[i] : first[i + 1]].tobytes() for i in one]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(data, pa.binary())], ["set_id", "shingles"])
+                yield step(shingles, first, ids, n, one[n[one] > 0])
 
-    return docs.select("text").mapInArrow(run, "set_id long, shingles binary").dropDuplicates(["set_id"])
+    found = docs.select("text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, schema)
+    return stored(found.dropDuplicates([schema.split()[0]]))
+
+
+def fetched(docs: DataFrame, rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``set_id, shingles`` of the given sets."""
+
+    def step(shingles: np.ndarray, first: np.ndarray, ids: np.ndarray, n: np.ndarray, one: np.ndarray) -> pa.RecordBatch:
+        data = [shingles[first[i] : first[i + 1]].tobytes() for i in one]
+        return pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(data, pa.binary())], ["set_id", "shingles"])
+
+    return texts_of(docs, rows, ids, "set_id long, shingles binary", step)
 
 
 def places_of(n: int) -> int:
@@ -342,30 +356,22 @@ def differing(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(folded(x, n_words) ^ folded(y, n_words)).sum(dtype=np.int64))
 
 
-def parities(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def parities(docs: DataFrame, rows: DataFrame, ids: DataFrame) -> DataFrame:
     """``a, n, bits`` of the given sets: the parity of their shingles in each of 512 places (more
     for large sets). Two sets differ in at least as many members as their parities in places."""
-    filter_ = bloom(ids)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in ragged.chunks(batch.column(0), STEP):
-                shingles, first = shingle_sets(chunk)
-                of, n = set_ids(shingles, first), np.diff(first)
-                _, one = np.unique(of, return_index=True)
-                one = one[(n[one] > 0) & passes(filter_, of[one])]
-                bits = []
-                for i in one:
-                    places = places_of(n[i])
-                    at = (shingles[first[i] : first[i + 1]] & np.uint64(places - 1)).astype(np.int64)
-                    bits.append(np.packbits(np.bincount(at, minlength=places) & 1, bitorder="little").tobytes())
-                columns = [pa.array(of[one]), pa.array(n[one]), pa.array(bits, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "n", "bits"])
+    def step(shingles: np.ndarray, first: np.ndarray, ids: np.ndarray, n: np.ndarray, one: np.ndarray) -> pa.RecordBatch:
+        bits = []
+        for i in one:
+            places = places_of(n[i])
+            at = (shingles[first[i] : first[i + 1]] & np.uint64(places - 1)).astype(np.int64)
+            bits.append(np.packbits(np.bincount(at, minlength=places) & 1, bitorder="little").tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(n[one]), pa.array(bits, pa.binary())], ["a", "n", "bits"])
 
-    return docs.select("text").mapInArrow(run, "a long, n long, bits binary").dropDuplicates(["a"])
+    return texts_of(docs, rows, ids, "a long, n long, bits binary", step)
 
 
-def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sets have 100 * intersection >= 75 * union.
 
     Parities, an eighth of a byte to a byte per member, rule out most other pairs first, so
@@ -398,9 +404,9 @@ def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         return frame.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
     pairs = stored(pairs)
-    sized = beside(pairs, parities(docs, ids(pairs)), "a", "n", "bits")
+    sized = beside(pairs, parities(docs, rows, ids(pairs)), "a", "n", "bits")
     near = stored(sized.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(may, "a long, b long"))
-    both = beside(near, fetched(docs, bloom(ids(near))), "set_id", "shingles")
+    both = beside(near, fetched(docs, rows, ids(near)), "set_id", "shingles")
     return stored(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long"))
 
 
@@ -470,17 +476,17 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     pairs = pairs.unionByName(stars)
     if not sets.where("uncovered").isEmpty():
         pairs = pairs.unionByName(single_shingle_pairs(docs, sets))
-    found = linked(docs, ordered(pairs))
+    found = linked(docs, rows, ordered(pairs))
 
     if listed.isEmpty():
         return found
     listed = stored(asking(listed))
     for around_heaviest in (True, False):
         labels = components(found)
-        rest = stars_between(listed, labels) if around_heaviest else cross_pairs(docs, listed, labels)
+        rest = stars_between(listed, labels) if around_heaviest else cross_pairs(docs, rows, listed, labels)
         rest = stored(rest.join(found, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
-            found = stored(found.unionByName(linked(docs, rest)))
+            found = stored(found.unionByName(linked(docs, rows, rest)))
     return found
 
 
@@ -551,14 +557,14 @@ def apart(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def cross_pairs(docs: DataFrame, listed: DataFrame, labels: DataFrame) -> DataFrame:
+def cross_pairs(docs: DataFrame, sets: DataFrame, listed: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of a set that must be tried on a common fingerprint with its members elsewhere.
 
     The members of a fingerprint are cut into parts of about ``PART`` sets, and each part meets
     each other part in a block of its own.
     """
     rows = stored(placed(listed, labels).select("a", "print", "label", "asks"))
-    bits = parities(docs, rows.select(F.col("a").alias("id")).distinct())
+    bits = parities(docs, sets, rows.select(F.col("a").alias("id")).distinct())
     parts = rows.groupBy("print").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     rows = rows.join(parts, "print").join(bits, "a").withColumn("part", F.pmod(F.xxhash64("a"), "parts").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
