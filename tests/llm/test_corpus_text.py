@@ -307,3 +307,12 @@ def test_each_pass_shingles_the_wanted_texts_once(spark, monkeypatch):
     ngram_join.near_duplicates(docs)
     assert any("bits_a" in plan for plan in plans)
     assert all(len(re.findall(r"MapInArrow run\(text", plan)) <= 1 for plan in plans)
+
+
+def test_fingerprints_that_no_set_asks_for_are_left_out(spark):
+    """Sets 0 to 19 hold three common segments and must be tried on two of them, not on the third."""
+    rows = [(a, p, 20 + p, True, 1, 2) for p in (1, 2, 3) for a in range(20)]
+    listed = spark.createDataFrame(rows, "a long, print long, held int, own boolean, units int, spare_a int")
+    asked = ngram_join.asking(listed).collect()
+    assert {r.print for r in asked if r.asks} == {r.print for r in asked} != {1, 2, 3}
+    assert len(asked) == 20 * len({r.print for r in asked}) > 0

@@ -451,25 +451,25 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     bits = max(0, int(np.ceil(np.log2(max(total, 1) / RANGE_ROWS))))
     met = stored(packed(docs, bits).groupBy("range").applyInArrow(meet, MEET_SCHEMA))
 
-    def full(frame: DataFrame, column: str) -> DataFrame:
-        """40-bit ids to set ids, with the set's size and spare units."""
-        named = sets.select(F.col("short").alias(column), *[F.col(c).alias(f"{c}_{column}") for c in ("set_id", "n", "spare")])
+    def full(frame: DataFrame, column: str, of: DataFrame = sets) -> DataFrame:
+        """40-bit ids to set ids, with the set's other columns."""
+        named = of.select(F.col("short").alias(column), *[F.col(c).alias(f"{c}_{column}") for c in of.columns if c not in ("short", "uncovered")])
         return frame.join(named, column).drop(column).withColumnRenamed(f"set_id_{column}", column)
 
     listed = full(met.where(F.col("kind") == LISTED).withColumnRenamed("b", "print"), "a")
     # In the bands with one-deletion neighbours a fingerprint may stand for two units.
     listed = listed.withColumn("units", F.when(F.col("n_a") <= SMALL + SMALL // 3, 2).otherwise(1))
     listed = stored(listed.select("a", "print", F.col("n").alias("held"), "own", "units", "spare_a"))
-    load = listed.where("own").groupBy("a").agg(F.sum("units").alias("load"))
+    load = listed.where("own").groupBy(F.col("a").alias("set_id")).agg(F.sum("units").alias("load"))
+    # Once per set, not once per pair.
+    loaded = stored(sets.join(load, "set_id", "left").withColumn("load", F.coalesce("load", F.lit(0))))
 
     pairs = met.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("shared"))
-    pairs = full(full(pairs, "a"), "b").where("100 * least(n_a, n_b) >= 75 * greatest(n_a, n_b)")
-    pairs = pairs.join(load.withColumnRenamed("load", "load_a"), "a", "left")
-    pairs = pairs.join(load.select(F.col("a").alias("b"), F.col("load").alias("load_b")), "b", "left")
+    pairs = full(full(pairs, "a", loaded), "b", loaded).where("100 * least(n_a, n_b) >= 75 * greatest(n_a, n_b)")
     # Linked sets share all but the differing segments, fewer by those left out as common.
     spare = F.when(F.col("n_a") >= F.col("n_b"), F.col("spare_a")).otherwise(F.col("spare_b"))
     spare = F.when(F.col("n_a") == F.col("n_b"), F.least("spare_a", "spare_b")).otherwise(spare)
-    left_out = F.coalesce(F.greatest("load_a", "load_b"), F.lit(0))
+    left_out = F.greatest("load_a", "load_b")
     large = F.least("n_a", "n_b") > SMALL
     pairs = pairs.where(~large | (F.col("shared") >= spare - left_out)).select("a", "b")
     stars = full(full(met.where(F.col("kind") == STAR).select("a", "b").distinct(), "a"), "b").select("a", "b")
@@ -492,7 +492,8 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def asking(listed: DataFrame) -> DataFrame:
     """``a, print, held, asks``: members of common fingerprints, ``asks`` where a set must be
-    tried: its other segments are too few, and this is one of its less common ones."""
+    tried: its other segments are too few, and this is one of its less common ones. Fingerprints
+    on which no set must be tried are left out."""
     whole = Window.partitionBy("a")
     upto = whole.orderBy("held", "print").rowsBetween(Window.unboundedPreceding, -1)
     own = listed.where("own")
@@ -501,7 +502,8 @@ def asking(listed: DataFrame) -> DataFrame:
     asks = F.coalesce(F.sum("units").over(upto), F.lit(0)) < missing
     own = own.select("a", "print", "held", asks.alias("asks"))
     others = listed.where("not own").select("a", "print", "held", F.lit(False).alias("asks"))
-    return own.unionByName(others)
+    rows = stored(own.unionByName(others))
+    return rows.join(rows.where("asks").select("print").distinct(), "print", "left_semi")
 
 
 def placed(listed: DataFrame, labels: DataFrame) -> DataFrame:
