@@ -89,3 +89,10 @@ def test_short_and_long_words_fold_alike(spark, library):
     docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
     rows = byte_bpe.encode(docs).select("text", byte_bpe.ids(byte_bpe.F.col("symbols")).alias("ids")).collect()
     assert all(r.ids == library.encode_ordinary(r.text) for r in rows) and len(rows) == 30
+
+
+def test_constants_stand_in_no_row_of_the_digests(spark):
+    """A projection below that makes the ids must not hold the pieces (a megabyte) for each row."""
+    docs = spark.createDataFrame([(1, "the cat"), (2, None)], "doc_id long, text string")
+    plan = byte_bpe.digests(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ids" in plan and not any(f"AS {name}#" in plan for name in ("__pieces", "__t", "__frequent"))

@@ -17,7 +17,8 @@ The corpus' distinct pre-tokens are counted, and those frequent enough to be amo
 ``FREQUENT`` are folded once and looked up; the others are folded where they stand. The limit
 bounds the table sent to the tasks and never changes an id. Texts are not shuffled.
 
-Decoding maps ids to byte pieces and concatenates them.
+Ids stay arrays of ints from the fold on: a text's words are flattened once. Decoding maps ids to
+byte pieces and concatenates them; a piece is a Latin-1 string, one character a byte.
 
 Defined results: a NULL or empty text has no ids and decodes to nothing; repeated rows are
 encoded alike; a very long text or pre-token is folded like any other; extra columns are carried
@@ -62,7 +63,7 @@ def java_pattern() -> str:
 @lru_cache(maxsize=2)
 def constants(name: str) -> tuple[list[int], list[int], list[int], list[str], list[str]]:
     """Pair table, each left id's offset in it, ids of the 256 bytes, symbols of all ids, and
-    their bytes in hex. An entry of the table is a left id and, in its low 16 bits, the rank."""
+    their bytes as Latin-1. An entry of the table is a left id and, in its low 16 bits, the rank."""
     with open(public_tokenizers.path(name), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
     size = max(ranks.values()) + 1
@@ -86,7 +87,7 @@ def constants(name: str) -> tuple[list[int], list[int], list[int], list[str], li
         offsets[left] = at
     pieces = [""] * size
     for token, rank in ranks.items():
-        pieces[rank] = token.hex().upper()
+        pieces[rank] = token.decode("latin-1")
     symbols = [chr(BASE + i) for i in range(size)]
     return table.tolist(), offsets.tolist(), [ranks[bytes([b])] for b in range(256)], symbols, pieces
 
@@ -155,7 +156,10 @@ def merge_first(t: Column, entries: Column) -> Column:
             first = F.concat(F.array(merged), F.slice(entries, 3, n))
             return F.when(at == 1, first).otherwise(F.concat(F.slice(entries, 1, at - 2), both, F.slice(entries, at + 2, n)))
 
-        return F.when(best >= NO_RANK, entries).otherwise(let(F.array_position(entries, best).cast("int"), with_at))
+        # Counted by place: array_position leaves its loop by an exception, which costs more than a short array.
+        place = best.bitwiseAND(PLACE)
+        before = let(place, lambda p: F.size(F.filter(entries, lambda e: e.bitwiseAND(PLACE) < p)))
+        return F.when(best >= NO_RANK, entries).otherwise(let(before + 1, with_at))
 
     return let(F.array_min(entries), with_best)
 
@@ -188,12 +192,12 @@ def fold_long(t: Column, word: Column) -> Column:
 
         return F.when(state["done"], state).otherwise(let(merge_all(t, state["word"]), moved))
 
-    return F.aggregate(rounds(word), start, step, lambda s: s["word"])
+    return F.aggregate(rounds(word), start, step, lambda s: F.transform(F.split(s["word"], ""), lambda c: F.ascii(c) - BASE))
 
 
 def fold(t: Column, word: Column) -> Column:
-    """A pre-token as its symbols: the merges folded over its bytes."""
-    short = F.aggregate(rounds(word), ranked(t, bytes_of(t, word)), lambda e, _: merge_first(t, e), lambda e: written(t, F.transform(e, id_of)))
+    """A pre-token's ids: the merges folded over its bytes."""
+    short = F.aggregate(rounds(word), ranked(t, bytes_of(t, word)), lambda e, _: merge_first(t, e), lambda e: F.transform(e, lambda x: id_of(x).cast("int")))
     return F.when(F.octet_length(word) <= SHORT, short).otherwise(fold_long(t, word))
 
 
@@ -206,7 +210,7 @@ def slot_of(word: Column) -> Column:
 
 
 def frequent_words(docs: DataFrame, t: Column) -> Column:
-    """The frequent distinct pre-tokens with their symbols, by slot: a constant of the plan."""
+    """The frequent distinct pre-tokens with their ids, by slot: a constant of the plan."""
     spark = docs.sparkSession
     words = docs.select(F.explode(pre_tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     words = stored(words.where("n > 1"))
@@ -220,21 +224,21 @@ def frequent_words(docs: DataFrame, t: Column) -> Column:
         least = row["class"]
     kept = words.where(F.floor(F.log2("n") * 8) >= (least or 0)).select("word", "n", t.alias("__t"))
     # Folded before they are grouped: an aggregate would copy the constants into each of its rows.
-    kept = kept.select("word", "n", let(F.col("__t"), lambda x: fold(x, F.col("word"))).alias("symbols"))
+    kept = kept.select("word", "n", let(F.col("__t"), lambda x: fold(x, F.col("word"))).alias("ids"))
     kept = stored(kept).groupBy(slot_of(F.col("word")).alias("slot"))
-    kept = kept.agg(F.sort_array(F.collect_list(F.struct("n", "word", "symbols")), asc=False).alias("all"))
-    entry = lambda e: F.struct(e["word"].alias("word"), e["symbols"].alias("symbols"))
+    kept = kept.agg(F.sort_array(F.collect_list(F.struct("n", "word", "ids")), asc=False).alias("all"))
+    entry = lambda e: F.struct(e["word"].alias("word"), e["ids"].alias("ids"))
     more = F.when(F.size("all") > 1, F.transform(F.slice("all", 2, F.size("all")), entry))
-    kept = kept.select("slot", F.col("all")[0]["word"].alias("word"), F.col("all")[0]["symbols"].alias("symbols"), more.alias("more"))
+    kept = kept.select("slot", F.col("all")[0]["word"].alias("word"), F.col("all")[0]["ids"].alias("ids"), more.alias("more"))
     found = stored(spark.range(WORD_SLOTS).select(F.col("id").cast("int").alias("slot")).join(kept, "slot", "left"))
     # WORD_SLOTS entries, of which the empty ones take eight bytes.
-    entries = F.sort_array(F.collect_list(F.struct("slot", "word", "symbols", "more")))
-    full = F.transform(entries, lambda e: F.when(e["word"].isNotNull(), F.struct(*[e[k].alias(k) for k in ("word", "symbols", "more")])))
+    entries = F.sort_array(F.collect_list(F.struct("slot", "word", "ids", "more")))
+    full = F.transform(entries, lambda e: F.when(e["word"].isNotNull(), F.struct(*[e[k].alias(k) for k in ("word", "ids", "more")])))
     return found.agg(full.alias("v")).scalar()
 
 
 def encode(docs: DataFrame, vocabulary: str = RANKS) -> DataFrame:
-    """All columns and ``symbols``: the text's ids, one character each."""
+    """All columns and ``symbols``: the ids of each of the text's pre-tokens."""
     t = tables(docs.sparkSession, vocabulary)
     kept = docs.columns
     docs = docs.select("*", t.alias("__t"), frequent_words(docs, t).alias("__frequent"))
@@ -242,41 +246,47 @@ def encode(docs: DataFrame, vocabulary: str = RANKS) -> DataFrame:
     def of_word(x: Column, word: Column) -> Column:
         def looked_up(e: Column) -> Column:
             # The most frequent word of a slot stands first.
-            later = F.when(e["more"].isNotNull(), F.get(F.filter(e["more"], lambda m: m["word"] == word), F.lit(0))["symbols"])
+            later = F.when(e["more"].isNotNull(), F.get(F.filter(e["more"], lambda m: m["word"] == word), F.lit(0))["ids"])
             rest = let(later, lambda s: F.when(s.isNotNull(), s).otherwise(fold(x["t"], word)))
-            return F.when(e["word"] == word, e["symbols"]).otherwise(rest)
+            return F.when(e["word"] == word, e["ids"]).otherwise(rest)
 
         return let(F.get(x["frequent"], slot_of(word)), looked_up)
 
     # Each constant is read in one place, so it is not copied into a row.
     bound = F.struct(F.col("__t").alias("t"), F.col("__frequent").alias("frequent"), pre_tokens(F.col("text")).alias("words"))
-    symbols = let(bound, lambda x: F.array_join(F.transform(x["words"], lambda w: of_word(x, w)), ""))
+    symbols = let(bound, lambda x: F.transform(x["words"], lambda w: of_word(x, w)))
     return docs.select(*kept, symbols.alias("symbols"))
 
 
 def ids(symbols: Column) -> Column:
-    """Symbols as an array of ids."""
-    empty = F.expr("cast(array() as array<int>)")
-    return F.when(symbols == "", empty).otherwise(F.transform(F.split(symbols, ""), lambda c: F.ascii(c) - BASE))
+    """Ids of the pre-tokens as one array of ids."""
+    return F.flatten(symbols)
 
 
 def decode(df: DataFrame, column: str, into: str, vocabulary: str = RANKS) -> DataFrame:
     """All columns and ``into``: the bytes of an array of ids."""
-    kept = [c for c in df.columns if c != into]
-    df = df.select(*kept, constant(df.sparkSession, constants(vocabulary)[4], "string").alias("__pieces"))
+    kept = [c for c in df.columns if c not in (into, column)]
+    df = df.select(*kept, column, constant(df.sparkSession, constants(vocabulary)[4], "string").alias("__pieces"))
     bound = F.struct(F.col("__pieces").alias("pieces"), F.col(column).alias("ids"))
-    pieces = let(bound, lambda x: F.array_join(F.transform(x["ids"], lambda i: F.get(x["pieces"], i)), ""))
-    return df.select(*kept, F.unhex(pieces).alias(into))
+
+    def both(x: Column) -> Column:
+        pieces = F.array_join(F.transform(x["ids"], lambda i: F.get(x["pieces"], i)), "")
+        return F.struct(x["ids"].alias("ids"), F.encode(pieces, "ISO-8859-1").alias("bytes"))
+
+    # The ids are read once here: read twice, they would be made first, in rows that hold the pieces too.
+    df = df.select(*kept, let(bound, both).alias("__both"))
+    return df.select(*kept, F.col("__both")["ids"].alias(column), F.col("__both")["bytes"].alias(into))
 
 
 def digests(docs: DataFrame, vocabulary: str = RANKS) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
     encoded = encode(docs.select(F.col("doc_id").cast("long"), "text"), vocabulary)
     decoded = decode(encoded.select("doc_id", ids(F.col("symbols")).alias("ids")), "ids", "bytes", vocabulary)
+    spaced = F.replace(F.btrim(F.to_json("ids"), F.lit("[]")), F.lit(","), F.lit(" "))  # JSON of ints: [1,2,3]
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(spaced, 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
 
