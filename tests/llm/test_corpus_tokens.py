@@ -96,3 +96,32 @@ def test_constants_stand_in_no_row_of_the_digests(spark):
     docs = spark.createDataFrame([(1, "the cat"), (2, None)], "doc_id long, text string")
     plan = byte_bpe.digests(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "ids" in plan and not any(f"AS {name}#" in plan for name in ("__pieces", "__t", "__frequent"))
+
+
+def test_table_of_blocks_stands_in_the_order_of_slots(spark, monkeypatch):
+    """The table is put together from blocks, so no task holds a row for each of its entries."""
+    plans = []
+    frame = type(spark.range(0))
+    scalar = frame.scalar
+    monkeypatch.setattr(byte_bpe, "WORD_SLOTS", 4096)
+    words = [f"w{i}" for i in range(50)]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(2)], "doc_id long, text string")
+    t = byte_bpe.tables(spark, byte_bpe.RANKS)
+    monkeypatch.setattr(frame, "scalar", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or scalar(df))
+    table = byte_bpe.frequent_words(docs, t)
+    entries = spark.range(1).select(table.alias("v")).first().v
+    slot = byte_bpe.slot_of(byte_bpe.F.col("w"))
+    at = {r.w: r.s for r in spark.createDataFrame([(e.word,) for e in entries if e], "w string").select("w", slot.alias("s")).collect()}
+    assert len(entries) == 4096 and len(at) > 40 and all(entries[s].word == w for w, s in at.items())
+    assert all(p.count("Aggregate") == 2 for p in plans) and plans
+
+
+def test_a_worker_gives_memory_back_after_its_last_batch(monkeypatch):
+    from vacancia.llm import common
+
+    said = []
+    monkeypatch.setattr(common, "release", lambda: said.append("released"))
+    step = common.released(lambda batches: (said.append(b) or b for b in batches))
+    assert list(step(iter([1, 2]))) == [1, 2] and said == [1, 2, "released"]
+    monkeypatch.undo()
+    common.release()

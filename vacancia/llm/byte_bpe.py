@@ -231,10 +231,13 @@ def frequent_words(docs: DataFrame, t: Column) -> Column:
     more = F.when(F.size("all") > 1, F.transform(F.slice("all", 2, F.size("all")), entry))
     kept = kept.select("slot", F.col("all")[0]["word"].alias("word"), F.col("all")[0]["ids"].alias("ids"), more.alias("more"))
     found = stored(spark.range(WORD_SLOTS).select(F.col("id").cast("int").alias("slot")).join(kept, "slot", "left"))
-    # WORD_SLOTS entries, of which the empty ones take eight bytes.
+    # Blocks of entries are put in order by many tasks; the last one only joins them end to end.
     entries = F.sort_array(F.collect_list(F.struct("slot", "word", "ids", "more")))
     full = F.transform(entries, lambda e: F.when(e["word"].isNotNull(), F.struct(*[e[k].alias(k) for k in ("word", "ids", "more")])))
-    return found.agg(full.alias("v")).scalar()
+    blocks = found.groupBy(F.shiftright("slot", 10).alias("block")).agg(full.alias("entries"))
+    # WORD_SLOTS entries, of which the empty ones take eight bytes.
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("block", "entries"))), lambda b: b["entries"])
+    return blocks.agg(F.flatten(ordered).alias("v")).scalar()
 
 
 def encode(docs: DataFrame, vocabulary: str = RANKS) -> DataFrame:

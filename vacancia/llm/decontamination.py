@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ragged
-from .common import query, read
+from .common import query, read, released
 
 WINDOW = 10
 BLOCK_CHARS = 1 << 25
@@ -154,7 +154,7 @@ def _scan_block(df: DataFrame, block: tuple) -> DataFrame:
                     spans = part.column(len(columns) + 1)
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(columns)], pa.array(n_words), spans.cast(pa.list_(ARROW_SPAN))], names)
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(released(run), df.schema)
 
 
 def hit_words(spans: Column) -> Column:
