@@ -153,8 +153,9 @@ def merge_first(t: Column, entries: Column) -> Column:
             made, after, n = F.shiftright(best, RANK), F.get(entries, at + 1), F.size(entries)
             merged = best.bitwiseAND(PLACE) + made + F.when(after.isNull(), F.lit(NO_RANK)).otherwise(rank_of(t, made, id_of(after)))
             both = let(F.get(entries, at - 2).bitwiseAND(PLACE + 0xFFFF), lambda b: F.array(b + rank_of(t, id_of(b), made), merged))
-            first = F.concat(F.array(merged), F.slice(entries, 3, n))
-            return F.when(at == 1, first).otherwise(F.concat(F.slice(entries, 1, at - 2), both, F.slice(entries, at + 2, n)))
+            # Flattened, since concat goes through a lazy list for each call.
+            first = F.flatten(F.array(F.array(merged), F.slice(entries, 3, n)))
+            return F.when(at == 1, first).otherwise(F.flatten(F.array(F.slice(entries, 1, at - 2), both, F.slice(entries, at + 2, n))))
 
         # Counted by place: array_position leaves its loop by an exception, which costs more than a short array.
         place = best.bitwiseAND(PLACE)
