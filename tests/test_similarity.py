@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from vacancia.operators import similarity
+from vacancia.operators import edits, similarity
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -133,3 +133,60 @@ def test_similar_names_are_counted_without_their_pairs(spark, tmp_path):
 def test_unlike_names_keep_the_filter(spark):
     unlike = spark.createDataFrame([(c,) for c in random_names(random.Random(2), 2000)], "low string")
     assert not similarity.alike(unlike, 0.35)
+
+
+def test_distances_of_many_at_once():
+    """Bit-parallel distances equal the table's, at every word size and over shared beginnings."""
+    rng = random.Random(4)
+    texts = ["", "a", "ß東🙂b", "x" * 16, "x" * 17, "x" * 33, "y" * 64, *names(rng, 60)]
+    queries = sorted([*texts, "z" * 70, "xx", "東京"])
+    for most in (16, 32, 64):
+        some = [t for t in texts if len(t) <= most]
+        found = edits.Texts(some)
+        assert found.word(0).nbytes * 8 == most
+        for query, got in zip(queries, found.distances(queries)):
+            assert (got + len(query)).tolist() == [distance(t, query) for t in some], query
+    with pytest.raises(ValueError):
+        edits.Texts(["y" * 65])
+
+
+@pytest.mark.parametrize("part", [7, 16384])
+def test_links_of_large_groups_equal_brute_force(spark, tmp_path, monkeypatch, part):
+    """Groups over ``SMALL`` are counted in numpy, in parts: NULL standings, names over 64, shared ids."""
+    rng = random.Random(8)
+    companies, titles = [*names(rng, 12), "x" * 70, "x" * 66, "ß" * 3], ["Data Analyst", "Data Analyst!", "Data Engineer", "Chef"]
+    ids = [f"p{i}" for i in rng.sample(range(900), 200)]
+    rows = [(rng.choice(ids[:190]) if i % 20 == 0 else ids[i], rng.choice(titles), rng.choice(companies), rng.randint(1, 30), rng.choice([0, 1]), rng.choice([None, 1, 2])) for i in range(200)]
+    schema = "id string, title string, company string, d int, unpaid int, rank int"
+    df = spark.createDataFrame(rows, schema).withColumn("day", F.expr("date_add(date'2026-01-01', d)"))
+
+    def lost(a, b):
+        for x, y in zip(a[4:], b[4:]):
+            if x is not None and y is not None and x != y:
+                return y < x
+        return b[0] < a[0]
+
+    plain = brute_links([(*r[:4], 0) for r in rows])
+    losses = {}
+    for a in rows:
+        for b in rows:
+            if a[0] != b[0] and abs(a[3] - b[3]) <= 3 and near(a[1], b[1], 0.15) and near(a[2], b[2], 0.35):
+                losses[a[0]] = losses.get(a[0], 0) + lost(a, b)
+    monkeypatch.setattr(similarity, "alike", lambda *_: True)
+    monkeypatch.setattr(similarity, "SMALL", 4)
+    monkeypatch.setattr(similarity, "PART", part)
+    counted = []
+    monkeypatch.setattr(similarity, "_parts", lambda *a, f=similarity._parts: counted.append(1) or f(*a))
+    got = similarity.fuzzy_links(df, "id", "title", "company", "day", ("unpaid", "rank"), str(tmp_path), ("unpaid", "rank"))
+    assert sorted(map(tuple, got.collect())) == [(i, c, n, losses[i]) for i, c, n, _ in plain]
+    assert counted
+
+
+def test_a_hot_group_is_not_joined_row_by_row(spark, tmp_path, monkeypatch):
+    """Groups of many rows go to numpy: the plan that joins rows sees small groups only."""
+    rows = spark.range(400).selectExpr("id", "'Data Analyst' AS title", "concat('Company ', id % 37, '-', id) AS company", "date'2026-01-01' AS day", "0 AS rank")
+    met = []
+    monkeypatch.setattr(similarity, "_blocks", lambda a, b, links, *rest, f=similarity._blocks: met.append(links.count()) or f(a, b, links, *rest))
+    got = similarity.fuzzy_links(rows, "id", "title", "company", "day", ("rank",), str(tmp_path), ("rank",)).collect()
+    assert met and not any(met)
+    assert len(got) == 400 and sum(r.n_lost for r in got) * 2 == sum(r.n_links for r in got) > 40_000

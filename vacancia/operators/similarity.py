@@ -18,18 +18,23 @@ company over its titles and dates.
 
 Pairs grow with the square of a group of similar rows. ``fuzzy_links`` gives a row per id instead, with
 its number of links and its class. Where most names are alike no filter helps: groups are then compared
-in blocks, and links are counted where they are found, so that no pair is shuffled or written.
+in blocks, and links are counted where they are found, so that no pair is shuffled or written. Where an
+order of the rows tells the loser, large groups are compared in numpy, a name with thousands at a time,
+and their tasks give a row per id; this is quadratic in a group still, at some 10 ns a pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import as_column
 from ..session import store
+from .edits import LONGEST, Texts
 
 #: Groups with this many companies or fewer are compared without a filter.
 SMALL = 64
@@ -39,6 +44,8 @@ BUCKETS = 4096
 EARLY = 32
 #: Rows of a group that are compared in one block with as many others.
 BLOCK = 2048
+#: Rows of a large group that are compared in one task with as many others, many at once.
+PART = 16384
 
 
 def similar_texts(df: DataFrame, column: str | Column, ratio: float) -> DataFrame:
@@ -276,24 +283,34 @@ def alike(names: DataFrame, ratio: float) -> bool:
     return (met or 0) >= names.count() ** 2 / 8
 
 
-def _blocks(rows: DataFrame, titles: DataFrame, kept: list[str], ratio: float, days: int) -> DataFrame:
-    """Links between labels, each compared once and given in both orders: the kept columns of ``rows``
-    with ``_a`` and ``_b``.
+def _group_links(rows: DataFrame, titles: DataFrame) -> DataFrame:
+    """Pairs of groups (one title and date block) with similar titles and near blocks, both ways and each
+    with itself, with their sizes ``m_a, m_b``; not those whose rows have one label among them all."""
+    sizes = rows.groupBy("title", "block").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    a, b = (sizes.select(*[F.col(c).alias(f"{c}_{s}") for c in sizes.columns]) for s in "ab")
+    near = a.join(titles.select(F.col("text_a").alias("title_a"), F.col("text_b").alias("title_b")), "title_a")
+    near = near.withColumn("block_b", F.explode(F.expr("array(block_a - 1, block_a, block_a + 1)"))).join(b, ["title_b", "block_b"])
+    near = near.where("lo_a <> hi_a or lo_b <> hi_b or lo_a <> lo_b")
+    return near.select("title_a", "block_a", "m_a", "title_b", "block_b", "m_b")
+
 
-    Rows of one title and date block meet those of similar titles and near blocks, ``BLOCK`` with about
-    as many at a time: a task holds a block, and a hot group is many of them.
+def _blocks(rows: DataFrame, others: DataFrame, links: DataFrame, kept: list[str], ratio: float, days: int) -> DataFrame:
+    """Links between labels of ``rows`` and ``others`` in linked groups, each compared once and given in
+    both orders: the kept columns with ``_a`` and ``_b``.
+
+    ``BLOCK`` rows of a group meet about as many at a time: a task holds a block, and a hot group is
+    many of them.
     """
-    group = ["title", "block"]
-    sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    rows = rows.withColumn("low", F.lower("company")).withColumn("len", F.length("company"))
+    sized = links.withColumn("parts", F.ceil(F.col("m_b") / BLOCK).cast("int"))
     part, each = F.pmod(F.xxhash64("id"), "parts").cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    a = rows.join(titles, F.col("title") == F.col("text_a")).drop("text_a")
-    a = a.withColumn("to", F.explode(F.expr("array(block - 1, block, block + 1)")))
-    a = a.join(sizes.select(F.col("title").alias("text_b"), F.col("block").alias("to"), "parts"), ["text_b", "to"])
+    a, b = (df.withColumn("low", F.lower("company")).withColumn("len", F.length("company")) for df in (rows, others))
+    carried = a.columns
+    a = a.join(sized.withColumnsRenamed({"title_a": "title", "block_a": "block"}), ["title", "block"])
     a = a.withColumn("i", part).withColumn("j", each)
-    a = a.select(F.col("text_b").alias("title_b"), F.col("to").alias("block_b"), "i", "j", *[F.col(c).alias(f"{c}_a") for c in rows.columns])
-    b = rows.join(sizes, group).withColumn("j", part).withColumn("i", each)
-    b = b.select("i", "j", *[F.col(c).alias(f"{c}_b") for c in rows.columns])
+    a = a.select("title_b", "block_b", "i", "j", *[F.col(c).alias(f"{c}_a") for c in carried])
+    targets = sized.select(F.col("title_b").alias("title"), F.col("block_b").alias("block"), "parts").distinct()
+    b = b.join(targets, ["title", "block"]).withColumn("j", part).withColumn("i", each)
+    b = b.select("i", "j", *[F.col(c).alias(f"{c}_b") for c in carried])
     # Few bytes make many comparisons, so adaptive execution must not join tasks by size.
     tasks = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = ["title_b", "block_b", "i", "j"]
@@ -307,13 +324,112 @@ def _blocks(rows: DataFrame, titles: DataFrame, kept: list[str], ratio: float, d
     return met.select(F.explode(F.array(*orders)).alias("p")).select("p.*")
 
 
+def _parts(rows: DataFrame, links: DataFrame, order: tuple[str, ...], ratio: float, days: int) -> DataFrame:
+    """``id, label, near, n_links, n_lost`` of rows by their links between labels in linked groups, which
+    are numbered (``unit``): partial counts, a row per row and part of the other group.
+
+    ``PART`` rows of a group meet as many of the other; both fit a task.
+    """
+    number = F.datediff("day", F.lit("1970-01-01").cast("date")).alias("day")
+    sized = links.select("*", *[F.ceil(F.col(f"m_{s}") / PART).cast("int").alias(f"parts_{s}") for s in "ab"])
+    slim = rows.select("title", "block", "id", "label", number, F.lower("company").alias("low"), F.length("company").alias("len"), *[F.col(c).cast("double") for c in order])
+    tasks = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = []
+    for mine, other, i, j in (("a", "b", "i", "j"), ("b", "a", "j", "i")):
+        groups = sized.select(F.col(f"title_{mine}").alias("title"), F.col(f"block_{mine}").alias("block"), "unit", "parts_a", "parts_b")
+        side = slim.join(groups, ["title", "block"]).drop("title", "block")
+        side = side.withColumn(i, F.pmod(F.xxhash64("id"), f"parts_{mine}").cast("int"))
+        side = side.withColumn(j, F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1))).drop("parts_a", "parts_b")
+        side = side.select(*[F.col(c).alias(c) for c in side.columns])  # a group may meet itself
+        # Few bytes make many comparisons, so adaptive execution must not join tasks by size.
+        sides.append(side.repartition(tasks, "unit", "i", "j").groupBy("unit", "i", "j"))
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _counts(left, right, order, ratio, days)
+
+    return sides[0].cogroup(sides[1]).applyInArrow(run, f"id {kind['id']}, label {kind['label']}, near {kind['label']}, n_links long, n_lost long")
+
+
+def _counts(left: pa.Table, right: pa.Table, order: tuple[str, ...], ratio: float, days: int) -> pa.Table:
+    """The counts of each row of ``left`` over its links with rows of ``right``, and the least label it meets."""
+    if not (len(left) and len(right)):
+        types = [(left if len(left) else right).schema.field(c).type for c in ("id", "label", "label")] + [pa.int64()] * 2
+        return pa.Table.from_arrays([pa.array([], t) for t in types], ["id", "label", "near", "n_links", "n_lost"])
+    named = pa.concat_arrays([c for t in (left, right) for k in ("id", "label") for c in t.column(k).chunks])
+    coded = named.dictionary_encode()
+    by_name = coded.dictionary.take(sort := pa.compute.sort_indices(coded.dictionary))
+    rank = np.empty(len(sort), np.int32)
+    rank[sort.to_numpy()] = np.arange(len(sort), dtype=np.int32)
+    codes = rank[coded.indices.to_numpy()]
+    id_a, label_a, id_b, label_b = np.split(codes, np.cumsum([len(left), len(left), len(right)]))
+
+    def side(t: pa.Table) -> tuple:
+        numbers = (t.column(c).to_numpy().astype(np.int64) for c in ("day", "len"))
+        standing = np.array([t.column(c).to_numpy() for c in order], float).reshape(len(order), len(t))
+        return *numbers, t.column("low").to_pylist(), standing
+
+    (day_a, len_a, low_a, standing_a), (day_b, len_b, low_b, standing_b) = side(left), side(right)
+    standing_a = np.ascontiguousarray(standing_a.T)
+    links, lost, near = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64), np.full(len(left), len(rank), np.int32)
+
+    def compare(queries: np.ndarray, lanes: np.ndarray) -> None:
+        texts, lengths, days_b, ids, labels = Texts([low_b[i] for i in lanes]), len_b[lanes], day_b[lanes], id_b[lanes], label_b[lanes]
+        allowed, judged = {}, {}
+        for a, distance in zip(queries, texts.distances([low_a[a] for a in queries])):
+            key = (len_a[a], len(low_a[a]), day_a[a])
+            if key not in allowed:
+                size = np.maximum(key[0], lengths)
+                most = np.floor(ratio * size + 1e-9)
+                most -= most / size > ratio
+                allowed[key] = np.where(np.abs(days_b - key[2]) <= days, np.clip(most - key[1], -127, 127), -128).astype(np.int8)
+            linked = distance <= allowed[key]
+            linked &= labels != label_a[a]
+            n = np.count_nonzero(linked)
+            if not n:
+                continue
+            links[a] += n
+            near[a] = min(near[a], labels[linked.argmax()])  # they are in order
+            if (key := standing_a[a].tobytes()) not in judged:
+                better, level = np.zeros(len(lanes), bool), np.ones(len(lanes), bool)
+                for mine, others in zip(standing_a[a], standing_b[:, lanes]):
+                    better |= level & (others < mine)
+                    level &= ~((others < mine) | (others > mine))
+                if len(judged) >= 64:
+                    judged.clear()
+                judged[key] = better, level
+            better, level = judged[key]
+            lost[a] += np.count_nonzero(linked & (better | (level & (ids < id_a[a]))))
+
+    def compare_all(queries: np.ndarray, others: np.ndarray) -> None:
+        # Short names need shorter words.
+        queries = np.array(sorted(queries, key=low_a.__getitem__), np.int64)
+        others = others[np.argsort(label_b[others], kind="stable")]
+        sizes = np.array([len(low_b[i]) for i in others], np.int64)
+        for least, most in ((0, 16), (17, 32), (33, LONGEST)):
+            lanes = others[(sizes >= least) & (sizes <= most)]
+            if len(lanes) and len(queries):
+                compare(queries, lanes)
+
+    found, n = np.unique(label_b, return_counts=True)
+    common = found[n.argmax()]
+    if 2 * n.max() > len(right):  # most are one class already, whose rows meet only the others
+        compare_all(np.flatnonzero(label_a == common), np.flatnonzero(label_b != common))
+        compare_all(np.flatnonzero(label_a != common), np.arange(len(right)))
+    else:
+        compare_all(np.arange(len(left)), np.arange(len(right)))
+    rows = np.flatnonzero(links)
+    columns = [left.column("id").take(rows), left.column("label").take(rows), by_name.take(pa.array(near[rows]))]
+    return pa.Table.from_arrays([*columns, pa.array(links[rows]), pa.array(lost[rows])], ["id", "label", "near", "n_links", "n_lost"])
+
+
 def fuzzy_links(
     df: DataFrame,
     id: str,
     title: str,
     company: str,
     day: str,
-    loses: Column,
+    loses: Column | tuple[str, ...],
     store_at: str,
     keep: tuple[str, ...] = (),
     title_ratio: float = 0.15,
@@ -323,18 +439,47 @@ def fuzzy_links(
     """``id, class_id, n_links, n_lost`` of every id with a link as in :func:`fuzzy_pairs`.
 
     ``class_id`` is the least id reachable by links, ``n_links`` counts the links, ``n_lost`` those in
-    which ``loses`` holds, a condition on ``id`` and the kept columns with ``_a`` (this row) and ``_b``.
-    Rows that share an id share its links. Each round every class joins the least class that it has
-    a link to, so the number of classes with links between them is halved at least; links inside a
-    class are compared in the first round only.
+    which ``loses`` holds, a condition on ``id`` and the kept columns with ``_a`` (this row) and ``_b``;
+    or it names kept columns of numbers: the first of them that differs decides (a NULL differs from
+    nothing), then the id, and the greater loses. Rows that share an id share its links. Each round every
+    class joins the least class that it has a link to, so the number of classes with links between them
+    is halved at least; links inside a class are compared in the first round only.
     """
+    order = None if isinstance(loses, Column) else tuple(loses)
+    if order is not None:
+        loses = F.col("id_b") < F.col("id_a")
+        for c in reversed(order):
+            loses = F.when(F.col(f"{c}_a") != F.col(f"{c}_b"), F.col(f"{c}_b") < F.col(f"{c}_a")).otherwise(loses)
     rows = store(_rows(df, id, title, company, day, keep, days), f"{store_at}/rows")
     labels = rows.select("id", F.col("id").alias("label")).distinct()
+    kept = ["id", "label", *keep]
+    counts = [F.count("*").alias("n_links"), F.count_if(loses).alias("n_lost"), F.min("label_b").alias("near")]
+    mine = [F.col(f"{c}_a").alias(c) for c in ("id", "label")]
     if alike(rows.select(F.lower("company").alias("low")).distinct(), company_ratio):
         titles = store(similar_texts(rows, "title", title_ratio), f"{store_at}/titles")
-
-        def between(labels: DataFrame) -> DataFrame:
-            return _blocks(rows.join(labels, "id"), titles, ["id", "label", *keep], company_ratio, days)
+        too_long = F.length(F.lower("company")) > LONGEST
+        any_too_long = not rows.where(too_long).isEmpty()
+
+        def between(labels: DataFrame, turn: int) -> DataFrame:
+            named = rows.join(labels, "id")
+            links = _group_links(named, titles)
+            if order is None:
+                return _blocks(named, named, links, kept, company_ratio, days).groupBy(*mine).agg(*counts)
+            links = store(links.withColumn("unit", F.monotonically_increasing_id()), f"{store_at}/groups-{turn}")
+            large = F.least("m_a", "m_b") > SMALL
+            found = _blocks(named, named, links.where(~large), kept, company_ratio, days).groupBy(*mine).agg(*counts)
+            links = links.where(large)
+            if links.isEmpty():
+                return found
+            short = named.where(~too_long)
+            parts = [found, _parts(short, links, order, company_ratio, days)]
+            if any_too_long:
+                long = named.where(too_long)
+                for some, others in ((long, named), (short, long)):
+                    parts.append(_blocks(some, others, links, kept, company_ratio, days).groupBy(*mine).agg(*counts))
+            for part in parts[1:]:
+                found = found.unionByName(part)
+            return found
     else:
         found = fuzzy_pairs(rows, "id", "title", "company", "day", keep, title_ratio, company_ratio, days)
         data = ["id", *keep]
@@ -342,23 +487,21 @@ def fuzzy_links(
         forth = found.select(*[f"{c}_{s}" for s in ("a", "b") for c in data])
         pairs = store(forth.unionByName(forth.select(*turned)), f"{store_at}/pairs")
 
-        def between(labels: DataFrame) -> DataFrame:
+        def between(labels: DataFrame, turn: int) -> DataFrame:
             out = pairs
             for s in ("a", "b"):
                 out = out.join(labels.select(F.col("id").alias(f"id_{s}"), F.col("label").alias(f"label_{s}")), f"id_{s}")
-            return out.where("label_a <> label_b")
+            return out.where("label_a <> label_b").groupBy(*mine).agg(*counts)
 
-    counted = between(labels).groupBy(F.col("id_a").alias("id"))
-    counted = counted.agg(F.count("*").alias("n_links"), F.count_if(loses).alias("n_lost"), F.min("id_b").alias("near"))
-    counted = store(counted, f"{store_at}/counted")
+    sums = [F.sum(c).alias(c) for c in ("n_links", "n_lost")]
+    counted = store(between(labels, 0).groupBy("id").agg(*sums, F.min("near").alias("near")), f"{store_at}/counted")
     nearest = counted.select(F.col("id").alias("label"), "near")
     labels = counted.select("id", F.col("id").alias("label"))
     turn = 0
     while not nearest.isEmpty():
         labels = _joined(labels, nearest, lambda name: f"{store_at}/{name}-{turn}")
-        nearest = between(labels).groupBy(F.col("label_a").alias("label")).agg(F.min("label_b").alias("near"))
         turn += 1
-        nearest = store(nearest, f"{store_at}/nearest-{turn}")
+        nearest = store(between(labels, turn).groupBy("label").agg(F.min("near").alias("near")), f"{store_at}/nearest-{turn}")
     return counted.join(labels, "id").select("id", F.col("label").alias("class_id"), "n_links", "n_lost")
 
 

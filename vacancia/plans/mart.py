@@ -122,16 +122,9 @@ def near_duplicate_classes(mart: DataFrame, store_at: str) -> DataFrame:
 
     columns = ["job_id", "job_title", "company_name", "source", "date_posted", "final_salary_min"]
     slim = store(mart.select(*columns), f"{store_at}/mart")
-    paid_a, paid_b = F.col("final_salary_min_a").isNotNull(), F.col("final_salary_min_b").isNotNull()
-    rank_a, rank_b = rules.provider_rank("source_a"), rules.provider_rank("source_b")
-    loses = (
-        F.when(paid_a != paid_b, paid_b)
-        .when(rank_a < rank_b, False)
-        .when(rank_b < rank_a, True)
-        .otherwise(F.col("id_b") < F.col("id_a"))
-    )
+    judged = slim.withColumn("unpaid", F.col("final_salary_min").isNull().cast("int")).withColumn("rank", rules.provider_rank("source"))
     links = fuzzy_links(
-        slim, "job_id", "job_title", "company_name", "date_posted", loses, f"{store_at}/links", ("source", "final_salary_min")
+        judged, "job_id", "job_title", "company_name", "date_posted", ("unpaid", "rank"), f"{store_at}/links", ("unpaid", "rank")
     )
     out = slim.join(links.withColumnRenamed("id", "job_id"), "job_id", "left")
     counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_links", "n_lost")]
