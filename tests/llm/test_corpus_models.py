@@ -153,6 +153,29 @@ def test_gradient():
         assert grads[k][at] == pytest.approx((up - down) / (2 * step), rel=1e-3, abs=1e-7), k
 
 
+def test_steps_in_one_array_equal_plain_adam():
+    """Gradients go straight into the array that a step takes, over stale entries of the step before."""
+    draw = np.random.default_rng(2)
+    mine = lm_score.start(draw.integers(0, 100, lm_score.SUBWORDS + 1).astype(float))
+    plain = {k: v.astype(np.float64) for k, v in mine.items()}
+    moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in plain.items()}
+    adam = lm_score.Adam(mine, 0.01)
+    for t in range(1, 6):
+        ids = draw.integers(0, lm_score.SUBWORDS if t % 2 else 100, 400)
+        batch = lm_score.windows(ids, np.array([0, 0, 150, 400]))[:4]
+        adam.step(lm_score.gradient(mine, *batch, adam.grads))
+        for k, g in lm_score.gradient(plain, *batch).items():
+            a, b = moments[k]
+            a += 0.1 * (g - a)
+            b += 0.01 * (g * g - b)
+            plain[k] -= 0.01 * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.99**t)) + 1e-6)
+            if k in ("Wc", "Wm"):
+                np.clip(plain[k], -1, 1, out=plain[k])
+    for k in lm_score.SHAPES:
+        assert np.abs(mine[k] - plain[k]).mean() < 1e-5 and np.abs(mine[k] - plain[k]).max() < 5e-3, k
+        assert np.shares_memory(mine[k], adam.all)
+
+
 def test_next_subwords_are_a_distribution_and_windows_score_each_once():
     draw = np.random.default_rng(1)
     p = lm_score.start(draw.integers(0, 9, lm_score.SUBWORDS + 1).astype(float))
